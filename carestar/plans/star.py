@@ -18,6 +18,7 @@ from carestar.operators import fact as FA
 from carestar.operators import lookups as LU
 from carestar.operators import rejects as R
 from carestar.operators.calendar import build_dim_date
+from carestar.session import checkpoint_dir
 
 
 @dataclass
@@ -43,9 +44,21 @@ TEST_PARAMS = Params(calendar_start="1995-01-01", calendar_end="2002-12-31", sin
 
 @dataclass
 class StarBuild:
+    """Lazy star build. ``materialize=True`` cuts lineage after each table with a reliable
+    ``checkpoint()`` into ``spark.checkpoint.dir`` (survives executor loss; keeps plans small
+    when many questions run on one build)."""
     spark: SparkSession
     oltp: dict[str, DataFrame]
     params: Params = field(default_factory=Params)
+    materialize: bool = False
+
+    def __post_init__(self):
+        if self.materialize:
+            checkpoint_dir(self.spark)
+            self.oltp = {k: self._cut(v) for k, v in self.oltp.items()}
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if self.materialize else df
 
     # ---- dimensions -------------------------------------------------------
     @cached_property
@@ -55,11 +68,11 @@ class StarBuild:
 
     @cached_property
     def dim_specialty(self) -> DataFrame:
-        return DM.build_dim_specialty(self.oltp["specialties"])
+        return self._cut(DM.build_dim_specialty(self.oltp["specialties"]))
 
     @cached_property
     def dim_department(self) -> DataFrame:
-        return DM.build_dim_department(self.oltp["departments"])
+        return self._cut(DM.build_dim_department(self.oltp["departments"]))
 
     @cached_property
     def dim_encounter_type(self) -> DataFrame:
@@ -67,24 +80,24 @@ class StarBuild:
 
     @cached_property
     def dim_diagnosis(self) -> DataFrame:
-        return DM.build_dim_diagnosis(self.oltp["diagnoses"])
+        return self._cut(DM.build_dim_diagnosis(self.oltp["diagnoses"]))
 
     @cached_property
     def dim_procedure(self) -> DataFrame:
-        return DM.build_dim_procedure(self.oltp["procedures"])
+        return self._cut(DM.build_dim_procedure(self.oltp["procedures"]))
 
     @cached_property
     def dim_patient(self) -> DataFrame:
-        return DM.build_dim_patient(self.oltp["patients"], self.params.as_of)
+        return self._cut(DM.build_dim_patient(self.oltp["patients"], self.params.as_of))
 
     @cached_property
     def dim_provider(self) -> DataFrame:
-        return DM.build_dim_provider(self.oltp["providers"], self.oltp["specialties"])
+        return self._cut(DM.build_dim_provider(self.oltp["providers"], self.oltp["specialties"]))
 
     # ---- lookups and pre-aggregates ----------------------------------------
     @cached_property
     def provider_lookup(self) -> DataFrame:
-        return LU.provider_lookup(self.oltp["providers"], self.dim_provider, self.dim_specialty)
+        return self._cut(LU.provider_lookup(self.oltp["providers"], self.dim_provider, self.dim_specialty))
 
     @cached_property
     def measures(self) -> DataFrame:
@@ -93,15 +106,15 @@ class StarBuild:
 
     @cached_property
     def resolved_encounters(self) -> DataFrame:
-        return FA.resolve_encounters(self.oltp["encounters"], LU.patient_lookup(self.dim_patient),
+        return self._cut(FA.resolve_encounters(self.oltp["encounters"], LU.patient_lookup(self.dim_patient),
                                      self.provider_lookup, LU.department_lookup(self.dim_department),
-                                     LU.encounter_type_lookup(self.dim_encounter_type))
+                                     LU.encounter_type_lookup(self.dim_encounter_type)))
 
     # ---- fact and bridges ------------------------------------------------
     @cached_property
     def fact(self) -> DataFrame:
         dd = self.dim_date if self.params.check_dates else None
-        return FA.build_fact(self.resolved_encounters, self.measures, self.params.loaded_at, dd)
+        return self._cut(FA.build_fact(self.resolved_encounters, self.measures, self.params.loaded_at, dd))
 
     @cached_property
     def encounter_lookup(self) -> DataFrame:
@@ -109,13 +122,13 @@ class StarBuild:
 
     @cached_property
     def resolved_diagnoses(self) -> DataFrame:
-        return BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup, self.dim_diagnosis,
-                                "diagnosis_id", "diagnosis_key")
+        return self._cut(BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup, self.dim_diagnosis,
+                                "diagnosis_id", "diagnosis_key"))
 
     @cached_property
     def resolved_procedures(self) -> DataFrame:
-        return BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup, self.dim_procedure,
-                                "procedure_id", "procedure_key")
+        return self._cut(BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup, self.dim_procedure,
+                                "procedure_id", "procedure_key"))
 
     @cached_property
     def bridge_diagnoses(self) -> DataFrame:
@@ -123,7 +136,7 @@ class StarBuild:
 
     @cached_property
     def bridge_procedures(self) -> DataFrame:
-        return BR.build_bridge_procedures(self.resolved_procedures)
+        return self._cut(BR.build_bridge_procedures(self.resolved_procedures))
 
     # ---- rejects -------------------------------------------------------------
     @cached_property
@@ -145,9 +158,9 @@ class StarBuild:
     def errors(self) -> DataFrame:
         """``etl_error_records`` rows of the run (cascade order: patients, providers,
         encounters, diagnosis links, procedure links)."""
-        return R.quarantine(self.params.batch_id, self.patient_rejects, self.provider_rejects,
+        return self._cut(R.quarantine(self.params.batch_id, self.patient_rejects, self.provider_rejects,
                             self.encounter_rejects, BR.diagnosis_rejects(self.resolved_diagnoses),
-                            BR.procedure_rejects(self.resolved_procedures))
+                            BR.procedure_rejects(self.resolved_procedures)))
 
     def tables(self) -> dict[str, DataFrame]:
         return {

@@ -24,6 +24,8 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.driver.memory": "16g",
 }
 
 
