@@ -10,15 +10,29 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_PROVEN: dict[tuple, bool] = {}
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
     returned unchanged and the join is planned from statistics (shuffle join, with
-    AQE free to switch to broadcast when the real shuffle output is small).
+    AQE free to switch to broadcast when the real shuffle output is small). The
+    outcome is remembered per plan and input files, so rewriting a table (new
+    files) triggers a new check.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())),
+               max_rows)
+    except Exception:  # plans without a semantic hash: always check
+        key = None
+    small = _PROVEN.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _PROVEN[key] = small
+    return F.broadcast(df) if small else df
 
 
 def missing_keys(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str | None = None) -> DataFrame:

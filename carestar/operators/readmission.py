@@ -17,7 +17,9 @@ So each stay becomes two rows, and per (patient, group, bucket) only the
 smallest ``d`` of the k-rows and the largest ``d + W`` of the (k+1)-rows matter
 — plus the runner-up of each, to honour ``e2 <> e1`` exactly. These are plain
 aggregations (partial aggregation first, so a hot patient costs nothing extra),
-and each candidate joins at most one row per group of its (patient, bucket).
+and each candidate joins at most one bounds row per group of its (patient,
+bucket): the fan-out is bounded by the number of groups (specialties), never by
+the number of encounters.
 """
 
 from __future__ import annotations
@@ -33,45 +35,48 @@ def time_bucket(ts, width_seconds: int):
     return F.floor(secs / F.lit(width_seconds)).cast("long")
 
 
-def _best_two(rows: DataFrame, keys: list[str], smallest: bool) -> DataFrame:
-    """Per key: the best value with its id, and the best value among the other ids."""
-    pick = F.min if smallest else F.max
-    first = rows.groupBy(*keys).agg(pick(F.struct("v", "id")).alias("b1"))
-    first = first.select(*keys, F.col("b1.v").alias("v1"), F.col("b1.id").alias("id1"))
-    second = (rows.join(first.select(*keys, "id1"), keys)
-              .filter(F.col("id") != F.col("id1"))
-              .groupBy(*keys).agg(pick("v").alias("v2")))
-    return first.join(second, keys, "left")
+def _bounds(idx: DataFrame, days: int, width: int) -> DataFrame:
+    """Per (patient, grp, bucket): best and runner-up of both bound kinds, in two aggregations.
+
+    Lower rows (bucket k, value d): smallest d and its id, then the smallest d of the
+    other ids. Upper rows (bucket k+1, value d + W): largest and runner-up likewise.
+    ``min_by``/``max_by`` on (long id, timestamp) keep hash aggregation.
+    """
+    kb = time_bucket(F.col("discharge"), width)
+    rows = idx.select("patient", "grp", kb.alias("kb"), F.col("discharge").alias("v"), F.col("e1").alias("id"),
+                      F.lit(0).alias("kind")).unionByName(
+        idx.select("patient", "grp", (kb + 1).alias("kb"),
+                   F.timestamp_add("DAY", F.lit(days), F.col("discharge")).alias("v"), F.col("e1").alias("id"),
+                   F.lit(1).alias("kind")))
+    keys = ["patient", "grp", "kb"]
+    lo_v, hi_v = F.when(F.col("kind") == 0, F.col("v")), F.when(F.col("kind") == 1, F.col("v"))
+    first = rows.groupBy(*keys).agg(F.min(lo_v).alias("lv1"), F.min_by("id", lo_v).alias("lid1"),
+                                    F.max(hi_v).alias("hv1"), F.max_by("id", hi_v).alias("hid1"))
+    other_lo = F.when((F.col("kind") == 0) & (F.col("id") != F.col("lid1")), F.col("v"))
+    other_hi = F.when((F.col("kind") == 1) & (F.col("id") != F.col("hid1")), F.col("v"))
+    return (rows.join(first, keys)
+            .groupBy(*keys, "lv1", "lid1", "hv1", "hid1")
+            .agg(F.min(other_lo).alias("lv2"), F.max(other_hi).alias("hv2")))
 
 
 def readmission_counts(index_stays: DataFrame, candidates: DataFrame, days: int = 30) -> DataFrame:
-    """Per group: ``index_stays`` (distinct e1) and ``readmissions`` (distinct e2).
+    """Per group: ``index_stays`` (e1) and ``readmissions`` (distinct e2).
 
     index_stays: columns ``e1, patient, grp, discharge`` (discharge not null).
     candidates:  columns ``e2, patient, t``.
+    e1 and e2 are primary keys, so each (e2, group) meets one bounds row at most
+    and plain counts are distinct counts.
     """
     width = days * 86400
-    idx = index_stays.select("e1", "patient", "grp", "discharge",
-                             time_bucket(F.col("discharge"), width).alias("kb"))
-    keys = ["patient", "grp", "kb"]
-    lower = idx.select("patient", "grp", "kb", F.col("discharge").alias("v"), F.col("e1").alias("id"))
-    upper = idx.select("patient", "grp", (F.col("kb") + 1).alias("kb"),
-                       F.timestamp_add("DAY", F.lit(days), F.col("discharge")).alias("v"),
-                       F.col("e1").alias("id"))
-    lo = _best_two(lower, keys, smallest=True)
-    hi = _best_two(upper, keys, smallest=False)
-
+    bounds = _bounds(index_stays.select("e1", "patient", "grp", "discharge"), days, width)
     cand = candidates.select("e2", "patient", "t", time_bucket(F.col("t"), width).alias("kb")) \
         .filter(F.col("t").isNotNull() & F.col("patient").isNotNull())
-    other = F.col("id1") != F.col("e2")
-    hit_lo = cand.join(lo, ["patient", "kb"]).filter(
-        (other & (F.col("v1") < F.col("t"))) | (~other & (F.col("v2") < F.col("t"))))
-    hit_hi = cand.join(hi, ["patient", "kb"]).filter(
-        (other & (F.col("v1") >= F.col("t"))) | (~other & (F.col("v2") >= F.col("t"))))
-    hits = hit_lo.select("grp", "e2").unionByName(hit_hi.select("grp", "e2")).distinct()
-
+    t, e2 = F.col("t"), F.col("e2")
+    hit_lo = ((F.col("lid1") != e2) & (F.col("lv1") < t)) | ((F.col("lid1") == e2) & (F.col("lv2") < t))
+    hit_hi = ((F.col("hid1") != e2) & (F.col("hv1") >= t)) | ((F.col("hid1") == e2) & (F.col("hv2") >= t))
+    hits = cand.join(bounds, ["patient", "kb"]).filter(F.coalesce(hit_lo, F.lit(False)) | F.coalesce(hit_hi, F.lit(False)))
     readm = hits.groupBy("grp").agg(F.count(F.lit(1)).alias("readmissions"))
-    totals = index_stays.groupBy("grp").agg(F.count_distinct("e1").alias("index_stays"))
+    totals = index_stays.groupBy("grp").agg(F.count(F.lit(1)).alias("index_stays"))
     return totals.join(readm, "grp", "left") \
         .select("grp", "index_stays", F.coalesce("readmissions", F.lit(0)).cast("long").alias("readmissions"))
 
