@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import random
+import threading
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -43,12 +44,14 @@ class EventLog:
     ended: dt.datetime | None = None
     notes: str | None = None
     last_successful_encounter_id: int | None = None
+    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def log(self, level: str, step: str, message: str, rows: int | None = None,
             expected: int | None = None, seconds: float | None = None) -> None:
         secs = None if seconds is None else Decimal(f"{seconds:.2f}")
-        self.events.append((len(self.events) + 1, self.batch_id, dt.datetime.now(dt.timezone.utc), level, step,
-                            message, rows, expected, secs))
+        with self._lock:   # steps of one phase may run as concurrent jobs
+            self.events.append((len(self.events) + 1, self.batch_id, dt.datetime.now(dt.timezone.utc), level,
+                                step, message, rows, expected, secs))
 
     def start(self) -> None:
         self.log(INFO, "ETL_START", f"Starting {self.batch_type} ETL batch")
