@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from carestar.functions.dates import month_label, since
 from carestar.functions.expressions import count_when, safe_ratio
 from carestar.operators.joins import sized_broadcast
-from carestar.operators.keys import plain_row_number
 from carestar.operators.readmission import readmission_counts
 
 INPATIENT, INPATIENT_CODE, PAID = "Inpatient", "IP", "Paid"
@@ -75,10 +74,11 @@ def code_groups(dim: DataFrame, id_col: str, code: str, desc: str, prefix: str)
     Returns (id -> gid map, gid -> names). Grouping by the names merges ids that
     share both, so the link rows are reduced per group, not per id.
     """
-    names = plain_row_number(dim.select(code, desc).distinct(), [code, desc], f"{prefix}_gid")
+    gid = f"{prefix}_gid"
+    names = dim.groupBy(code, desc).agg(F.min(id_col).alias(gid))      # smallest member id names the group
     m = dim.select(id_col, code, desc).join(names, [dim[code].eqNullSafe(names[code]),
                                                     dim[desc].eqNullSafe(names[desc])])
-    return m.select(id_col, f"{prefix}_gid"), names
+    return m.select(id_col, gid), names
 
 
 def _pairs(d_side: DataFrame, p_side: DataFrame, on: str, measure) -> DataFrame:
