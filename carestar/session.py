@@ -62,7 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="carestar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # not settable at runtime on this session: the context setting below suffices
+            pass
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
