@@ -17,7 +17,7 @@ from carestar.functions import dates as D
 from carestar.functions import expressions as X
 from carestar.operators import audit as A
 from carestar.operators import quality as QC
-from carestar.operators.calendar import date_spine
+from carestar.operators.calendar import build_dim_date, date_spine
 from carestar.operators.fact import expected_fact_rows, loadable
 from carestar.operators.lookups import billing_totals, count_per_key
 from carestar.operators.rejects import with_error_audit
@@ -64,12 +64,27 @@ def monthly_revenue_agg(s, d): return Q.monthly_specialty_revenue(_star(s, d))
 
 
 # ---- star tables --------------------------------------------------------------
-def dim_date(s, d): return build(s, d).dim_date
+def _span(s, d) -> tuple[str, str]:
+    """First and last encounter day in the data (two scalars)."""
+    e = _oltp(s, d)["encounters"]
+    r = e.agg(F.min(F.to_date("encounter_date")).alias("lo"), F.max(F.to_date("encounter_date")).alias("hi")).first()
+    return str(r["lo"]), str(r["hi"])
+
+
+def dim_date(s, d):
+    """P2 over the span of the loaded encounters (the build itself uses the configured calendar)."""
+    return build_dim_date(s, *_span(s, d))
 def dim_patient(s, d): return build(s, d).dim_patient
 def dim_provider(s, d): return build(s, d).dim_provider
 def dim_specialty(s, d): return build(s, d).dim_specialty
 def dim_department(s, d): return build(s, d).dim_department
-def encounter_type_dim(s, d): return build(s, d).dim_encounter_type
+def encounter_type_dim(s, d):
+    """S3 / P5: the static type table, with how many source encounters carry each type."""
+    b = build(s, d)
+    used = b.oltp["encounters"].groupBy(F.col("encounter_type").alias("encounter_type_name")) \
+        .agg(F.count(F.lit(1)).alias("encounters"))
+    return b.dim_encounter_type.join(used, "encounter_type_name", "left") \
+        .withColumn("encounters", F.coalesce("encounters", F.lit(0)))
 def dim_diagnosis(s, d): return build(s, d).dim_diagnosis
 def dim_procedure(s, d): return build(s, d).dim_procedure
 def fact_encounters(s, d): return build(s, d).fact
@@ -83,7 +98,8 @@ def surrogate_keys(s, d):
 
 
 def date_spine_q(s, d):
-    return date_spine(s, P.calendar_start, P.calendar_end)
+    """S4 over the span of the loaded encounters."""
+    return date_spine(s, *_span(s, d))
 
 
 # ---- rejects, lookups, pre-aggregates --------------------------------------------
