@@ -19,6 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from carestar.plans import questions as Q  # noqa: E402
+from carestar.plans.compare import compare  # noqa: E402
 from carestar.plans.pipeline import run_pipeline  # noqa: E402
 from carestar.plans.star import TEST_PARAMS  # noqa: E402
 from carestar.session import checkpoint_dir, get_session  # noqa: E402
@@ -70,6 +71,7 @@ def main() -> None:
         timings[name] = best
 
     questions = sum(v for k, v in timings.items() if k.startswith("q"))
+    report = {r["question"]: r["speedup"] for r in compare(spark, timings).collect()}   # N5
     out = {
         "metric": "four_questions_both_models_total", "value": round(questions, 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in timings.items()},
@@ -78,6 +80,7 @@ def main() -> None:
         "star_rows": {k: v for k, v in result.counts.items() if not k.startswith("_work")},
         "oltp_total": round(sum(v for k, v in timings.items() if k.endswith("_oltp")), 3),
         "star_total": round(sum(v for k, v in timings.items() if k.endswith("_star")), 3),
+        "speedup_oltp_over_star": report,
     }
     print(json.dumps(out))
 

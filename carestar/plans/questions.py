@@ -8,7 +8,7 @@ month), which is what "newest first" means, not by the month name as text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestar.functions.dates import month_label, since
@@ -75,9 +75,9 @@ def code_groups(dim: DataFrame, id_col: str, code: str, desc: str, prefix: str)
     share both, so the link rows are reduced per group, not per id.
     """
     gid = f"{prefix}_gid"
-    names = dim.groupBy(code, desc).agg(F.min(id_col).alias(gid))      # smallest member id names the group
-    m = dim.select(id_col, code, desc).join(names, [dim[code].eqNullSafe(names[code]),
-                                                    dim[desc].eqNullSafe(names[desc])])
+    # the smallest member id names the group; one window over the (bounded) code table
+    m = dim.select(id_col, code, desc, F.min(id_col).over(Window.partitionBy(code, desc)).alias(gid))
+    names = m.filter(F.col(id_col) == F.col(gid)).select(gid, code, desc)
     return m.select(id_col, gid), names
 
 

@@ -25,6 +25,7 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.scheduler.mode": "FAIR",            # concurrent independent ETL steps share the cores
     "spark.driver.memory": "16g",
 }
 
