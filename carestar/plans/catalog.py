@@ -341,6 +341,50 @@ def union_distinct(s, d):
     return o["providers"].select("provider_id").union(o["encounters"].select("provider_id")).distinct()
 
 
+# ---- audit of a full pipeline run (written under spark.checkpoint.dir) ------------------
+_RUNS: dict[tuple[int, str], object] = {}
+
+
+def pipeline_run(s, d):
+    """One full-refresh run per session and folder, from the adapter's OLTP tables."""
+    key = (id(s), d)
+    if key not in _RUNS:
+        from carestar.plans.pipeline import run_pipeline
+        from carestar.session import checkpoint_dir
+        import os
+        import uuid
+        root = os.path.join(checkpoint_dir(s), "carestar-runs", uuid.uuid4().hex)
+        _RUNS[key] = run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id)
+    return _RUNS[key]
+
+
+def pipeline_table_counts(s, d):
+    """Rows per star table as written and published by the run."""
+    from carestar.plans.pipeline import run_summary
+    return run_summary(s, pipeline_run(s, d))["table_counts"]
+
+
+def pipeline_checks(s, d):
+    """The run's reconciliation summary (count checks with PASS/FAIL)."""
+    from carestar.plans.pipeline import run_summary
+    return run_summary(s, pipeline_run(s, d))["checks"]
+
+
+def pipeline_recent_log(s, d):
+    """The run's last 15 log rows, newest first (times vary: rows-only check)."""
+    from carestar.plans.pipeline import run_summary
+    return run_summary(s, pipeline_run(s, d))["recent_log"]
+
+
+def pipeline_log_levels(s, d):
+    """The run's log rows per level, read back from the audit tables."""
+    r = pipeline_run(s, d)
+    control = A.read_audit(s, r.audit_root, "etl_batch_control")
+    log = A.read_audit(s, r.audit_root, "etl_log")
+    errors = A.read_audit(s, r.audit_root, "etl_error_records")
+    return A.batch_summary(control, log, errors, r.batch_id)[1]
+
+
 QUERIES = {
     "q1_oltp": q1_oltp, "q1_star": q1_star, "q2_oltp": q2_oltp, "q2_star": q2_star,
     "q3_oltp": q3_oltp, "q3_star": q3_star, "q4_oltp": q4_oltp, "q4_star": q4_star,
@@ -366,4 +410,6 @@ QUERIES = {
     "table_counts": table_counts, "error_summary": error_summary,
     "type_distribution": type_distribution, "resolve_errors": resolve_errors_q,
     "range_replace": range_replace, "union_distinct": union_distinct,
+    "pipeline_table_counts": pipeline_table_counts, "pipeline_checks": pipeline_checks,
+    "pipeline_recent_log": pipeline_recent_log, "pipeline_log_levels": pipeline_log_levels,
 }
