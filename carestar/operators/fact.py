@@ -24,14 +24,19 @@ KEYS = ["patient_key", "provider_key", "specialty_key", "department_key", "encou
 
 
 def resolve_encounters(encounters: DataFrame, patient_lu: DataFrame, provider_lu: DataFrame,
-                       department_lu: DataFrame, encounter_type_lu: DataFrame) -> DataFrame:
+                       department_lu: DataFrame, encounter_type_lu: DataFrame,
+                       fold_case: bool = False) -> DataFrame:
+    """Left-join every lookup. ``fold_case`` matches type names case-insensitively, as
+    MySQL's default collation does (T12); by default the comparison is binary."""
     prov = sized_broadcast(provider_lu)
     dept = sized_broadcast(department_lu)
     etyp = sized_broadcast(encounter_type_lu)
+    a, b = encounters.encounter_type, etyp.encounter_type_name
+    type_match = F.lower(a) == F.lower(b) if fold_case else a == b
     return (encounters
             .join(prov, "provider_id", "left")
             .join(dept, "department_id", "left")
-            .join(etyp, encounters.encounter_type == etyp.encounter_type_name, "left")
+            .join(etyp, type_match, "left")
             .drop("encounter_type_name")
             .join(patient_lu, "patient_id", "left"))
 

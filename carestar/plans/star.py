@@ -31,6 +31,7 @@ class Params:
     since: str = "2022-01-01"                 # question filter (timestamp >=)
     batch_id: str = "BATCH"
     check_dates: bool = False                 # optional MISSING_DATE reject
+    fold_case: bool = False                   # T12: match type names case-insensitively
 
     @property
     def since_year(self) -> int:
@@ -109,9 +110,10 @@ class StarBuild:
 
     @cached_property
     def resolved_encounters(self) -> DataFrame:
-        return self._cut(FA.resolve_encounters(self.oltp["encounters"], LU.patient_lookup(self.dim_patient),
-                                     self.provider_lookup, LU.department_lookup(self.dim_department),
-                                     LU.encounter_type_lookup(self.dim_encounter_type)))
+        return self._cut(FA.resolve_encounters(
+            self.oltp["encounters"], LU.patient_lookup(self.dim_patient), self.provider_lookup,
+            LU.department_lookup(self.dim_department), LU.encounter_type_lookup(self.dim_encounter_type),
+            self.params.fold_case))
 
     # ---- fact and bridges ------------------------------------------------
     @cached_property
@@ -125,13 +127,13 @@ class StarBuild:
 
     @cached_property
     def resolved_diagnoses(self) -> DataFrame:
-        return self._cut(BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup, self.dim_diagnosis,
-                                "diagnosis_id", "diagnosis_key"))
+        return self._cut(BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup,
+                                          self.dim_diagnosis, "diagnosis_id", "diagnosis_key"))
 
     @cached_property
     def resolved_procedures(self) -> DataFrame:
-        return self._cut(BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup, self.dim_procedure,
-                                "procedure_id", "procedure_key"))
+        return self._cut(BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup,
+                                          self.dim_procedure, "procedure_id", "procedure_key"))
 
     @cached_property
     def bridge_diagnoses(self) -> DataFrame:
@@ -162,8 +164,8 @@ class StarBuild:
         """``etl_error_records`` rows of the run (cascade order: patients, providers,
         encounters, diagnosis links, procedure links)."""
         return self._cut(R.quarantine(self.params.batch_id, self.patient_rejects, self.provider_rejects,
-                            self.encounter_rejects, BR.diagnosis_rejects(self.resolved_diagnoses),
-                            BR.procedure_rejects(self.resolved_procedures)))
+                                      self.encounter_rejects, BR.diagnosis_rejects(self.resolved_diagnoses),
+                                      BR.procedure_rejects(self.resolved_procedures)))
 
     def tables(self) -> dict[str, DataFrame]:
         return {

@@ -100,3 +100,18 @@ def test_q4_paid_vs_all(build):
 def test_q3_star_counts(build):
     rows = {r.specialty_name: r for r in Q.q3_star(build.tables(), 2024, min_discharges=1).collect()}
     assert rows["Cardio"].readmissions_within_30_days == 1      # 1001 is 17 days after 1000's discharge
+
+
+def test_options_fold_case_and_missing_date(spark, build):
+    import dataclasses
+    o = dict(build.oltp)
+    o["encounters"] = spark.createDataFrame([
+        (2000, 1, 100, "inpatient", T(2024, 3, 1, 8), T(2024, 3, 2, 8), 1),      # lower-case type
+        (2001, 1, 100, "Outpatient", T(2040, 1, 1, 8), T(2040, 1, 1, 9), 1)],    # outside the calendar
+        S.ENCOUNTERS)
+    strict = StarBuild(spark, o, Params(since="2024-01-01"))
+    assert sorted(r.encounter_id for r in strict.fact.collect()) == [2001]           # binary compare (default)
+    folded = StarBuild(spark, o, dataclasses.replace(Params(since="2024-01-01"), fold_case=True, check_dates=True))
+    assert sorted(r.encounter_id for r in folded.fact.collect()) == [2000]
+    errs = {(r.source_id, r.error_type) for r in folded.errors.collect() if r.source_table == "encounters"}
+    assert errs == {(2001, "MISSING_DATE")}
