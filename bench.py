@@ -13,8 +13,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -34,8 +34,8 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     spark = get_session(f"local[{cpus}]", app="carestar-bench", shuffle_partitions=cpus * 2,
                         extra={"spark.sql.files.maxPartitionBytes": str(64 << 20)})
-    base = spark.conf.get("carestar.bench.dir", None) or tempfile.mkdtemp(prefix="carestar-bench-")
-    checkpoint_dir(spark)
+    # scratch under the shared checkpoint folder (a local temp folder only when none is configured)
+    base = os.path.join(checkpoint_dir(spark), f"carestar-bench-{uuid.uuid4().hex[:8]}")
     timings: dict[str, float] = {}
 
     t0 = time.time()
