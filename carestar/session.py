@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # runtime broadcast from measured shuffle sizes only (never from estimates)
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.ansi.enabled": "true",
