@@ -12,6 +12,7 @@ from carestar.functions.expressions import age_band
 from carestar.operators import rejects as R
 from carestar.operators.joins import missing_keys, sized_broadcast
 from carestar.operators.keys import with_surrogate_key
+from carestar.sources.readers import literal_rows
 
 # The static encounter-type code table (name, code, admission, hours).
 ENCOUNTER_TYPES = [
@@ -34,7 +35,7 @@ def build_dim_department(departments: DataFrame) -> DataFrame:
 
 def build_dim_encounter_type(spark: SparkSession) -> DataFrame:
     rows = [(i + 1, *r) for i, r in enumerate(ENCOUNTER_TYPES)]
-    return spark.createDataFrame(rows, schemas.DIM_ENCOUNTER_TYPE)
+    return literal_rows(spark, rows, schemas.DIM_ENCOUNTER_TYPE)
 
 
 def build_dim_diagnosis(diagnoses: DataFrame) -> DataFrame:

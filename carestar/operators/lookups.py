@@ -68,8 +68,3 @@ def encounter_measures(encounter_diagnoses: DataFrame, encounter_procedures: Dat
         F.sum("_c").cast(money).alias("total_claim"),
         F.sum("_a").cast(money).alias("total_allowed"))
 
-
-def small_lookups(lookups: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Hint broadcast for the code-table lookups after checking their size."""
-    return {k: sized_broadcast(v) if k in ("provider", "department", "encounter_type") else v
-            for k, v in lookups.items()}

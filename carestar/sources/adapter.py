@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carestar import schemas
-from carestar.sources.readers import read_source
+from carestar.sources.readers import read_tables
 
 # Fixed values of the fixture (name lists used to dress patients).
 FIRST_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eva", "Finn", "Gia", "Hugo", "Iris", "Jon",
@@ -147,8 +147,7 @@ def procedures(part: DataFrame) -> DataFrame:
 
 def oltp_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All ten OLTP tables as lazy DataFrames over the driver parquet files."""
-    t = {n: read_source(spark, sf_dir, n) for n in
-         ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]}
+    t = read_tables(spark, sf_dir, ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"])
     prov = providers(t["supplier"], t["nation"])
     n_suppliers = t["supplier"].count()
     lines = numbered_lines(t["lineitem"])

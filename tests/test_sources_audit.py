@@ -6,7 +6,7 @@ from carestar.operators import audit as A
 from carestar.plans.compare import compare
 from carestar.sources import sinks
 from carestar.sources.readers import read_csv
-from carestar.streaming.watermark import latest_high_water_mark
+from carestar.streaming.watermark import latest_high_water_mark, recorded_high_water_marks
 
 
 def test_read_csv_header_and_quotes(spark):
@@ -60,6 +60,7 @@ def test_audit_views(spark):
     assert A.unresolved(fixed).count() == 0 and A.batch_history(control).count() == 1
     assert A.step_details(lg, "B9").count() == 4 and log.logged_rows == 13
     assert latest_high_water_mark(control).first().last_successful_encounter_id == 42
+    assert recorded_high_water_marks(control).count() == 1
 
 
 def test_compare_report(spark):
