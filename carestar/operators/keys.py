@@ -10,7 +10,8 @@ depend on the physical partitioning, and is the same on every rerun (unlike
 ``monotonically_increasing_id``). Natural keys are unique, so a bucket never
 holds more than ``width`` rows however skewed the id distribution is.
 
-``sequence_within`` does the same inside groups (procedure order per encounter),
+``sequence_within`` numbers inside groups (procedure order per encounter): groups
+of bounded size by the plain window, the few oversized ones split the same way,
 so one huge group is numbered by many tasks.
 """
 
@@ -53,14 +54,30 @@ def with_surrogate_key(df: DataFrame, natural_key: str, name: str, start: int =
 
 
 def sequence_within(df: DataFrame, partition_by: list[str], order_by: list[str], name: str,
-                    split_on: str, split_width: int = 1 << 16) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY p ORDER BY o...)`` that splits large groups.
+                    split_on: str, split_width: int = 1 << 16, hot_rows: int = 1 << 20) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY p ORDER BY o...)`` that never gives one task a huge group.
 
-    ``split_on`` is an integral, unique column that is the *last* ordering column
-    (the tie-breaker). Sub-groups are (p, leading order columns, split_on div
-    width); each is numbered locally and shifted by a running sum of sub-group
-    counts taken over the (small) count table.
+    Groups up to ``hot_rows`` rows are numbered by the plain window (one shuffle).
+    Larger ("hot") groups — at most ``rows / hot_rows`` of them, found by one
+    partially aggregated count and broadcast after a size check — are split: see
+    ``_split_sequence``. ``split_on`` is an integral, unique column that is the last
+    ordering column (the tie-breaker).
     """
+    from carestar.operators.joins import sized_broadcast   # joins does not import keys
+    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_gn"))
+    hot = sized_broadcast(sizes.filter(F.col("_gn") > hot_rows).select(*partition_by))
+    normal = df.join(hot, partition_by, "left_anti")          # null keys stay here, as in the window
+    plain = normal.withColumn(name, F.row_number().over(
+        Window.partitionBy(*partition_by).orderBy(*order_by)).cast("int"))
+    heavy = _split_sequence(df.join(hot, partition_by, "left_semi"), partition_by, order_by, name,
+                            split_on, split_width)
+    return plain.select(*df.columns, name).unionByName(heavy)
+
+
+def _split_sequence(df: DataFrame, partition_by: list[str], order_by: list[str], name: str,
+                    split_on: str, split_width: int) -> DataFrame:
+    """Sub-groups are (p, leading order columns, split_on div width); each is numbered
+    locally and shifted by a running sum of sub-group counts over the (small) count table."""
     lead = [c for c in order_by if c != split_on]
     sub = (F.col(split_on) / F.lit(split_width)).cast("long")
     with_s = df.withColumn("_ss", F.floor(sub).cast("long"))
@@ -75,4 +92,3 @@ def sequence_within(df: DataFrame, partition_by: list[str], order_by: list[str],
     cond = [numbered[c].eqNullSafe(o[f"_o_{c}"]) for c in grp]   # leading columns may be null
     out = numbered.join(o, cond).withColumn(name, (F.col("_so") + F.col("_sr")).cast("int"))
     return out.select(*df.columns, name)
-

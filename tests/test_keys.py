@@ -37,8 +37,8 @@ def test_sequence_within_splits_large_groups(spark):
             d = None if j % 97 == 0 else dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 3))
             rows.append((enc, d, enc * 10_000 + j * 7 + rnd.randint(0, 6)))
     df = spark.createDataFrame(rows, "e long, d date, id long").dropDuplicates(["id"])
-    got = sequence_within(df, ["e"], ["d", "id"], "seq", split_on="id", split_width=16)
     want = df.withColumn("seq", F.row_number().over(Window.partitionBy("e").orderBy("d", "id")))
-    a = {(r.id, r.seq) for r in got.collect()}
     b = {(r.id, r.seq) for r in want.collect()}
-    assert a == b
+    for hot_rows in (50, 1 << 20):                 # encounter 0 hot / everything on the plain path
+        got = sequence_within(df, ["e"], ["d", "id"], "seq", split_on="id", split_width=16, hot_rows=hot_rows)
+        assert {(r.id, r.seq) for r in got.collect()} == b
