@@ -376,6 +376,14 @@ def pipeline_recent_log(s, d):
     return run_summary(s, pipeline_run(s, d))["recent_log"]
 
 
+def pipeline_batch_totals(s, d):
+    """The run's batch-control row (totals computed when the run closed)."""
+    r = pipeline_run(s, d)
+    control = A.read_audit(s, r.audit_root, "etl_batch_control")
+    return control.filter(F.col("batch_id") == r.batch_id).select(
+        "total_rows_processed", "total_errors", "status", "last_successful_encounter_id")
+
+
 def pipeline_log_levels(s, d):
     """The run's log rows per level, read back from the audit tables."""
     r = pipeline_run(s, d)
@@ -412,4 +420,5 @@ QUERIES = {
     "range_replace": range_replace, "union_distinct": union_distinct,
     "pipeline_table_counts": pipeline_table_counts, "pipeline_checks": pipeline_checks,
     "pipeline_recent_log": pipeline_recent_log, "pipeline_log_levels": pipeline_log_levels,
+    "pipeline_batch_totals": pipeline_batch_totals,
 }
