@@ -105,6 +105,11 @@ def id_ranges(lo: int, hi: int, step: int) -> list[tuple[int, int]]:
     return [(a, min(a + step - 1, hi)) for a in range(lo, hi + 1, step)]
 
 
+def batch_slice(df: DataFrame, key: str, lo: int, hi: int) -> DataFrame:
+    """``key BETWEEN lo AND hi`` (both ends included), the reference's batch window."""
+    return df.filter(F.col(key).between(lo, hi))
+
+
 def fact_batches(spark: SparkSession, loadable: DataFrame, fact: DataFrame, lo: int, hi: int,
                  step: int) -> DataFrame:
     """A9 / J4 per range: expected vs loaded rows, level, and the running high-water mark.

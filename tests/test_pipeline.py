@@ -53,6 +53,15 @@ def test_failure_is_not_published(spark, oltp):
     assert ctl.status == A.FAILED
 
 
+def test_batch_slice_edges(spark):
+    df = spark.range(0, 12).withColumnRenamed("id", "k")
+    got = [r.k for r in A.batch_slice(df, "k", 4, 7).orderBy("k").collect()]
+    assert got == [4, 5, 6, 7]                                  # lo and hi in, hi + 1 out
+    ranges = A.id_ranges(0, 11, 4)
+    parts = [A.batch_slice(df, "k", lo, hi).count() for lo, hi in ranges]
+    assert parts == [4, 4, 4] and sum(parts) == df.count()     # ranges cover every id once
+
+
 def test_batch_id_and_ranges():
     import datetime as dt
     assert A.new_batch_id(dt.datetime(2024, 5, 6, 7, 8, 9), 5) == "20240506_070809_005"
