@@ -7,6 +7,9 @@ work grows with the tables. The DuckDB oracle for each name is in ``oracles``.
 
 from __future__ import annotations
 
+import os
+import threading
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import SparkSession
@@ -22,13 +25,16 @@ from carestar.operators.fact import expected_fact_rows, loadable
 from carestar.operators.lookups import billing_totals, count_per_key
 from carestar.operators.rejects import with_error_audit
 from carestar.plans import questions as Q
+from carestar.plans.pipeline import run_pipeline, run_summary
 from carestar.plans.star import TEST_PARAMS, StarBuild
 from carestar.sources.adapter import oltp_from_driver
 from carestar.sources.readers import read_source
+from carestar.session import checkpoint_dir
 from carestar.sources.sinks import replace_range
 
 P = TEST_PARAMS
 _BUILDS: dict[tuple[int, str], StarBuild] = {}
+_LOCK = threading.RLock()          # one build / one run per session and folder, even from threads
 
 # Parameters of the registered audit queries.
 BATCH_STEP = 2500                      # encounter ids per fact batch (reference: 100,000)
@@ -38,9 +44,10 @@ RANGE_LO, RANGE_HI = 500_000, 999_999  # billing ids replaced by ``range_replace
 
 def build(spark: SparkSession, sf_dir: str) -> StarBuild:
     key = (id(spark), sf_dir)
-    if key not in _BUILDS:
-        _BUILDS[key] = StarBuild(spark, oltp_from_driver(spark, sf_dir), P, materialize=True)
-    return _BUILDS[key]
+    with _LOCK:
+        if key not in _BUILDS:
+            _BUILDS[key] = StarBuild(spark, oltp_from_driver(spark, sf_dir), P, materialize=True)
+        return _BUILDS[key]
 
 
 def _star(spark, sf_dir) -> dict:
@@ -348,31 +355,25 @@ _RUNS: dict[tuple[int, str], object] = {}
 def pipeline_run(s, d):
     """One full-refresh run per session and folder, from the adapter's OLTP tables."""
     key = (id(s), d)
-    if key not in _RUNS:
-        from carestar.plans.pipeline import run_pipeline
-        from carestar.session import checkpoint_dir
-        import os
-        import uuid
-        root = os.path.join(checkpoint_dir(s), "carestar-runs", uuid.uuid4().hex)
-        _RUNS[key] = run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id)
-    return _RUNS[key]
+    with _LOCK:
+        if key not in _RUNS:
+            root = os.path.join(checkpoint_dir(s), "carestar-runs", uuid.uuid4().hex)
+            _RUNS[key] = run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id)
+        return _RUNS[key]
 
 
 def pipeline_table_counts(s, d):
     """Rows per star table as written and published by the run."""
-    from carestar.plans.pipeline import run_summary
     return run_summary(s, pipeline_run(s, d))["table_counts"]
 
 
 def pipeline_checks(s, d):
     """The run's reconciliation summary (count checks with PASS/FAIL)."""
-    from carestar.plans.pipeline import run_summary
     return run_summary(s, pipeline_run(s, d))["checks"]
 
 
 def pipeline_recent_log(s, d):
     """The run's last 15 log rows, newest first (times vary: rows-only check)."""
-    from carestar.plans.pipeline import run_summary
     return run_summary(s, pipeline_run(s, d))["recent_log"]
 
 
