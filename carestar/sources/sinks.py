@@ -1,22 +1,24 @@
 """Sinks (S5-S8): append, staged full refresh, source reset, idempotent range replace.
 
 Nothing is overwritten in place while it may be read: a full refresh writes every
-table of a run under a new staging folder and then publishes it by writing a small
-pointer file (the ``_CURRENT`` marker) that readers resolve. Old runs stay intact
-until removed by the operator, so a failed run never leaves half-written tables.
+table of a run under a new staging folder and then publishes it by appending one
+row to the ``_published`` log that readers resolve (newest row wins). Old runs stay
+intact until removed by the operator, so a failed run never leaves half-written
+tables.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as dt
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CURRENT = "_CURRENT"
+PUBLISHED = "_published"
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -38,37 +40,40 @@ def new_stage(root: str, run_id: str | None = None) -> str:
     return os.path.join(root, "runs", run_id or uuid.uuid4().hex)
 
 
-def publish(root: str, stage: str) -> None:
-    """S6 swap: point the star root at a completed stage (atomic rename of a tiny file)."""
-    os.makedirs(root, exist_ok=True)
-    tmp = os.path.join(root, f".{CURRENT}.{uuid.uuid4().hex}")
-    with open(tmp, "w") as fh:
-        json.dump({"stage": stage}, fh)
-    os.replace(tmp, os.path.join(root, CURRENT))
+def publish(spark: SparkSession, root: str, stage: str) -> None:
+    """S6 swap: record ``stage`` as the current star by appending one row to
+    ``root/_published``. Appends add new files and never rewrite old ones, so this
+    works on any filesystem Spark writes to, and a reader sees either the old or
+    the new stage."""
+    row = [(stage, dt.datetime.now(dt.timezone.utc))]
+    spark.createDataFrame(row, "stage string, published_at timestamp").coalesce(1) \
+        .write.mode("append").parquet(os.path.join(root, PUBLISHED))
 
 
-def current_stage(root: str) -> str | None:
-    p = os.path.join(root, CURRENT)
-    if not os.path.exists(p):
+def current_stage(spark: SparkSession, root: str) -> str | None:
+    """The most recently published stage (one row per run; newest wins)."""
+    try:
+        log = spark.read.parquet(os.path.join(root, PUBLISHED))
+    except AnalysisException:          # nothing published yet
         return None
-    with open(p) as fh:
-        return json.load(fh)["stage"]
+    row = log.orderBy(F.desc("published_at"), F.desc("stage")).select("stage").first()
+    return None if row is None else row["stage"]
 
 
 def read_star(spark: SparkSession, root: str, name: str) -> DataFrame:
-    stage = current_stage(root)
+    stage = current_stage(spark, root)
     if stage is None:
         raise FileNotFoundError(f"no published star schema under {root}")
     return spark.read.parquet(os.path.join(stage, name))
 
 
-def full_refresh(tables: dict[str, DataFrame], root: str, run_id: str | None = None,
+def full_refresh(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str | None = None,
                  partition_by: dict[str, list[str]] | None = None) -> str:
     """Truncate + reload, as write-all-to-a-new-stage then publish."""
     stage = new_stage(root, run_id)
     for name, df in tables.items():
         write_table(df, os.path.join(stage, name), (partition_by or {}).get(name))
-    publish(root, stage)
+    publish(spark, root, stage)
     return stage
 
 

@@ -21,7 +21,7 @@ def oltp(spark):
 def test_full_refresh_publish_and_rerun(spark, oltp):
     root = tempfile.mkdtemp(prefix="carestar-test-")
     r1 = run_pipeline(spark, oltp, root, TEST_PARAMS, batch_id="B1", batch_step=250)
-    assert sinks.current_stage(root) == r1.stage
+    assert sinks.current_stage(spark, root) == r1.stage
     # rejects + loaded = source
     errs = spark.read.parquet(os.path.join(root, "_audit", "etl_error_records")).filter(F.col("batch_id") == "B1")
     n_enc_rej = errs.filter(F.col("source_table") == "encounters").select("source_id").distinct().count()
@@ -32,7 +32,7 @@ def test_full_refresh_publish_and_rerun(spark, oltp):
     assert s["recent_log"].count() == 15
     # idempotent rerun
     r2 = run_pipeline(spark, oltp, root, TEST_PARAMS, batch_id="B2")
-    assert sinks.current_stage(root) == r2.stage
+    assert sinks.current_stage(spark, root) == r2.stage
     a = sinks.read_star(spark, root, "fact_encounters").drop("etl_loaded_date")
     b = spark.read.parquet(os.path.join(r1.stage, "fact_encounters")).drop("etl_loaded_date")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -46,7 +46,7 @@ def test_failure_is_not_published(spark, oltp):
     bad["encounters"] = oltp["encounters"].withColumn("patient_id", F.raise_error(F.lit("boom")))
     with pytest.raises(Exception):
         run_pipeline(spark, bad, root, TEST_PARAMS, batch_id="BX")
-    assert sinks.current_stage(root) is None
+    assert sinks.current_stage(spark, root) is None
     log = spark.read.parquet(os.path.join(root, "_audit", "etl_log"))
     assert log.filter(F.col("log_level") == "ERROR").count() >= 1
     ctl = spark.read.parquet(os.path.join(root, "_audit", "etl_batch_control")).first()

@@ -26,9 +26,9 @@ def test_reset_source_and_full_refresh(spark):
         assert spark.read.parquet(os.path.join(base, n)).count() == 0
     root = tempfile.mkdtemp(prefix="carestar-star-")
     df = spark.createDataFrame([(1, "x")], "id long, v string")
-    stage = sinks.full_refresh({"t": df}, root)
-    assert sinks.current_stage(root) == stage and sinks.read_star(spark, root, "t").count() == 1
-    stage2 = sinks.full_refresh({"t": df.union(df)}, root)
+    stage = sinks.full_refresh(spark, {"t": df}, root)
+    assert sinks.current_stage(spark, root) == stage and sinks.read_star(spark, root, "t").count() == 1
+    stage2 = sinks.full_refresh(spark, {"t": df.union(df)}, root)
     assert sinks.read_star(spark, root, "t").count() == 2
     assert spark.read.parquet(os.path.join(stage, "t")).count() == 1 and stage2 != stage   # old run intact
 
