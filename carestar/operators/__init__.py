@@ -1,0 +1,2 @@
+"""Operators: surrogate keys, calendar, dimensions, lookups and pre-aggregates, fact,
+bridges, rejects, readmission interval join, quality checks, audit, size-checked joins."""
