@@ -85,7 +85,7 @@ def build_fact(resolved: DataFrame, measures: DataFrame, loaded_at: str,
         zero_if_missing("total_allowed").cast("decimal(12,2)").alias("total_allowed_amount"),
         length_of_stay("encounter_type", "encounter_date", "discharge_date").cast("int")
         .alias("length_of_stay_days"),
-        F.lit(loaded_at).cast("timestamp").alias("etl_loaded_date"))
+        F.lit(loaded_at).cast("timestamp_ntz").alias("etl_loaded_date"))   # DATETIME: no zone
     if dim_date is not None:
         fact = fact.join(sized_broadcast(dim_date.select("date_key")), "date_key", "left_semi")
     return with_surrogate_key(fact, "encounter_id", "encounter_key")

@@ -86,7 +86,7 @@ FACT_ENCOUNTERS = _s(("encounter_key", L, False), ("encounter_id", L, False), ("
                      ("encounter_date", TS, True), ("discharge_date", TS, True),
                      ("diagnosis_count", I, False), ("procedure_count", I, False),
                      ("total_claim_amount", MONEY, False), ("total_allowed_amount", MONEY, False),
-                     ("length_of_stay_days", I, True), ("etl_loaded_date", TSL, True))
+                     ("length_of_stay_days", I, True), ("etl_loaded_date", TS, True))
 BRIDGE_DIAGNOSES = _s(("encounter_key", L, False), ("diagnosis_key", L, False),
                       ("diagnosis_sequence", I, True))
 BRIDGE_PROCEDURES = _s(("encounter_key", L, False), ("procedure_key", L, False),
