@@ -32,3 +32,25 @@ def test_surrogate_key_is_dense_rank(spark, ids, buckets, start):
     df = spark.createDataFrame([(i,) for i in ids], "id long")
     got = {r.id: r.k for r in with_surrogate_key(df, "id", "k", start=start, max_buckets=buckets).collect()}
     assert got == {i: n + start for n, i in enumerate(sorted(ids))}
+
+
+STAYS = st.lists(st.tuples(st.integers(0, 3), st.sampled_from("AB"), st.integers(0, 90 * 86400)),
+                 min_size=1, max_size=40)
+ADMITS = st.lists(st.tuples(st.integers(0, 3), st.integers(-5 * 86400, 100 * 86400)), max_size=40)
+
+
+@settings(max_examples=5, deadline=None)
+@given(STAYS, ADMITS, st.sampled_from([1, 7, 30]), st.integers(0, 10))
+def test_readmission_matches_bruteforce(spark, stays, admits, days, n_self):
+    import datetime as dt
+    from carestar.operators.readmission import readmission_counts, readmission_pairs_bruteforce
+    t0 = dt.datetime(2024, 1, 1)
+    idx = [(i, p, g, t0 + dt.timedelta(seconds=s)) for i, (p, g, s) in enumerate(stays)]
+    # some stays are also candidates (their own admission before or after their discharge)
+    cand = [(i, p, d - dt.timedelta(seconds=(i * 7919) % 200000 - 50000)) for i, p, _, d in idx[:n_self]]
+    cand += [(1000 + j, p, t0 + dt.timedelta(seconds=s)) for j, (p, s) in enumerate(admits)]
+    a = spark.createDataFrame(idx, "e1 long, patient long, grp string, discharge timestamp_ntz")
+    c = spark.createDataFrame(cand, "e2 long, patient long, t timestamp_ntz")
+    fast = {r.grp: (r.index_stays, r.readmissions) for r in readmission_counts(a, c, days).collect()}
+    slow = {r.grp: (r.index_stays, r.readmissions) for r in readmission_pairs_bruteforce(a, c, days).collect()}
+    assert fast == slow
