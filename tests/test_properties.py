@@ -54,3 +54,23 @@ def test_readmission_matches_bruteforce(spark, stays, admits, days, n_self):
     fast = {r.grp: (r.index_stays, r.readmissions) for r in readmission_counts(a, c, days).collect()}
     slow = {r.grp: (r.index_stays, r.readmissions) for r in readmission_pairs_bruteforce(a, c, days).collect()}
     assert fast == slow
+
+
+ROWS = st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 5))), min_size=1, max_size=250)
+
+
+@settings(max_examples=5, deadline=None)
+@given(ROWS, st.integers(1, 40), st.integers(1, 64))
+def test_sequence_within_equals_window(spark, rows, hot_rows, width):
+    import datetime as dt
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from carestar.operators.keys import sequence_within
+    data = [(g, None if d is None else dt.date(2024, 1, 1) + dt.timedelta(days=d), i * 3 + 1)
+            for i, (g, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g long, d date, id long")
+    want = {(r.id, r.s) for r in df.withColumn("s", F.row_number().over(
+        Window.partitionBy("g").orderBy("d", "id"))).collect()}
+    got = {(r.id, r.s) for r in sequence_within(df, ["g"], ["d", "id"], "s", split_on="id", split_width=width,
+                                                hot_rows=hot_rows).collect()}
+    assert got == want
