@@ -352,7 +352,7 @@ def union_distinct(s, d):
 _RUNS: dict[tuple[int, str], object] = {}
 
 
-def pipeline_run(s, d):
+def _full_run(s, d):
     """One full-refresh run per session and folder, from the adapter's OLTP tables."""
     key = (id(s), d)
     with _LOCK:
@@ -362,32 +362,32 @@ def pipeline_run(s, d):
         return _RUNS[key]
 
 
-def pipeline_table_counts(s, d):
+def run_table_counts(s, d):
     """Rows per star table as written and published by the run."""
-    return run_summary(s, pipeline_run(s, d))["table_counts"]
+    return run_summary(s, _full_run(s, d))["table_counts"]
 
 
-def pipeline_checks(s, d):
+def run_checks(s, d):
     """The run's reconciliation summary (count checks with PASS/FAIL)."""
-    return run_summary(s, pipeline_run(s, d))["checks"]
+    return run_summary(s, _full_run(s, d))["checks"]
 
 
-def pipeline_recent_log(s, d):
+def run_recent_log(s, d):
     """The run's last 15 log rows, newest first (times vary: rows-only check)."""
-    return run_summary(s, pipeline_run(s, d))["recent_log"]
+    return run_summary(s, _full_run(s, d))["recent_log"]
 
 
-def pipeline_batch_totals(s, d):
+def run_batch_totals(s, d):
     """The run's batch-control row (totals computed when the run closed)."""
-    r = pipeline_run(s, d)
+    r = _full_run(s, d)
     control = A.read_audit(s, r.audit_root, "etl_batch_control")
     return control.filter(F.col("batch_id") == r.batch_id).select(
         "total_rows_processed", "total_errors", "status", "last_successful_encounter_id")
 
 
-def pipeline_log_levels(s, d):
+def run_log_levels(s, d):
     """The run's log rows per level, read back from the audit tables."""
-    r = pipeline_run(s, d)
+    r = _full_run(s, d)
     control = A.read_audit(s, r.audit_root, "etl_batch_control")
     log = A.read_audit(s, r.audit_root, "etl_log")
     errors = A.read_audit(s, r.audit_root, "etl_error_records")
@@ -419,7 +419,7 @@ QUERIES = {
     "table_counts": table_counts, "error_summary": error_summary,
     "type_distribution": type_distribution, "resolve_errors": resolve_errors_q,
     "range_replace": range_replace, "union_distinct": union_distinct,
-    "pipeline_table_counts": pipeline_table_counts, "pipeline_checks": pipeline_checks,
-    "pipeline_recent_log": pipeline_recent_log, "pipeline_log_levels": pipeline_log_levels,
-    "pipeline_batch_totals": pipeline_batch_totals,
+    "run_table_counts": run_table_counts, "run_checks": run_checks,
+    "run_recent_log": run_recent_log, "run_log_levels": run_log_levels,
+    "run_batch_totals": run_batch_totals,
 }

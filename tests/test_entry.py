@@ -21,7 +21,7 @@ def test_entry_runs(spark):
                                       "readmissions_within_30_days", "readmission_rate_pct"]
 
 
-ROWS_ONLY = {"pipeline_recent_log", "pipeline_log_levels"}   # run-dependent times / events
+ROWS_ONLY = {"run_recent_log", "run_log_levels"}   # run-dependent times / events
 
 
 def test_every_query_has_an_oracle():
