@@ -44,4 +44,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1
 FROM flags
 """
 
-ORACLE_SQL = {"op1_quality_rules": OP1}
+OP3 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), starts AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM words)
+), firsts AS (
+  SELECT w, min(doc_id) AS first_id FROM starts GROUP BY w
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM starts JOIN firsts USING (w) WHERE first_id < doc_id
+), flat AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM words
+), kept AS (
+  SELECT f.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM flat f ANTI JOIN gone USING (doc_id, p) GROUP BY f.doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept USING (doc_id)
+"""
+
+OP6 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), flat AS (
+  SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM words
+), pairs AS (
+  SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS u FROM flat
+), c1 AS (
+  SELECT w, count(*) AS n FROM flat GROUP BY w
+), c2 AS (
+  SELECT u, w, count(*) AS n FROM pairs WHERE u IS NOT NULL GROUP BY u, w HAVING count(*) >= 2
+), scored AS (
+  SELECT doc_id, c2.n IS NULL AS backed,
+         CASE WHEN c2.n IS NOT NULL THEN round_even(ln(c2.n / cu.n) * 1e6, 0)
+              WHEN p.u IS NULL THEN round_even(ln(cw.n) * 1e6, 0)
+              ELSE round_even(ln(0.4::DOUBLE * cw.n) * 1e6, 0) END::BIGINT AS v
+  FROM pairs p JOIN c1 cw ON cw.w = p.w LEFT JOIN c1 cu ON cu.w = p.u LEFT JOIN c2 ON c2.u = p.u AND c2.w = p.w
+), sums AS (
+  SELECT doc_id, count(*) AS n, sum(backed::INT) AS b, sum(v) AS s FROM scored GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(b, 0)::BIGINT AS n_backed_off,
+       (coalesce(s, 0) - coalesce(b, 0) * round(ln((SELECT count(*) FROM flat)) * 1e6)::BIGINT)::BIGINT AS score_micro
+FROM words w LEFT JOIN sums USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_quality_rules": OP1, "op3_substring_dedup": OP3, "op6_lm_score": OP6}

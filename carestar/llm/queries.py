@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm import piece_codec, quality_rules, simhash
+from carestar.llm import lm_score, piece_codec, quality_rules, simhash, substring_dedup
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -21,15 +21,26 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that each document loses to passages of 50 words of documents before it."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded text."""
     model = piece_codec.read_model(spark, f"file://{PIECE_MODEL}")
     return piece_codec.encode_documents(table(spark, sf_dir, "documents"), model, keep_ids=False, keep_text=False)
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document."""
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_rules, op5_sentencepiece, op7_simhash)}
+QUERIES = {q.__name__: q for q in (
+    op1_quality_rules, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash)}

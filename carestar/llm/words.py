@@ -101,8 +101,11 @@ def rolling(values: np.ndarray, size: int) -> np.ndarray:
     if n < size:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate([[1], np.full(n, _BASE, np.uint64)]).astype(np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values) * powers[:-1])])
-        inverse = np.uint64(pow(_BASE, -1, 1 << 64))
-        back = np.cumprod(np.concatenate([[1], np.full(n - size, inverse, np.uint64)]).astype(np.uint64))
-        return mix((sums[size:] - sums[:n - size + 1]) * back)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values) * _powers(_BASE, n))])
+        return mix((sums[size:] - sums[:n - size + 1]) * _powers(pow(_BASE, -1, 1 << 64), n - size + 1))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
