@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm import lm_score, piece_codec, quality_rules, simhash, substring_dedup
+from carestar.llm import lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -21,6 +21,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that each document loses to passages of 50 words of documents before it."""
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
@@ -43,4 +48,4 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash)}
+    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash)}
