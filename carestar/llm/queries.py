@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm import lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup
+from carestar.llm import lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -47,5 +47,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash)}
+    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash, op9_toxicity)}
