@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm import lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from carestar.llm import decontaminate, lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -52,5 +52,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the closest passage of each."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash, op9_toxicity)}
+    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash, op9_toxicity, op10_decontaminate)}

@@ -104,7 +104,7 @@ def mine_lexicons(sample: DataFrame) -> Lexicons:
     """Lexicons from a bounded sample (doc_id, text, y)."""
     n = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("y") > 0.5).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(True, 0), n.get(False, 0)
-    least = max(3, LEAST_SHARE * toxic)
+    least = max(5, LEAST_SHARE * toxic)
 
     def odds(t: str, c: str):
         return F.log((F.col(t) + 0.5) / (toxic + 1)) - F.log((F.col(c) + 0.5) / (clean + 1))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 8 << 20
+_BASE = 0x9E3779B97F4A7C15
 
 
 def chunks(batches, column: str = "text", max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -76,10 +77,19 @@ def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_words(vocab: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word, the same in every task."""
-    import xxhash
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(x) for x in vocab.cast(pa.binary()).to_pylist()), np.uint64, len(vocab))
+    """A 64-bit hash of each word, the same in every task: the sum of a random value for each byte at its place."""
+    words = pa.concat_arrays([vocab.cast(pa.large_binary())])
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    sizes = np.diff(ends)
+    place = np.arange(len(data)) - np.repeat(ends[:-1], sizes)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(place * 256 + data + 1))])
+        return mix(sums[ends[1:]] - sums[ends[:-1]] + sizes.astype(np.uint64) * np.uint64(_BASE))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -92,9 +102,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = 0x9E3779B97F4A7C15
-
-
 def rolling(values: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive values: element ``i`` covers ``values[i:i + size]``."""
     n = len(values)
