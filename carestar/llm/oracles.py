@@ -90,4 +90,31 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(b, 0)::BIGINT AS n_backed_
 FROM words w LEFT JOIN sums USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_quality_rules": OP1, "op3_substring_dedup": OP3, "op6_lm_score": OP6}
+OP4 = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text, lag(role) OVER w AS before, lag(turn) OVER w AS before_turn,
+         lead(role) OVER w AS next, lead(turn) OVER w AS next_turn
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+), k AS (
+  SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+         CASE WHEN role = 'user' THEN CASE WHEN next = 'assistant' AND next_turn = turn + 1 THEN 'linked' ELSE 'pending' END
+              WHEN role = 'assistant' THEN CASE WHEN before = 'user' AND before_turn = turn - 1 THEN 'linked' ELSE 'orphan' END
+              ELSE 'message' END AS status
+  FROM c
+)
+SELECT conv_id, turn, 0::INT AS place, 0::INT AS step, kind,
+       CASE kind WHEN 'call' THEN 'call-' || turn WHEN 'result' THEN 'call-' || (turn - 1) END AS call_id,
+       status, CASE WHEN kind = 'call' THEN true END AS valid,
+       CASE kind
+         WHEN 'call' THEN to_json({'after': ['call-' || (turn - 2)],
+           'arguments': {'question': text, 'words': len(regexp_split_to_array(trim(text), '[ \n]+'))},
+           'conv_id': conv_id, 'id': 'call-' || turn, 'name': 'answer', 'role': 'assistant', 'status': status,
+           'turn': turn, 'type': 'call', 'valid': true})
+         WHEN 'result' THEN to_json({'content': text, 'conv_id': conv_id, 'id': 'call-' || (turn - 1), 'role': 'tool',
+           'status': status, 'turn': turn, 'type': 'result'})
+         ELSE to_json({'content': text, 'conv_id': conv_id, 'role': role, 'status': status, 'turn': turn, 'type': 'message'})
+       END::VARCHAR AS json
+FROM k
+"""
+
+ORACLE_SQL = {"op1_quality_rules": OP1, "op3_substring_dedup": OP3, "op4_chat_tools": OP4, "op6_lm_score": OP6}

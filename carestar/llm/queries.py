@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm import decontaminate, lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from carestar.llm import chat, decontaminate, line_dedup, lm_score, piece_codec, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -31,6 +31,30 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
 
 
+#: The tool that ``op4`` makes of a question in a conversation.
+TOOLS = {"answer": {"question": ("string", True), "words": ("integer", True)}}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations as tool traffic: a user's turn calls ``answer``, waiting for the turn two before; the turn after a
+    call's is its result when the assistant speaks; a system's turn stays a message."""
+    call = F.struct(F.concat(F.lit("call-"), F.col("turn")).alias("id"), F.lit("answer").alias("name"),
+                    F.struct(F.col("text").alias("question"),
+                             F.size(F.split(F.trim("text"), r"[ \n]+")).alias("words")).alias("arguments"),
+                    F.array(F.concat(F.lit("call-"), F.col("turn") - 2)).alias("after"))
+    result = F.struct(F.concat(F.lit("call-"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    user, reply = F.col("role") == "user", F.col("role") == "assistant"
+    return conversations.select(
+        "conv_id", "turn", F.when(user, "assistant").when(reply, "tool").otherwise(F.col("role")).alias("role"),
+        F.when(user, F.to_json(F.struct(F.array(call).alias("tool_calls")))).when(reply, F.to_json(result))
+        .otherwise(F.col("text")).alias("text"))
+
+
+def op4_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations`` as a linked, validated and serialised tool call, result or message."""
+    return chat.link(tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded text."""
     model = piece_codec.read_model(spark, f"file://{PIECE_MODEL}")
@@ -47,6 +71,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines that are no copy or near copy of an earlier one."""
+    return line_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -58,4 +87,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op5_sentencepiece, op6_lm_score, op7_simhash, op9_toxicity, op10_decontaminate)}
+    op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op4_chat_tools, op5_sentencepiece, op6_lm_score, op7_simhash, op8_line_dedup, op9_toxicity, op10_decontaminate)}
