@@ -297,3 +297,16 @@ def classify(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     return classify(docs, fit(docs, labels, label))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below the threshold. The decision is made row by row, in one scan."""
+    model = fit(docs, labels, label)
+    weights, lex = docs.sparkSession.sparkContext.broadcast(model.weights), model.lexicons
+
+    def run(batches):
+        for batch in chunks(batches):
+            values = score(*_rows(text_column(batch), lex), weights.value)
+            yield batch.filter(pa.array(values < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
