@@ -240,17 +240,19 @@ class PieceModel:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the text that the ids stand for: the first space goes, byte pieces join, bad bytes become U+FFFD."""
-        drop = 0
-        shown = ids[~self.control[ids]]
-        if len(shown) and self.leads[shown[0]]:
-            drop = 1
+        control = self.control[ids]
+        shown = ids[~control]
+        drop = int(len(shown) > 0 and self.leads[shown[0]])
+        at = np.flatnonzero(~control)
+        if len(at) and at[-1] - at[0] >= len(at):            # a begin or end id in between parts byte pieces
+            return self._decode_slowly(ids, drop)
         surface = self.surface
         out = b"".join([surface[i] for i in shown.tolist()])[drop:]
         try:
             out.decode("utf-8")
             return out
         except UnicodeDecodeError:
-            return self._decode_slowly(shown, drop)
+            return self._decode_slowly(ids, drop)
 
     def _decode_slowly(self, ids: np.ndarray, drop: int) -> bytes:
         parts, run = [], bytearray()

@@ -30,12 +30,12 @@ HOST_LIMIT = 0.5
 PRIOR_MAX = 1000.0      # most pseudo-documents that the prior may weigh
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-RULES = {
-    "short": F.col("n_words") < MIN_WORDS,
-    "repeats": 100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"),
-    "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
-    "lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
-    "length": (F.col("word_chars") < 3 * F.col("n_words")) | (F.col("word_chars") > 12 * F.col("n_words")),
+RULES = {               # SQL over the counts
+    "short": f"n_words < {MIN_WORDS}",
+    "repeats": f"100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "lines": "10 * n_dup_lines > 3 * n_lines",
+    "length": "word_chars < 3 * n_words or word_chars > 12 * n_words",
 }
 
 
@@ -84,7 +84,7 @@ def rule_counts(docs: DataFrame, host_col: str = "source") -> DataFrame:
     """doc_id, host, the counts, and ``fail_<rule>`` for each rule."""
     base = documents(docs, host_col).toDF("doc_id", "text", "host").withColumn("host", F.col("host").cast("string"))
     counted = base.mapInArrow(_count, "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS))
-    return counted.select("*", *[rule.alias(f"fail_{name}") for name, rule in RULES.items()])
+    return counted.select("*", *[F.expr(rule).alias(f"fail_{name}") for name, rule in RULES.items()])
 
 
 def host_verdicts(counted: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
