@@ -1,9 +1,9 @@
 """P11 / P12 / J12 / W1 — bridge tables for the many-to-many links.
 
-Like the fact, each link table is resolved once with left joins (encounter key by
-a shuffle join on ``encounter_id``, member key by a size-checked broadcast), and
-the orphans, the missing member keys and the bridge rows are three filters of
-that one result.
+Like the fact, each link table is resolved once with left joins, and the orphans,
+the missing member keys and the bridge rows are three filters of that one
+result. The fact's procedure count comes along, so that encounters with a huge
+number of procedures are known without counting them again.
 """
 
 from __future__ import annotations
@@ -12,17 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestar.operators import rejects as R
-from carestar.operators.joins import sized_broadcast
 from carestar.operators.keys import sequence_within
 
 
 def encounter_lookup(fact: DataFrame) -> DataFrame:
-    return fact.select("encounter_id", "encounter_key")
+    return fact.select("encounter_id", "encounter_key", "procedure_count")
 
 
 def resolve_links(links: DataFrame, enc_lookup: DataFrame, dim: DataFrame, member_id: str,
                   member_key: str) -> DataFrame:
-    member = sized_broadcast(dim.select(member_id, member_key))
+    member = dim.select(member_id, member_key)
     return links.join(enc_lookup, "encounter_id", "left").join(member, member_id, "left")
 
 
@@ -55,12 +54,13 @@ def build_bridge_diagnoses(resolved: DataFrame) -> DataFrame:
 def with_procedure_sequence(df: DataFrame) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY encounter_key ORDER BY procedure_date,
     encounter_procedure_id)``, computed so that one huge encounter is split."""
+    size = F.col("procedure_count") if "procedure_count" in df.columns else None
     return sequence_within(df, ["encounter_key"], ["procedure_date", "encounter_procedure_id"],
-                           "procedure_sequence", split_on="encounter_procedure_id")
+                           "procedure_sequence", split_on="encounter_procedure_id", size=size)
 
 
 def build_bridge_procedures(resolved: DataFrame) -> DataFrame:
     ok = resolved.filter(F.col("encounter_key").isNotNull() & F.col("procedure_key").isNotNull())
     seq = with_procedure_sequence(ok.select("encounter_key", "procedure_key", "procedure_date",
-                                            "encounter_procedure_id"))
+                                            "encounter_procedure_id", "procedure_count"))
     return seq.select("encounter_key", "procedure_key", "procedure_date", "procedure_sequence")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from carestar import schemas
 from carestar.functions.expressions import age_band
 from carestar.operators import rejects as R
-from carestar.operators.joins import missing_keys, sized_broadcast
+from carestar.operators.joins import missing_keys
 from carestar.operators.keys import with_surrogate_key
 from carestar.sources.readers import literal_rows
 
@@ -84,8 +84,8 @@ def provider_rejects(providers: DataFrame, specialties: DataFrame) -> DataFrame:
 
 
 def build_dim_provider(providers: DataFrame, specialties: DataFrame) -> DataFrame:
-    """Denormalise the specialty into the provider (inner join, small side broadcast)."""
-    spec = sized_broadcast(specialties.select("specialty_id", "specialty_name", "specialty_code"))
+    """Denormalise the specialty into the provider (inner join)."""
+    spec = specialties.select("specialty_id", "specialty_name", "specialty_code")
     base = providers.join(spec, "specialty_id").select(
         "provider_id", "first_name", "last_name",
         F.concat(F.lit("Dr. "), F.col("first_name"), F.lit(" "), F.col("last_name")).alias("full_name"),

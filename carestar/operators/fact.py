@@ -2,9 +2,10 @@
 
 One pass resolves every dimension key with left joins; the rejects are the rows
 with a missing key and the fact is the rows with all keys, so the big encounter
-table is scanned and shuffled once for both. The small lookups are broadcast
-after a size check; the patient lookup is joined by a shuffle (it grows with the
-data), and AQE splits a patient that owns a large share of the encounters.
+table is scanned and shuffled once for both. The patient lookup grows with the
+data, so it is joined by a shuffle, and AQE splits a patient that owns a large
+share of the encounters. Encounter keys are numbered on the narrow list of ids
+and joined to the measures, which are shuffled by ``encounter_id`` anyway.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 from carestar.functions.dates import date_key
 from carestar.functions.expressions import length_of_stay, zero_if_missing
 from carestar.operators import rejects as R
-from carestar.operators.joins import sized_broadcast
-from carestar.operators.keys import with_surrogate_key
+from carestar.operators.keys import number_keys
 
 KEYS = ["patient_key", "provider_key", "specialty_key", "department_key", "encounter_type_key"]
 
@@ -28,15 +28,12 @@ def resolve_encounters(encounters: DataFrame, patient_lu: DataFrame, provider_lu
                        fold_case: bool = False) -> DataFrame:
     """Left-join every lookup. ``fold_case`` matches type names case-insensitively, as
     MySQL's default collation does (T12); by default the comparison is binary."""
-    prov = sized_broadcast(provider_lu)
-    dept = sized_broadcast(department_lu)
-    etyp = sized_broadcast(encounter_type_lu)
-    a, b = encounters.encounter_type, etyp.encounter_type_name
+    a, b = encounters.encounter_type, encounter_type_lu.encounter_type_name
     type_match = F.lower(a) == F.lower(b) if fold_case else a == b
     return (encounters
-            .join(prov, "provider_id", "left")
-            .join(dept, "department_id", "left")
-            .join(etyp, type_match, "left")
+            .join(provider_lu, "provider_id", "left")
+            .join(department_lu, "department_id", "left")
+            .join(encounter_type_lu, type_match, "left")
             .drop("encounter_type_name")
             .join(patient_lu, "patient_id", "left"))
 
@@ -73,27 +70,35 @@ def build_fact(resolved: DataFrame, measures: DataFrame, loaded_at: str,
     ``dim_date`` given: rows whose date is outside the calendar are left out (the
     optional ``MISSING_DATE`` check); by default they load, as in the reference.
     """
-    rows = loadable(resolved).join(measures, "encounter_id", "left")
-    fact = rows.select(
-        "encounter_id",
-        date_key("encounter_date").alias("date_key"),
-        *KEYS,
-        "encounter_date", "discharge_date",
+    rows = loadable(resolved).withColumn("date_key", date_key("encounter_date"))
+    if dim_date is not None:
+        rows = rows.join(dim_date.select("date_key"), "date_key", "left_semi")
+    keys = number_keys(rows.select("encounter_id"), "encounter_id", "encounter_key")
+    return rows.join(keys, "encounter_id").join(measures, "encounter_id", "left").select(
+        "encounter_key", "encounter_id", "date_key", *KEYS, "encounter_date", "discharge_date",
         zero_if_missing("diagnosis_count").cast("int").alias("diagnosis_count"),
         zero_if_missing("procedure_count").cast("int").alias("procedure_count"),
         zero_if_missing("total_claim").cast("decimal(12,2)").alias("total_claim_amount"),
         zero_if_missing("total_allowed").cast("decimal(12,2)").alias("total_allowed_amount"),
-        length_of_stay("encounter_type", "encounter_date", "discharge_date").cast("int")
-        .alias("length_of_stay_days"),
+        length_of_stay("encounter_type", "encounter_date", "discharge_date").cast("int").alias("length_of_stay_days"),
         F.lit(loaded_at).cast("timestamp_ntz").alias("etl_loaded_date"))   # DATETIME: no zone
-    if dim_date is not None:
-        fact = fact.join(sized_broadcast(dim_date.select("date_key")), "date_key", "left_semi")
-    return with_surrogate_key(fact, "encounter_id", "encounter_key")
+
+
+def by_year(fact: DataFrame) -> DataFrame:
+    """The fact as it is written, partitioned by ``date_year``: clustered by date, so that each file holds a
+    contiguous span of days and date filters skip files; AQE sizes the number of files."""
+    return fact.withColumn("date_year", (F.col("date_key") / 10000).cast("int")).repartitionByRange("date_key", "encounter_id")
 
 
 def missing_date_rejects(resolved: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Optional MISSING_DATE: loadable encounters whose date has no calendar row."""
     rows = loadable(resolved).withColumn("date_key", date_key("encounter_date"))
-    bad = rows.join(sized_broadcast(dim_date.select("date_key")), "date_key", "left_anti")
+    bad = rows.join(dim_date.select("date_key"), "date_key", "left_anti")
     return R.reject_rows(bad, "encounters", "encounter_id", R.MISSING_DATE,
                          R.text("Date ", F.col("date_key"), " not in dim_date"), "date_key", F.col("date_key"))
+
+
+def outside_calendar(resolved: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Loadable encounters whose date has no calendar row: date-joined reports leave them out."""
+    rows = loadable(resolved).select("encounter_id", date_key("encounter_date").alias("date_key"))
+    return rows.join(dim_date.select("date_key"), "date_key", "left_anti").agg(F.count(F.lit(1)).alias("outside_calendar"))

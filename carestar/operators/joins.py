@@ -1,71 +1,13 @@
-"""Join helpers: size-checked broadcast and anti joins."""
+"""Anti joins. Join strategies are left to the planner: file statistics and adaptive execution decide on
+broadcasts from known or measured sizes, so no job runs before a query and nothing unbounded is hinted."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension sides within these bounds are hinted for broadcast; larger ones are
-# left to the planner (sort-merge, or AQE's runtime broadcast from real sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 << 20
-_FIXED_WIDTH = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "boolean": 1,
-                "date": 4, "timestamp": 8, "timestamp_ntz": 8}
-
-
-_PROVEN: dict[tuple, bool] = {}
-
-
-def _size_probe(df: DataFrame, max_rows: int):
-    """(rows, bytes) of at most ``max_rows + 1`` rows: fixed widths from the schema,
-    strings and binaries by their measured length, in one aggregation."""
-    fixed, var = 0, []
-    for f in df.schema.fields:
-        name = f.dataType.simpleString()
-        if name in _FIXED_WIDTH:
-            fixed += _FIXED_WIDTH[name]
-        elif name.startswith("decimal"):
-            fixed += 16
-        elif name in ("string", "binary"):
-            var.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
-        else:
-            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
-    probe = df.limit(max_rows + 1)
-    var_sum = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
-    r = probe.agg(F.count(F.lit(1)).alias("n"), var_sum.alias("v")).first()
-    n = r["n"]
-    return n, n * fixed + (r["v"] or 0)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows and
-    about ``max_bytes`` of data.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bounds the frame is
-    returned unchanged and the join is planned from statistics (shuffle join, with
-    AQE free to switch to broadcast when the real shuffle output is small). The
-    outcome is remembered per plan and input files, so rewriting a table (new
-    files) triggers a new check.
-    """
-    try:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())),
-               max_rows, max_bytes)
-    except Exception:  # plans without a semantic hash: always check
-        key = None
-    small = _PROVEN.get(key) if key is not None else None
-    if small is None:
-        n, size = _size_probe(df, max_rows)
-        small = n <= max_rows and size <= max_bytes
-        if key is not None:
-            _PROVEN[key] = small
-    return F.broadcast(df) if small else df
-
 
 def missing_keys(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str | None = None) -> DataFrame:
-    """Rows of ``df`` without a match (``LEFT JOIN ... WHERE key IS NULL``).
-
-    ``left_anti`` keeps null-key rows, like the reference's left-join form.
-    """
+    """Rows of ``df`` without a match, null keys included."""
     keys = lookup.select(F.col(right_on or left_on).alias("_mk"))
     return df.join(keys, F.col(left_on) == F.col("_mk"), "left_anti")

@@ -1,94 +1,82 @@
-"""P1 — surrogate keys and ordered sequences without a single-task window.
+"""P1 / W1 — surrogate keys and ordered sequences without a single-task window.
 
 ``ROW_NUMBER() OVER (ORDER BY id)`` would pull the whole table into one task.
-Instead rows are cut into ordered buckets (bucket = (id - min) div width, so the
-bucket order agrees with the id order); each bucket is numbered by a window
-partitioned by the bucket, and a running sum of the per-bucket counts — a table
-of at most ``max_buckets`` rows, hence safe to broadcast — shifts the local
-numbers into global ones. The result equals the global row number, does not
-depend on the physical partitioning, and is the same on every rerun (unlike
-``monotonically_increasing_id``). Natural keys are unique, so a bucket never
-holds more than ``width`` rows however skewed the id distribution is.
-
-``sequence_within`` numbers inside groups (procedure order per encounter): groups
-of bounded size by the plain window, the few oversized ones split the same way,
-so one huge group is numbered by many tasks.
+``with_surrogate_key`` range-partitions the ids alone (Spark samples the bounds,
+so outliers and gaps do not matter), keeps that cut as a narrow table, numbers
+each part on its own and shifts it by the running sum of the parts' counts — a
+row per part, hence safe to broadcast. The numbers equal the global row number,
+so they depend neither on the bounds nor on the run.
+
+``sequence_within`` numbers inside groups (lines of an order, procedures of an
+encounter) with one window; only groups above ``hot_rows`` rows are cut into
+sub-groups along the order, so one huge group is numbered by many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BUCKETS = 1 << 16          # offsets table <= 65,536 rows (~1 MB); ~1.5M rows per window at 1e11
+from carestar.sources.sinks import scratch_table
+
+BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _bucket_width(df: DataFrame, key: str, max_buckets: int) -> tuple[int, int]:
-    row = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    lo, hi = row["lo"], row["hi"]
-    if lo is None:
-        return 0, 1
-    span = int(hi) - int(lo) + 1
-    return int(lo), max(1, -(-span // max_buckets))
+def number_keys(keys: DataFrame, key: str, name: str, start: int = 1) -> DataFrame:
+    """``key`` and its dense number from ``start`` on, in key order. Keys are unique, integral and not null."""
+    parts = scratch_table(keys.select(key).repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "keys")
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per part
+    shift = counts.select("_part", (F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(*BEFORE)), F.lit(0))
+                                    + F.lit(start - 1)).alias("_shift"))
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(key))
+    return (parts.withColumn("_local", local).join(F.broadcast(shift), "_part")
+            .select(key, (F.col("_shift") + F.col("_local")).cast("long").alias(name)))
 
 
-def with_surrogate_key(df: DataFrame, natural_key: str, name: str, start: int = 1,
-                       max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
+def with_surrogate_key(df: DataFrame, natural_key: str, name: str, start: int = 1) -> DataFrame:
     """Dense key ``start, start+1, ...`` in natural-key order (``AUTO_INCREMENT`` on load).
 
-    ``natural_key`` must be an integral, unique, non-null column.
+    ``natural_key`` must be an integral, unique, non-null column; any value range will do.
     """
-    lo, width = _bucket_width(df, natural_key, max_buckets)
-    bucket = F.floor((F.col(natural_key) - F.lit(lo)) / F.lit(width)).cast("long")
-    with_b = df.withColumn("_kb", bucket)
-    counts = with_b.groupBy("_kb").agg(F.count(F.lit(1)).alias("_kn"))
-    # at most max_buckets rows: a single ordered window is fine and the result is broadcast
-    offsets = counts.select(
-        "_kb", (F.coalesce(F.sum("_kn").over(Window.orderBy("_kb").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)) + F.lit(start - 1)).alias("_ko"))
-    local = F.row_number().over(Window.partitionBy("_kb").orderBy(natural_key))
-    numbered = with_b.withColumn("_kr", local)
-    out = numbered.join(F.broadcast(offsets), "_kb") \
-        .withColumn(name, (F.col("_ko") + F.col("_kr")).cast("long"))
-    return out.select(name, *df.columns)
+    return df.join(number_keys(df, natural_key, name, start), natural_key).select(name, *df.columns)
 
 
 def sequence_within(df: DataFrame, partition_by: list[str], order_by: list[str], name: str,
-                    split_on: str, split_width: int = 1 << 16, hot_rows: int = 1 << 20) -> DataFrame:
+                    split_on: str, split_width: int = 1 << 16, hot_rows: int = 1 << 20,
+                    size: Column | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY p ORDER BY o...)`` that never gives one task a huge group.
 
-    Groups up to ``hot_rows`` rows are numbered by the plain window (one shuffle).
-    Larger ("hot") groups — at most ``rows / hot_rows`` of them, found by one
-    partially aggregated count and broadcast after a size check — are split: see
-    ``_split_sequence``. ``split_on`` is an integral, unique column that is the last
-    ordering column (the tie-breaker).
+    ``size`` is the number of rows of a row's group where the caller has it at hand (it may be too
+    large, not too small); otherwise groups are counted by one partially aggregated pass over the
+    key columns. Groups above ``hot_rows`` are numbered in sub-groups: the ordering columns before
+    ``split_on`` (an integral ordering column) and ``split_on`` div ``split_width``.
     """
-    from carestar.operators.joins import sized_broadcast   # joins does not import keys
-    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_gn"))
-    hot = sized_broadcast(sizes.filter(F.col("_gn") > hot_rows).select(*partition_by))
-    normal = df.join(hot, partition_by, "left_anti")          # null keys stay here, as in the window
+    if size is None:
+        # at most rows / hot_rows groups; with none, adaptive execution drops the second branch
+        hot = F.broadcast(df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_size"))
+                          .filter(F.col("_size") > hot_rows).select(*partition_by))
+        normal, heavy = df.join(hot, partition_by, "left_anti"), df.join(hot, partition_by, "left_semi")
+    else:
+        is_hot = F.coalesce(size > hot_rows, F.lit(False))
+        normal, heavy = df.filter(~is_hot), df.filter(is_hot)
     plain = normal.withColumn(name, F.row_number().over(
         Window.partitionBy(*partition_by).orderBy(*order_by)).cast("int"))
-    heavy = _split_sequence(df.join(hot, partition_by, "left_semi"), partition_by, order_by, name,
-                            split_on, split_width)
-    return plain.select(*df.columns, name).unionByName(heavy)
+    return plain.select(*df.columns, name).unionByName(
+        _split_sequence(heavy, partition_by, order_by, name, split_on, split_width))
 
 
 def _split_sequence(df: DataFrame, partition_by: list[str], order_by: list[str], name: str,
                     split_on: str, split_width: int) -> DataFrame:
-    """Sub-groups are (p, leading order columns, split_on div width); each is numbered
-    locally and shifted by a running sum of sub-group counts over the (small) count table."""
-    lead = [c for c in order_by if c != split_on]
-    sub = (F.col(split_on) / F.lit(split_width)).cast("long")
-    with_s = df.withColumn("_ss", F.floor(sub).cast("long"))
-    grp = partition_by + lead + ["_ss"]
-    counts = with_s.groupBy(*grp).agg(F.count(F.lit(1)).alias("_sn"))
-    w_off = Window.partitionBy(*partition_by).orderBy(*[F.col(c) for c in lead + ["_ss"]]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_so", F.coalesce(F.sum("_sn").over(w_off), F.lit(0))).drop("_sn")
-    local = F.row_number().over(Window.partitionBy(*grp).orderBy(split_on))
-    numbered = with_s.withColumn("_sr", local)
-    o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in grp], "_so")
-    cond = [numbered[c].eqNullSafe(o[f"_o_{c}"]) for c in grp]   # leading columns may be null
-    out = numbered.join(o, cond).withColumn(name, (F.col("_so") + F.col("_sr")).cast("int"))
-    return out.select(*df.columns, name)
+    """Sub-groups are (p, ordering columns before ``split_on``, ``split_on`` div width): each is numbered
+    on its own and shifted by the rows of the sub-groups before it."""
+    lead = order_by[:order_by.index(split_on)]
+    cut = df.withColumn("_sub", F.floor(F.col(split_on) / F.lit(split_width)).cast("long"))
+    group = [*partition_by, *lead, "_sub"]
+    counts = cut.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*partition_by).orderBy(*lead, "_sub").rowsBetween(*BEFORE)
+    shift = counts.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(group)],
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    numbered = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)))
+    same = [numbered[c].eqNullSafe(shift[f"_o{i}"]) for i, c in enumerate(group)]     # ordering columns may be null
+    return numbered.join(shift, same).select(*df.columns, (F.col("_shift") + F.col("_local")).cast("int").alias(name))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestar.operators.joins import sized_broadcast
 
 
 def patient_lookup(dim_patient: DataFrame) -> DataFrame:
@@ -21,7 +20,7 @@ def patient_lookup(dim_patient: DataFrame) -> DataFrame:
 def provider_lookup(providers: DataFrame, dim_provider: DataFrame, dim_specialty: DataFrame) -> DataFrame:
     """Provider -> (provider_key, specialty_key) through two inner joins."""
     dp = dim_provider.select("provider_id", "provider_key")
-    ds = sized_broadcast(dim_specialty.select("specialty_id", "specialty_key"))
+    ds = dim_specialty.select("specialty_id", "specialty_key")
     return (providers.select("provider_id", "specialty_id")
             .join(dp, "provider_id").join(ds, "specialty_id")
             .select("provider_id", "provider_key", "specialty_key"))

@@ -13,13 +13,14 @@ only one bound is active:
 * bucket k   : match iff ``e2.t > d``        (``t <= d + W`` holds automatically)
 * bucket k+1 : match iff ``e2.t <= d + W``   (``t > d`` holds automatically)
 
-So each stay becomes two rows, and per (patient, group, bucket) only the
-smallest ``d`` of the k-rows and the largest ``d + W`` of the (k+1)-rows matter
-— plus the runner-up of each, to honour ``e2 <> e1`` exactly. These are plain
-aggregations (partial aggregation first, so a hot patient costs nothing extra),
-and each candidate joins at most one bounds row per group of its (patient,
-bucket): the fan-out is bounded by the number of groups (specialties), never by
-the number of encounters.
+So per (patient, group, bucket) only the smallest ``d`` of the stays of bucket k
+and the largest ``d + W`` of those of bucket k - 1 matter: one aggregation, with
+partial aggregation before the shuffle, however many stays a patient has. A stay
+can match itself only if it starts after its own discharge; such faulty stays are
+few, so their runner-up bounds, which honour ``e2 <> e1``, are computed apart and
+join the same aggregation. Each candidate meets at most one bounds row per group
+of its (patient, bucket): the fan-out is bounded by the number of groups, never
+by the number of encounters. The totals come from the same bounds.
 """
 
 from __future__ import annotations
@@ -35,61 +36,58 @@ def time_bucket(ts, width_seconds: int):
     return F.floor(secs / F.lit(width_seconds)).cast("long")
 
 
-def _bounds(idx: DataFrame, days: int, width: int) -> DataFrame:
-    """Per (patient, grp, bucket): best and runner-up of both bound kinds, in two aggregations.
-
-    Lower rows (bucket k, value d): smallest d and its id, then the smallest d of the
-    other ids. Upper rows (bucket k+1, value d + W): largest and runner-up likewise.
-    ``min_by``/``max_by`` on (long id, timestamp) keep hash aggregation.
-    """
+def _rows(idx: DataFrame, days: int, width: int) -> DataFrame:
+    """Two rows per stay: its lower bound in its own bucket, its upper bound in the next one."""
     kb = time_bucket(F.col("discharge"), width)
-    # two rows per stay from one pass over the stays
     pair = F.array(F.struct(F.lit(0).alias("kind"), kb.alias("kb"), F.col("discharge").alias("v")),
                    F.struct(F.lit(1).alias("kind"), (kb + 1).alias("kb"),
                             F.timestamp_add("DAY", F.lit(days), F.col("discharge")).alias("v")))
-    rows = idx.select("patient", "grp", F.col("e1").alias("id"), F.explode(pair).alias("b")) \
-        .select("patient", "grp", "b.kb", "b.v", "id", "b.kind")
+    return idx.select("patient", "grp", F.col("e1").alias("id"), "faulty", F.explode(pair).alias("b")) \
+        .select("patient", "grp", "b.kb", "b.v", "id", "b.kind", "faulty")
+
+
+def _bounds(rows: DataFrame) -> DataFrame:
+    """Per (patient, grp, kb): lv, hv of the sound stays; best and runner-up of the faulty ones; stays."""
     keys = ["patient", "grp", "kb"]
-    lo_v, hi_v = F.when(F.col("kind") == 0, F.col("v")), F.when(F.col("kind") == 1, F.col("v"))
-    first = rows.groupBy(*keys).agg(F.min(lo_v).alias("lv1"), F.min_by("id", lo_v).alias("lid1"),
-                                    F.max(hi_v).alias("hv1"), F.max_by("id", hi_v).alias("hid1"))
-    other_lo = F.when((F.col("kind") == 0) & (F.col("id") != F.col("lid1")), F.col("v"))
-    other_hi = F.when((F.col("kind") == 1) & (F.col("id") != F.col("hid1")), F.col("v"))
-    return (rows.join(first, keys)
-            .groupBy(*keys, "lv1", "lid1", "hv1", "hid1")
-            .agg(F.min(other_lo).alias("lv2"), F.max(other_hi).alias("hv2")))
+    low, high = F.when(F.col("kind") == 0, F.col("v")), F.when(F.col("kind") == 1, F.col("v"))
+    odd = rows.filter("faulty")
+    first = odd.groupBy(*keys).agg(F.min(low).alias("lv1"), F.min_by("id", low).alias("lid1"),
+                                   F.max(high).alias("hv1"), F.max_by("id", high).alias("hid1"))
+    first = first.withColumnsRenamed({k: f"_{k}" for k in keys})
+    other = lambda bound, best: F.when(F.col("id") != F.col(best), bound)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    second = odd.join(first, same).select(*keys, "lv1", "lid1", "hv1", "hid1", other(low, "lid1").alias("lv2"),
+                                          other(high, "hid1").alias("hv2"))
+    extra = {"lv1": "timestamp_ntz", "lid1": "long", "hv1": "timestamp_ntz", "hid1": "long", "lv2": "timestamp_ntz",
+             "hv2": "timestamp_ntz"}
+    sound = rows.select(*keys, F.when(~F.col("faulty"), low).alias("lv"), F.when(~F.col("faulty"), high).alias("hv"),
+                        (F.col("kind") == 0).cast("int").alias("n"), *[F.lit(None).cast(t).alias(c) for c, t in extra.items()])
+    none = F.lit(None).cast("timestamp_ntz")
+    every = sound.unionByName(second.select(*keys, none.alias("lv"), none.alias("hv"), F.lit(0).alias("n"), *extra))
+    return every.groupBy(*keys).agg(
+        F.min("lv").alias("lv"), F.max("hv").alias("hv"), F.sum("n").alias("stays"),
+        F.max("lv1").alias("lv1"), F.max("lid1").alias("lid1"), F.min("lv2").alias("lv2"),
+        F.max("hv1").alias("hv1"), F.max("hid1").alias("hid1"), F.max("hv2").alias("hv2"))
 
 
 def readmission_counts(index_stays: DataFrame, candidates: DataFrame, days: int = 30) -> DataFrame:
     """Per group: ``index_stays`` (e1) and ``readmissions`` (distinct e2).
 
-    index_stays: columns ``e1, patient, grp, discharge`` (discharge not null).
-    candidates:  columns ``e2, patient, t``.
+    index_stays: columns ``e1, patient, grp, discharge`` (discharge not null) and, where known, ``start``;
+    without it any stay may match itself. candidates: columns ``e2, patient, t``.
     e1 and e2 are primary keys, so each (e2, group) meets one bounds row at most
     and plain counts are distinct counts.
     """
     width = days * 86400
-    bounds = _bounds(index_stays.select("e1", "patient", "grp", "discharge"), days, width)
+    faulty = F.coalesce(F.col("start") > F.col("discharge"), F.lit(True)) if "start" in index_stays.columns else F.lit(True)
+    bounds = _bounds(_rows(index_stays.withColumn("faulty", faulty), days, width))
     cand = candidates.select("e2", "patient", "t", time_bucket(F.col("t"), width).alias("kb")) \
         .filter(F.col("t").isNotNull() & F.col("patient").isNotNull())
     t, e2 = F.col("t"), F.col("e2")
-    hit_lo = ((F.col("lid1") != e2) & (F.col("lv1") < t)) | ((F.col("lid1") == e2) & (F.col("lv2") < t))
-    hit_hi = ((F.col("hid1") != e2) & (F.col("hv1") >= t)) | ((F.col("hid1") == e2) & (F.col("hv2") >= t))
-    hits = cand.join(bounds, ["patient", "kb"]).filter(F.coalesce(hit_lo, F.lit(False)) | F.coalesce(hit_hi, F.lit(False)))
-    # totals and readmissions in one aggregation over a union (no second aggregate, no join)
-    marks = (index_stays.select("grp", F.lit(1).alias("s"), F.lit(0).alias("r"))
-             .unionByName(hits.select("grp", F.lit(0).alias("s"), F.lit(1).alias("r"))))
-    return marks.groupBy("grp").agg(F.sum("s").cast("long").alias("index_stays"),
-                                    F.sum("r").cast("long").alias("readmissions"))
-
-
-def readmission_pairs_bruteforce(index_stays: DataFrame, candidates: DataFrame, days: int = 30) -> DataFrame:
-    """Reference form (self join with a range condition) — for tests on small fixtures only."""
-    i, c = index_stays.alias("i"), candidates.alias("c")
-    cond = ((F.col("i.patient") == F.col("c.patient")) & (F.col("c.t") > F.col("i.discharge"))
-            & (F.col("c.t") <= F.timestamp_add("DAY", F.lit(days), F.col("i.discharge")))
-            & (F.col("c.e2") != F.col("i.e1")))
-    j = i.join(c, cond, "left")
-    return j.groupBy(F.col("i.grp").alias("grp")).agg(
-        F.count_distinct(F.col("i.e1")).alias("index_stays"),
-        F.count_distinct(F.col("c.e2")).alias("readmissions"))
+    hit = [F.col("lv") < t, F.col("hv") >= t,
+           (F.col("lid1") != e2) & (F.col("lv1") < t), (F.col("lid1") == e2) & (F.col("lv2") < t),
+           (F.col("hid1") != e2) & (F.col("hv1") >= t), (F.col("hid1") == e2) & (F.col("hv2") >= t)]
+    hits = cand.join(bounds, ["patient", "kb"]).filter(F.greatest(*[F.coalesce(h, F.lit(False)) for h in hit]))
+    marks = (bounds.select("grp", F.col("stays").alias("s"), F.lit(0).cast("long").alias("r"))
+             .unionByName(hits.select("grp", F.lit(0).cast("long").alias("s"), F.lit(1).cast("long").alias("r"))))
+    return marks.groupBy("grp").agg(F.sum("s").alias("index_stays"), F.sum("r").alias("readmissions"))

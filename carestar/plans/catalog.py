@@ -1,8 +1,9 @@
 """Registered queries: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver tables through the test adapter and builds what it
-needs of the star lazily (``StarBuild`` memoised per session and folder), so its
-work grows with the tables. The DuckDB oracle for each name is in ``oracles``.
+Every query reads the driver tables through the test adapter. The tables that it
+names are derived once per session and state of the files, as Parquet in the
+shared checkpoint folder (``StarBuild`` with a store). The DuckDB oracle for each
+name is in ``oracles``.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import os
 import threading
 import uuid
+from collections import ChainMap, OrderedDict
 from decimal import Decimal
 
 from pyspark.sql import SparkSession
@@ -26,28 +28,41 @@ from carestar.operators.lookups import billing_totals, count_per_key
 from carestar.operators.rejects import with_error_audit
 from carestar.plans import questions as Q
 from carestar.plans.pipeline import run_pipeline, run_summary
-from carestar.plans.star import TEST_PARAMS, StarBuild
-from carestar.sources.adapter import oltp_from_driver
-from carestar.sources.readers import read_source
+from carestar.plans.star import TEST_PARAMS, LazyTables, StarBuild
+from carestar.sources.adapter import TABLES, oltp_makers
+from carestar.sources.readers import read_source, table_state
 from carestar.session import checkpoint_dir
 from carestar.sources.sinks import replace_range
 
 P = TEST_PARAMS
-_BUILDS: dict[tuple[int, str], StarBuild] = {}
-_LOCK = threading.RLock()          # one build / one run per session and folder, even from threads
+_BUILDS: OrderedDict[tuple, StarBuild] = OrderedDict()      # of the last few sources
+_KEPT = 4
+_LOCK = threading.RLock()          # one build / one run per session and source, even from threads
 
 # Parameters of the registered audit queries.
 BATCH_STEP = 2500                      # encounter ids per fact batch (reference: 100,000)
 RESOLVED_TYPE, RESOLVED_BY, RESOLVED_AT = "MISSING_PROVIDER", "data.steward", "2025-01-02 09:00:00"
-RANGE_LO, RANGE_HI = 500_000, 999_999  # billing ids replaced by ``range_replace``
+
+
+def _source(spark: SparkSession, sf_dir: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir, table_state(spark, sf_dir, TABLES)
+
+
+def _remember(kept: OrderedDict, key: tuple, value):
+    kept[key] = value
+    while len(kept) > _KEPT:
+        kept.popitem(last=False)
+    return value
 
 
 def build(spark: SparkSession, sf_dir: str) -> StarBuild:
-    key = (id(spark), sf_dir)
     with _LOCK:
-        if key not in _BUILDS:
-            _BUILDS[key] = StarBuild(spark, oltp_from_driver(spark, sf_dir), P, materialize=True)
-        return _BUILDS[key]
+        key = _source(spark, sf_dir)
+        if key in _BUILDS:
+            return _BUILDS[key]
+        store = os.path.join(checkpoint_dir(spark), "carestar-star", uuid.uuid4().hex)
+        oltp = LazyTables(oltp_makers(spark, sf_dir), os.path.join(store, "oltp"))
+        return _remember(_BUILDS, key, StarBuild(spark, oltp, P, os.path.join(store, "star")))
 
 
 def _star(spark, sf_dir) -> dict:
@@ -94,7 +109,7 @@ def encounter_type_dim(s, d):
         .withColumn("encounters", F.coalesce("encounters", F.lit(0)))
 def dim_diagnosis(s, d): return build(s, d).dim_diagnosis
 def dim_procedure(s, d): return build(s, d).dim_procedure
-def fact_encounters(s, d): return build(s, d).fact
+def fact_encounters(s, d): return build(s, d).fact.drop("date_year")
 def bridge_diagnoses(s, d): return build(s, d).bridge_diagnoses
 def bridge_procedures(s, d): return build(s, d).bridge_procedures
 
@@ -234,56 +249,25 @@ def dq_diag_count_all(s, d):
     return QC.reconcile_per_key(b.oltp["encounter_diagnoses"], b.fact, b.oltp["encounters"])
 
 
-def dq_unique(s, d):
+def _both_models(s, d) -> dict:
     b = build(s, d)
-    frames = [QC.check_unique(b.oltp[t], k, t) for t, k in schemas.OLTP_KEYS.items()]
-    star = b.tables()
-    frames += [QC.check_unique(star[t], k, t) for t, k in schemas.STAR_KEYS.items()]
-    frames += [QC.check_unique(star["fact_encounters"], "encounter_id", "fact_encounters")]
-    return QC._union(frames)
+    return ChainMap(b.oltp, b.tables())
 
 
-NOT_NULL = {
-    "fact_encounters": ["encounter_id", *QC.FACT_FKS],
-    "dim_patient": ["patient_id", "mrn"],
-    "bridge_encounter_diagnoses": ["encounter_key", "diagnosis_key", "diagnosis_sequence"],
-    "bridge_encounter_procedures": ["encounter_key", "procedure_key", "procedure_sequence"],
-}
+def dq_unique(s, d):
+    t = _both_models(s, d)
+    return QC._union([QC.check_unique(t[name], list(keys), name) for name, keys in schemas.UNIQUE])
 
 
 def dq_not_null(s, d):
-    star = _star(s, d)
-    return QC._union([QC.check_not_null(star[t], cols, t) for t, cols in NOT_NULL.items()])
-
-
-def fk_list(oltp: dict, star: dict):
-    return [
-        ("providers.specialty_id", oltp["providers"], oltp["specialties"], "specialty_id", "specialty_id"),
-        ("providers.department_id", oltp["providers"], oltp["departments"], "department_id", "department_id"),
-        ("encounters.patient_id", oltp["encounters"], oltp["patients"], "patient_id", "patient_id"),
-        ("encounters.provider_id", oltp["encounters"], oltp["providers"], "provider_id", "provider_id"),
-        ("encounters.department_id", oltp["encounters"], oltp["departments"], "department_id", "department_id"),
-        ("encounter_diagnoses.encounter_id", oltp["encounter_diagnoses"], oltp["encounters"], "encounter_id",
-         "encounter_id"),
-        ("encounter_diagnoses.diagnosis_id", oltp["encounter_diagnoses"], oltp["diagnoses"], "diagnosis_id",
-         "diagnosis_id"),
-        ("encounter_procedures.encounter_id", oltp["encounter_procedures"], oltp["encounters"], "encounter_id",
-         "encounter_id"),
-        ("encounter_procedures.procedure_id", oltp["encounter_procedures"], oltp["procedures"], "procedure_id",
-         "procedure_id"),
-        ("billing.encounter_id", oltp["billing"], oltp["encounters"], "encounter_id", "encounter_id"),
-        ("fact_encounters.date_key", star["fact_encounters"], star["dim_date"], "date_key", "date_key"),
-        ("fact_encounters.patient_key", star["fact_encounters"], star["dim_patient"], "patient_key", "patient_key"),
-        ("bridge_encounter_diagnoses.encounter_key", star["bridge_encounter_diagnoses"], star["fact_encounters"],
-         "encounter_key", "encounter_key"),
-        ("bridge_encounter_procedures.procedure_key", star["bridge_encounter_procedures"], star["dim_procedure"],
-         "procedure_key", "procedure_key"),
-    ]
+    t = _both_models(s, d)
+    return QC._union([QC.check_not_null(t[name], cols, name) for name, cols in schemas.NOT_NULL.items()])
 
 
 def dq_referential(s, d):
-    b = build(s, d)
-    return QC._union([QC.check_fk(c, p, cc, pc, n) for n, c, p, cc, pc in fk_list(b.oltp, b.tables())])
+    t = _both_models(s, d)
+    return QC._union([QC.check_fk(t[child], t[parent], col, col, f"{child}.{col}")
+                      for child, col, parent in schemas.FOREIGN_KEYS])
 
 
 def dq_report(s, d):
@@ -335,11 +319,14 @@ def resolve_errors_q(s, d):
 
 
 def range_replace(s, d):
-    """Replace billing ids in [lo, hi] by re-derived rows (allowed = 80 % of claim), keep the rest."""
+    """Replace the second quarter of the billing id range by re-derived rows (allowed = 80 % of claim), keep the rest."""
     b = _oltp(s, d)["billing"]
-    new = b.filter(F.col("billing_id").between(RANGE_LO, RANGE_HI)).withColumn(
+    lowest, span = F.min("billing_id"), F.max("billing_id") - F.min("billing_id")
+    lo = b.agg(lowest + F.floor(span / 4)).scalar()
+    hi = b.agg(lowest + F.floor(span / 2)).scalar()
+    new = b.filter(F.col("billing_id").between(lo, hi)).withColumn(
         "allowed_amount", (F.col("claim_amount") * F.lit(Decimal("0.8"))).cast("decimal(12,2)"))
-    return replace_range(b, new, "billing_id", RANGE_LO, RANGE_HI)
+    return replace_range(b, new, "billing_id", lo, hi)
 
 
 def union_distinct(s, d):
@@ -349,17 +336,17 @@ def union_distinct(s, d):
 
 
 # ---- audit of a full pipeline run (written under spark.checkpoint.dir) ------------------
-_RUNS: dict[tuple[int, str], object] = {}
+_RUNS: OrderedDict[tuple, object] = OrderedDict()
 
 
 def _full_run(s, d):
-    """One full-refresh run per session and folder, from the adapter's OLTP tables."""
-    key = (id(s), d)
+    """One full-refresh run per session and source, from the adapter's OLTP tables."""
     with _LOCK:
-        if key not in _RUNS:
-            root = os.path.join(checkpoint_dir(s), "carestar-runs", uuid.uuid4().hex)
-            _RUNS[key] = run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id)
-        return _RUNS[key]
+        key = _source(s, d)
+        if key in _RUNS:
+            return _RUNS[key]
+        root = os.path.join(checkpoint_dir(s), "carestar-runs", uuid.uuid4().hex)
+        return _remember(_RUNS, key, run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id))
 
 
 def run_table_counts(s, d):

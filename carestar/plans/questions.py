@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from carestar.functions.dates import month_label, since
 from carestar.functions.expressions import count_when, safe_ratio
-from carestar.operators.joins import sized_broadcast
 from carestar.operators.readmission import readmission_counts
 
 INPATIENT, INPATIENT_CODE, PAID = "Inpatient", "IP", "Paid"
@@ -27,15 +26,14 @@ def top_n(df: DataFrame, order, n: int) -> DataFrame:
 
 def _with_specialty(encounters: DataFrame, providers: DataFrame, specialties: DataFrame) -> DataFrame:
     """Encounters -> providers -> specialties (both inner)."""
-    p = sized_broadcast(providers.select("provider_id", "specialty_id"))
-    s = sized_broadcast(specialties.select("specialty_id", "specialty_name"))
+    p = providers.select("provider_id", "specialty_id")
+    s = specialties.select("specialty_id", "specialty_name")
     return encounters.join(p, "provider_id").join(s, "specialty_id")
 
 
 def _star_dates(star: dict, since_year: int) -> DataFrame:
-    """Calendar rows from ``since_year`` on (broadcast; the calendar is bounded)."""
-    d = star["dim_date"].filter(F.col("year") >= since_year).select("date_key", "year", "month", "month_year")
-    return sized_broadcast(d)
+    """Calendar rows from ``since_year`` on."""
+    return star["dim_date"].filter(F.col("year") >= since_year).select("date_key", "year", "month", "month_year")
 
 
 def _fact(star: dict, since_year: int) -> DataFrame:
@@ -57,8 +55,8 @@ def q1_oltp(oltp: dict, since_ts: str, n: int = 10) -> DataFrame:
 
 def q1_star(star: dict, since_year: int, n: int = 10) -> DataFrame:
     f = _fact(star, since_year).select("date_key", "specialty_key", "encounter_type_key", "patient_key")
-    s = sized_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
-    t = sized_broadcast(star["dim_encounter_type"].select("encounter_type_key", "encounter_type_name"))
+    s = star["dim_specialty"].select("specialty_key", "specialty_name")
+    t = star["dim_encounter_type"].select("encounter_type_key", "encounter_type_name")
     g = (f.join(_star_dates(star, since_year), "date_key").join(s, "specialty_key").join(t, "encounter_type_key")
          .groupBy("year", "month", "month_year", "specialty_name", "encounter_type_name")
          .agg(F.count(F.lit(1)).alias("total_encounters"),
@@ -86,7 +84,7 @@ def _pairs(d_side: DataFrame, p_side: DataFrame, on: str, measure) -> DataFrame:
 
 
 def _q2_finish(pairs: DataFrame, d_names: DataFrame, p_names: DataFrame, measure: str, n: int) -> DataFrame:
-    named = pairs.join(sized_broadcast(d_names), "d_gid").join(sized_broadcast(p_names), "p_gid")
+    named = pairs.join(d_names, "d_gid").join(p_names, "p_gid")
     order = [F.desc(measure), "icd10_code", "icd10_description", "cpt_code", "cpt_description"]
     return top_n(named, order, n).select("icd10_code", "icd10_description", "cpt_code", "cpt_description", measure)
 
@@ -95,9 +93,9 @@ def q2_oltp(oltp: dict, n: int = 20) -> DataFrame:
     """Row pairs: sum over encounters of n_diag(group) * n_proc(group), after reducing each side."""
     dmap, dnames = code_groups(oltp["diagnoses"], "diagnosis_id", "icd10_code", "icd10_description", "d")
     pmap, pnames = code_groups(oltp["procedures"], "procedure_id", "cpt_code", "cpt_description", "p")
-    d = (oltp["encounter_diagnoses"].join(sized_broadcast(dmap), "diagnosis_id")
+    d = (oltp["encounter_diagnoses"].join(dmap, "diagnosis_id")
          .groupBy("encounter_id", "d_gid").agg(F.count(F.lit(1)).alias("nd")))
-    p = (oltp["encounter_procedures"].join(sized_broadcast(pmap), "procedure_id")
+    p = (oltp["encounter_procedures"].join(pmap, "procedure_id")
          .groupBy("encounter_id", "p_gid").agg(F.count(F.lit(1)).alias("np")))
     pairs = _pairs(d, p, "encounter_id", F.sum(F.col("nd") * F.col("np")).alias("combination_count"))
     return _q2_finish(pairs, dnames, pnames, "combination_count", n)
@@ -108,9 +106,9 @@ def q2_star(star: dict, n: int = 20) -> DataFrame:
     dmap, dnames = code_groups(star["dim_diagnosis"], "diagnosis_key", "icd10_code", "icd10_description", "d")
     pmap, pnames = code_groups(star["dim_procedure"], "procedure_key", "cpt_code", "cpt_description", "p")
     f = star["fact_encounters"].select("encounter_key")
-    d = (star["bridge_encounter_diagnoses"].join(sized_broadcast(dmap), "diagnosis_key")
+    d = (star["bridge_encounter_diagnoses"].join(dmap, "diagnosis_key")
          .select("encounter_key", "d_gid").distinct().join(f, "encounter_key", "left_semi"))
-    p = (star["bridge_encounter_procedures"].join(sized_broadcast(pmap), "procedure_key")
+    p = (star["bridge_encounter_procedures"].join(pmap, "procedure_key")
          .select("encounter_key", "p_gid").distinct())
     pairs = _pairs(d, p, "encounter_key", F.count(F.lit(1)).alias("encounter_count"))
     return _q2_finish(pairs, dnames, pnames, "encounter_count", n)
@@ -123,8 +121,7 @@ def _q3_finish(counts: DataFrame, min_discharges: int) -> DataFrame:
         F.col("index_stays").alias("total_inpatient_discharges"),
         F.col("readmissions").alias("readmissions_within_30_days"),
         safe_ratio("readmissions", "index_stays").alias("readmission_rate_pct"))
-    # one row per specialty (a bounded dimension): order it in one partition, no range shuffle
-    return out.coalesce(1).orderBy(F.desc("readmission_rate_pct"), "specialty_name")
+    return out.orderBy(F.desc("readmission_rate_pct"), "specialty_name")
 
 
 def q3_oltp(oltp: dict, since_ts: str, days: int = 30, min_discharges: int = 10) -> DataFrame:
@@ -133,7 +130,8 @@ def q3_oltp(oltp: dict, since_ts: str, days: int = 30, min_discharges: int = 10)
                     & since("encounter_date", since_ts))
     idx = _with_specialty(e1, oltp["providers"], oltp["specialties"]).select(
         F.col("encounter_id").alias("e1"), F.col("patient_id").alias("patient"),
-        F.col("specialty_name").alias("grp"), F.col("discharge_date").alias("discharge"))
+        F.col("specialty_name").alias("grp"), F.col("discharge_date").alias("discharge"),
+        F.col("encounter_date").alias("start"))
     cand = enc.filter(F.col("encounter_type") == INPATIENT).select(
         F.col("encounter_id").alias("e2"), F.col("patient_id").alias("patient"), F.col("encounter_date").alias("t"))
     return _q3_finish(readmission_counts(idx, cand, days), min_discharges)
@@ -147,14 +145,14 @@ def inpatient_key(star: dict):
 
 def q3_star(star: dict, since_year: int, days: int = 30, min_discharges: int = 10) -> DataFrame:
     f = star["fact_encounters"]
-    t = sized_broadcast(star["dim_encounter_type"].filter(F.col("encounter_type_code") == INPATIENT_CODE)
-                        .select("encounter_type_key"))
-    s = sized_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
+    t = star["dim_encounter_type"].filter(F.col("encounter_type_code") == INPATIENT_CODE).select("encounter_type_key")
+    s = star["dim_specialty"].select("specialty_key", "specialty_name")
     e1 = (_fact(star, since_year).filter(F.col("discharge_date").isNotNull())
           .join(t, "encounter_type_key").join(s, "specialty_key")
           .join(_star_dates(star, since_year).select("date_key"), "date_key"))
     idx = e1.select(F.col("encounter_key").alias("e1"), F.col("patient_key").alias("patient"),
-                    F.col("specialty_name").alias("grp"), F.col("discharge_date").alias("discharge"))
+                    F.col("specialty_name").alias("grp"), F.col("discharge_date").alias("discharge"),
+                    F.col("encounter_date").alias("start"))
     cand = f.filter(F.col("encounter_type_key") == inpatient_key(star)).select(
         F.col("encounter_key").alias("e2"), F.col("patient_key").alias("patient"),
         F.col("encounter_date").alias("t"))
@@ -189,7 +187,7 @@ def q4_oltp(oltp: dict, since_ts: str, n: int = 20) -> DataFrame:
 def q4_star(star: dict, since_year: int, n: int = 20) -> DataFrame:
     f = _fact(star, since_year).filter(F.col("total_allowed_amount").isNotNull()).select(
         "date_key", "specialty_key", "total_claim_amount", "total_allowed_amount")
-    s = sized_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
+    s = star["dim_specialty"].select("specialty_key", "specialty_name")
     g = (f.join(_star_dates(star, since_year), "date_key").join(s, "specialty_key")
          .groupBy("year", "month", "month_year", "specialty_name")
          .agg(F.count(F.lit(1)).alias("total_encounters"),
@@ -205,8 +203,8 @@ def q4_star(star: dict, since_year: int, n: int = 20) -> DataFrame:
 def monthly_specialty_revenue(star: dict) -> DataFrame:
     """The monthly revenue rollup proposed as a materialised table."""
     f = star["fact_encounters"].select("date_key", "specialty_key", "total_claim_amount", "total_allowed_amount")
-    d = sized_broadcast(star["dim_date"].select("date_key", "year", "month", "month_year"))
-    s = sized_broadcast(star["dim_specialty"].select("specialty_key", "specialty_name"))
+    d = star["dim_date"].select("date_key", "year", "month", "month_year")
+    s = star["dim_specialty"].select("specialty_key", "specialty_name")
     return (f.join(d, "date_key").join(s, "specialty_key")
             .groupBy("year", "month", "month_year", "specialty_key", "specialty_name")
             .agg(F.count(F.lit(1)).alias("encounters"),

@@ -1,12 +1,16 @@
-"""The star build as one lazy plan: dims -> lookups -> key validation -> fact -> bridges.
+"""The star build: dims -> lookups -> key validation -> fact -> bridges.
 
-``StarBuild`` memoises every intermediate DataFrame, so a question that needs the
-fact and a bridge reuses the same sub-plans (Spark then reuses the exchanges).
-Nothing here runs a job except the small size checks and key-range scans.
+``StarBuild`` memoises every intermediate DataFrame. Given a ``store`` (a shared
+folder), each table is written there as Parquet when it is first asked for and
+read back, so a question pays for the tables it names, its scans are pruned and
+filtered, and lineage ends at files that every executor can read. Without a
+store everything stays one lazy plan.
 """
 
 from __future__ import annotations
 
+import os
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -18,7 +22,7 @@ from carestar.operators import fact as FA
 from carestar.operators import lookups as LU
 from carestar.operators import rejects as R
 from carestar.operators.calendar import build_dim_date
-from carestar.session import checkpoint_dir
+from carestar.sources import sinks
 
 
 @dataclass
@@ -43,65 +47,82 @@ TEST_PARAMS = Params(calendar_start="1995-01-01", calendar_end="2002-12-31", sin
                      batch_id="TEST_BATCH")
 
 
+def stored(df: DataFrame, path: str | None, partition_by: list[str] | None = None) -> DataFrame:
+    """``df``, or its written copy at ``path``."""
+    if path is None:
+        return df
+    schema = df.schema
+    sinks.write_table(df, path, partition_by)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+class LazyTables(Mapping):
+    """Tables that are derived, and written to the store if there is one, when they are first named."""
+
+    def __init__(self, makers: dict, store: str | None = None):
+        self._makers, self._store, self._made = makers, store, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = stored(self._makers[name](), self._store and os.path.join(self._store, name))
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 @dataclass
 class StarBuild:
-    """Lazy star build. ``materialize=True`` cuts lineage after each table with a reliable
-    ``checkpoint()`` into ``spark.checkpoint.dir`` (survives executor loss; keeps plans small
-    when many questions run on one build)."""
+    """Star build over the OLTP tables; ``store`` is a shared folder for the tables, or None for one lazy plan."""
     spark: SparkSession
-    oltp: dict[str, DataFrame]
+    oltp: Mapping[str, DataFrame]
     params: Params = field(default_factory=Params)
-    materialize: bool = False
+    store: str | None = None
 
-    def __post_init__(self):
-        if self.materialize:
-            try:
-                checkpoint_dir(self.spark)
-            except Exception:  # no reliable checkpoint location available: keep the lineage
-                self.materialize = False
-            self.oltp = {k: self._cut(v) for k, v in self.oltp.items()}
-
-    def _cut(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.materialize else df
+    def _kept(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        return stored(df, self.store and os.path.join(self.store, name), partition_by)
 
     # ---- dimensions -------------------------------------------------------
     @cached_property
     def dim_date(self) -> DataFrame:
         p = self.params
-        return build_dim_date(self.spark, p.calendar_start, p.calendar_end, p.fiscal_start_month)
+        return self._kept("dim_date", build_dim_date(self.spark, p.calendar_start, p.calendar_end, p.fiscal_start_month))
 
     @cached_property
     def dim_specialty(self) -> DataFrame:
-        return self._cut(DM.build_dim_specialty(self.oltp["specialties"]))
+        return self._kept("dim_specialty", DM.build_dim_specialty(self.oltp["specialties"]))
 
     @cached_property
     def dim_department(self) -> DataFrame:
-        return self._cut(DM.build_dim_department(self.oltp["departments"]))
+        return self._kept("dim_department", DM.build_dim_department(self.oltp["departments"]))
 
     @cached_property
     def dim_encounter_type(self) -> DataFrame:
-        return DM.build_dim_encounter_type(self.spark)
+        return self._kept("dim_encounter_type", DM.build_dim_encounter_type(self.spark))
 
     @cached_property
     def dim_diagnosis(self) -> DataFrame:
-        return self._cut(DM.build_dim_diagnosis(self.oltp["diagnoses"]))
+        return self._kept("dim_diagnosis", DM.build_dim_diagnosis(self.oltp["diagnoses"]))
 
     @cached_property
     def dim_procedure(self) -> DataFrame:
-        return self._cut(DM.build_dim_procedure(self.oltp["procedures"]))
+        return self._kept("dim_procedure", DM.build_dim_procedure(self.oltp["procedures"]))
 
     @cached_property
     def dim_patient(self) -> DataFrame:
-        return self._cut(DM.build_dim_patient(self.oltp["patients"], self.params.as_of))
+        return self._kept("dim_patient", DM.build_dim_patient(self.oltp["patients"], self.params.as_of))
 
     @cached_property
     def dim_provider(self) -> DataFrame:
-        return self._cut(DM.build_dim_provider(self.oltp["providers"], self.oltp["specialties"]))
+        return self._kept("dim_provider", DM.build_dim_provider(self.oltp["providers"], self.oltp["specialties"]))
 
     # ---- lookups and pre-aggregates ----------------------------------------
     @cached_property
     def provider_lookup(self) -> DataFrame:
-        return self._cut(LU.provider_lookup(self.oltp["providers"], self.dim_provider, self.dim_specialty))
+        return self._kept("provider_lookup", LU.provider_lookup(self.oltp["providers"], self.dim_provider, self.dim_specialty))
 
     @cached_property
     def measures(self) -> DataFrame:
@@ -110,7 +131,7 @@ class StarBuild:
 
     @cached_property
     def resolved_encounters(self) -> DataFrame:
-        return self._cut(FA.resolve_encounters(
+        return self._kept("resolved_encounters", FA.resolve_encounters(
             self.oltp["encounters"], LU.patient_lookup(self.dim_patient), self.provider_lookup,
             LU.department_lookup(self.dim_department), LU.encounter_type_lookup(self.dim_encounter_type),
             self.params.fold_case))
@@ -119,7 +140,10 @@ class StarBuild:
     @cached_property
     def fact(self) -> DataFrame:
         dd = self.dim_date if self.params.check_dates else None
-        return self._cut(FA.build_fact(self.resolved_encounters, self.measures, self.params.loaded_at, dd))
+        fact = FA.build_fact(self.resolved_encounters, self.measures, self.params.loaded_at, dd)
+        if self.store is None:
+            return fact
+        return self._kept("fact_encounters", FA.by_year(fact), ["date_year"])
 
     @cached_property
     def encounter_lookup(self) -> DataFrame:
@@ -127,21 +151,21 @@ class StarBuild:
 
     @cached_property
     def resolved_diagnoses(self) -> DataFrame:
-        return self._cut(BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup,
+        return self._kept("resolved_diagnoses", BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup,
                                           self.dim_diagnosis, "diagnosis_id", "diagnosis_key"))
 
     @cached_property
     def resolved_procedures(self) -> DataFrame:
-        return self._cut(BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup,
+        return self._kept("resolved_procedures", BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup,
                                           self.dim_procedure, "procedure_id", "procedure_key"))
 
     @cached_property
     def bridge_diagnoses(self) -> DataFrame:
-        return BR.build_bridge_diagnoses(self.resolved_diagnoses)
+        return self._kept("bridge_diagnoses", BR.build_bridge_diagnoses(self.resolved_diagnoses))
 
     @cached_property
     def bridge_procedures(self) -> DataFrame:
-        return self._cut(BR.build_bridge_procedures(self.resolved_procedures))
+        return self._kept("bridge_procedures", BR.build_bridge_procedures(self.resolved_procedures))
 
     # ---- rejects -------------------------------------------------------------
     @cached_property
@@ -163,17 +187,17 @@ class StarBuild:
     def errors(self) -> DataFrame:
         """``etl_error_records`` rows of the run (cascade order: patients, providers,
         encounters, diagnosis links, procedure links)."""
-        return self._cut(R.quarantine(self.params.batch_id, self.patient_rejects, self.provider_rejects,
+        return self._kept("errors", R.quarantine(self.params.batch_id, self.patient_rejects, self.provider_rejects,
                                       self.encounter_rejects, BR.diagnosis_rejects(self.resolved_diagnoses),
                                       BR.procedure_rejects(self.resolved_procedures)))
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "dim_date": self.dim_date, "dim_patient": self.dim_patient,
-            "dim_provider": self.dim_provider, "dim_specialty": self.dim_specialty,
-            "dim_department": self.dim_department, "dim_encounter_type": self.dim_encounter_type,
-            "dim_diagnosis": self.dim_diagnosis, "dim_procedure": self.dim_procedure,
-            "fact_encounters": self.fact, "bridge_encounter_diagnoses": self.bridge_diagnoses,
-            "bridge_encounter_procedures": self.bridge_procedures,
-        }
-
+    def tables(self) -> Mapping[str, DataFrame]:
+        """The star tables; each is built when it is first named."""
+        return LazyTables({
+            "dim_date": lambda: self.dim_date, "dim_patient": lambda: self.dim_patient,
+            "dim_provider": lambda: self.dim_provider, "dim_specialty": lambda: self.dim_specialty,
+            "dim_department": lambda: self.dim_department, "dim_encounter_type": lambda: self.dim_encounter_type,
+            "dim_diagnosis": lambda: self.dim_diagnosis, "dim_procedure": lambda: self.dim_procedure,
+            "fact_encounters": lambda: self.fact, "bridge_encounter_diagnoses": lambda: self.bridge_diagnoses,
+            "bridge_encounter_procedures": lambda: self.bridge_procedures,
+        })

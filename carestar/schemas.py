@@ -99,12 +99,45 @@ STAR = {
     "dim_procedure": DIM_PROCEDURE, "fact_encounters": FACT_ENCOUNTERS,
     "bridge_encounter_diagnoses": BRIDGE_DIAGNOSES, "bridge_encounter_procedures": BRIDGE_PROCEDURES,
 }
-STAR_KEYS = {
-    "dim_date": "date_key", "dim_patient": "patient_key", "dim_specialty": "specialty_key",
-    "dim_provider": "provider_key", "dim_department": "department_key",
-    "dim_encounter_type": "encounter_type_key", "dim_diagnosis": "diagnosis_key",
-    "dim_procedure": "procedure_key", "fact_encounters": "encounter_key",
+# Declared constraints (fixed values): unique keys, NOT NULL columns and foreign keys of both models.
+UNIQUE = [(t, (k,)) for t, k in OLTP_KEYS.items()] + [
+    ("dim_date", ("date_key",)), ("dim_date", ("calendar_date",)),
+    ("dim_patient", ("patient_key",)), ("dim_patient", ("patient_id",)), ("dim_patient", ("mrn",)),
+    ("dim_specialty", ("specialty_key",)), ("dim_specialty", ("specialty_id",)),
+    ("dim_provider", ("provider_key",)), ("dim_provider", ("provider_id",)),
+    ("dim_department", ("department_key",)), ("dim_department", ("department_id",)),
+    ("dim_encounter_type", ("encounter_type_key",)), ("dim_encounter_type", ("encounter_type_name",)),
+    ("dim_diagnosis", ("diagnosis_key",)), ("dim_diagnosis", ("diagnosis_id",)),
+    ("dim_procedure", ("procedure_key",)), ("dim_procedure", ("procedure_id",)),
+    ("fact_encounters", ("encounter_key",)), ("fact_encounters", ("encounter_id",)),
+    ("bridge_encounter_diagnoses", ("encounter_key", "diagnosis_key", "diagnosis_sequence")),
+    ("bridge_encounter_procedures", ("encounter_key", "procedure_key", "procedure_sequence")),
+]
+_MORE_NOT_NULL = {
+    "dim_patient": ["mrn", "date_of_birth"], "dim_specialty": ["specialty_name", "specialty_code"],
+    "dim_provider": ["specialty_id", "specialty_name", "specialty_code"], "dim_department": ["department_name"],
+    "dim_diagnosis": ["icd10_code", "icd10_description"], "dim_procedure": ["cpt_code", "cpt_description"],
+    "fact_encounters": ["encounter_date"], "bridge_encounter_diagnoses": ["diagnosis_sequence"],
+    "bridge_encounter_procedures": ["procedure_date"],
 }
+NOT_NULL = {t: [f.name for f in schema.fields if not f.nullable or f.name in _MORE_NOT_NULL.get(t, [])]
+            for t, schema in (OLTP | STAR).items()}
+FOREIGN_KEYS = [      # child table, column, parent table (same column name on both sides)
+    ("providers", "specialty_id", "specialties"), ("providers", "department_id", "departments"),
+    ("encounters", "patient_id", "patients"), ("encounters", "provider_id", "providers"),
+    ("encounters", "department_id", "departments"),
+    ("encounter_diagnoses", "encounter_id", "encounters"), ("encounter_diagnoses", "diagnosis_id", "diagnoses"),
+    ("encounter_procedures", "encounter_id", "encounters"), ("encounter_procedures", "procedure_id", "procedures"),
+    ("billing", "encounter_id", "encounters"),
+    ("fact_encounters", "date_key", "dim_date"), ("fact_encounters", "patient_key", "dim_patient"),
+    ("fact_encounters", "provider_key", "dim_provider"), ("fact_encounters", "specialty_key", "dim_specialty"),
+    ("fact_encounters", "department_key", "dim_department"),
+    ("fact_encounters", "encounter_type_key", "dim_encounter_type"),
+    ("bridge_encounter_diagnoses", "encounter_key", "fact_encounters"),
+    ("bridge_encounter_diagnoses", "diagnosis_key", "dim_diagnosis"),
+    ("bridge_encounter_procedures", "encounter_key", "fact_encounters"),
+    ("bridge_encounter_procedures", "procedure_key", "dim_procedure"),
+]
 
 # ---- audit -----------------------------------------------------------------
 ETL_LOG = _s(("log_id", L, False), ("batch_id", S, False), ("log_timestamp", TSL, True),

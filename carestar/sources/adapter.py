@@ -1,20 +1,23 @@
 """Test adapter: the driver's TPC-H-like tables -> the hospital OLTP model.
 
 Plain column expressions, so the same derivation can be written in the DuckDB
-oracle (``oracles/prelude.py``). Deliberate faults exercise every reject type:
+oracle (``oracles/prelude.py``). Every order, line and part is used: a line gives
+a diagnosis link, a procedure link and a bill, a part a diagnosis and a
+procedure. Deliberate faults, by modulus of a key, exercise every reject type:
 nation 24 has no specialty, department 99 does not exist, some birth dates are
-null or in the future, 'Telehealth' is not an encounter type, diagnosis 50 and
-procedure 40 do not exist.
+null or in the future, 'Telehealth' is not an encounter type, and some parts
+have no diagnosis or no procedure.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar import schemas
+from carestar.operators.keys import sequence_within
 from carestar.sources.readers import read_tables
 
 # Fixed values of the fixture (name lists used to dress patients).
@@ -26,7 +29,8 @@ CREDENTIALS = ["MD", "RN", "PA"]          # by s_suppkey % 3
 CLAIM_STATUS = {"R": "Paid", "A": "Pending", "N": "Denied"}   # by l_returnflag
 MISSING_NATION = 24                        # specialties lack this nation
 MISSING_DEPARTMENT = 99                    # providers with s_suppkey % 50 = 49 point here
-DIAGNOSIS_MOD, PROCEDURE_MOD = 51, 41      # id 50 / 40 do not exist
+NO_DIAGNOSIS = (997, 3)                    # parts with p_partkey % 997 = 3 have no diagnosis
+NO_PROCEDURE = (991, 5)                    # parts with p_partkey % 991 = 5 have no procedure
 
 
 def _pick(values: list[str], index) -> F.Column:
@@ -72,7 +76,8 @@ def patients(customer: DataFrame) -> DataFrame:
                            F.concat(F.lit("MRN"), F.lpad(k.cast("string"), 8, "0")).alias("mrn"))
 
 
-def encounters(orders: DataFrame, provider_df: DataFrame, n_suppliers: int) -> DataFrame:
+def encounters(orders: DataFrame, provider_df: DataFrame, n_suppliers) -> DataFrame:
+    """``n_suppliers``: a number or a scalar subquery."""
     k = F.col("o_orderkey")
     cls = k % 10
     etype = (F.when(k % 499 == 0, "Telehealth").when(cls < 6, "Outpatient")
@@ -91,29 +96,35 @@ def encounters(orders: DataFrame, provider_df: DataFrame, n_suppliers: int) -> D
     return enc.join(dept, "provider_id", "left").select(*schemas.ENCOUNTERS.fieldNames())
 
 
+LINE_ORDER = ["l_partkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
 def numbered_lines(lineitem: DataFrame) -> DataFrame:
-    """Own line numbers per order: (l_orderkey, l_linenumber) repeats in the driver data."""
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    return lineitem.withColumn("rn", F.row_number().over(w))
+    """Own line numbers per order, and a line id that no two lines share.
+
+    (l_orderkey, l_linenumber) repeats in the driver data. ``line_id`` is the order key times one
+    more than the lines of the longest order (a scalar subquery), plus the line number.
+    """
+    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    stride = sizes.agg(F.max("n") + 1).scalar()
+    numbered = sequence_within(lineitem, ["l_orderkey"], LINE_ORDER, "rn", split_on="l_partkey")
+    return numbered.withColumn("line_id", (F.col("l_orderkey") * stride + F.col("rn")).cast("long"))
 
 
 def encounter_diagnoses(lines: DataFrame) -> DataFrame:
-    return (lines.filter(F.col("rn") <= 3)
-            .select((F.col("l_orderkey") * 100 + F.col("rn")).cast("long").alias("encounter_diagnosis_id"),
-                    F.col("l_orderkey").cast("long").alias("encounter_id"),
-                    (F.col("l_partkey") % DIAGNOSIS_MOD).cast("long").alias("diagnosis_id"),
-                    F.col("rn").cast("int").alias("diagnosis_sequence")))
+    return lines.select(F.col("line_id").alias("encounter_diagnosis_id"),
+                        F.col("l_orderkey").cast("long").alias("encounter_id"),
+                        F.col("l_partkey").cast("long").alias("diagnosis_id"),
+                        F.col("rn").cast("int").alias("diagnosis_sequence"))
 
 
-def encounter_procedures(lines: DataFrame) -> DataFrame:
-    return (lines.filter(F.col("rn") >= 2)
-            .select((F.col("l_orderkey") * 100 + F.col("rn")).cast("long").alias("encounter_procedure_id"),
-                    F.col("l_orderkey").cast("long").alias("encounter_id"),
-                    ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % PROCEDURE_MOD).cast("long")
-                    .alias("procedure_id"),
-                    F.to_date("l_shipdate").alias("procedure_date")))
+def encounter_procedures(lines: DataFrame, n_parts) -> DataFrame:
+    """``n_parts``: a number or a scalar subquery."""
+    return lines.select(F.col("line_id").alias("encounter_procedure_id"),
+                        F.col("l_orderkey").cast("long").alias("encounter_id"),
+                        ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % n_parts).cast("long").alias("procedure_id"),
+                        F.to_date("l_shipdate").alias("procedure_date"))
 
 
 def billing(lines: DataFrame) -> DataFrame:
@@ -122,44 +133,55 @@ def billing(lines: DataFrame) -> DataFrame:
     allowed_cents = F.floor(cents * (100 - disc) / 100).cast("long")
     cent = F.lit(Decimal("0.01"))
     status = F.coalesce(*[F.when(F.col("l_returnflag") == f, F.lit(s)) for f, s in CLAIM_STATUS.items()])
-    return (lines.filter(F.col("rn") <= 2)
-            .select((F.col("l_orderkey") * 100 + F.col("rn")).cast("long").alias("billing_id"),
-                    F.col("l_orderkey").cast("long").alias("encounter_id"),
-                    (cents.cast("decimal(12,0)") * cent).cast("decimal(12,2)").alias("claim_amount"),
-                    (allowed_cents.cast("decimal(12,0)") * cent).cast("decimal(12,2)").alias("allowed_amount"),
-                    F.to_date("l_shipdate").alias("claim_date"),
-                    status.alias("claim_status")))
+    return lines.select(F.col("line_id").alias("billing_id"),
+                        F.col("l_orderkey").cast("long").alias("encounter_id"),
+                        (cents.cast("decimal(12,0)") * cent).cast("decimal(12,2)").alias("claim_amount"),
+                        (allowed_cents.cast("decimal(12,0)") * cent).cast("decimal(12,2)").alias("allowed_amount"),
+                        F.to_date("l_shipdate").alias("claim_date"),
+                        status.alias("claim_status"))
+
+
+def _without(part: DataFrame, gap: tuple[int, int]) -> DataFrame:
+    return part.filter(F.col("p_partkey") % gap[0] != gap[1])
 
 
 def diagnoses(part: DataFrame) -> DataFrame:
-    return (part.filter(F.col("p_partkey") < 50)
-            .select(F.col("p_partkey").cast("long").alias("diagnosis_id"),
-                    F.concat(F.lit("D"), F.lpad(F.col("p_partkey").cast("string"), 3, "0")).alias("icd10_code"),
-                    F.col("p_name").alias("icd10_description")))
+    return _without(part, NO_DIAGNOSIS).select(
+        F.col("p_partkey").cast("long").alias("diagnosis_id"),
+        F.concat(F.lit("D"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("icd10_code"),
+        F.col("p_name").alias("icd10_description"))
 
 
 def procedures(part: DataFrame) -> DataFrame:
-    return (part.filter(F.col("p_partkey").between(50, 89))
-            .select((F.col("p_partkey") - 50).cast("long").alias("procedure_id"),
-                    (F.col("p_partkey") + 90000).cast("string").alias("cpt_code"),
-                    F.concat_ws(" ", "p_name", "p_type").alias("cpt_description")))
+    return _without(part, NO_PROCEDURE).select(
+        F.col("p_partkey").cast("long").alias("procedure_id"),
+        (F.col("p_partkey") + 90000).cast("string").alias("cpt_code"),
+        F.concat_ws(" ", "p_name", "p_type").alias("cpt_description"))
 
 
-def oltp_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All ten OLTP tables as lazy DataFrames over the driver parquet files."""
-    t = read_tables(spark, sf_dir, ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"])
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+def oltp_makers(spark: SparkSession, sf_dir: str) -> dict:
+    """How to derive each OLTP table from the driver's files; nothing runs before a table is asked for."""
+    t = read_tables(spark, sf_dir, TABLES)
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()  # noqa: E731  counted when the query runs
     prov = providers(t["supplier"], t["nation"])
-    n_suppliers = t["supplier"].count()
     lines = numbered_lines(t["lineitem"])
     return {
-        "patients": patients(t["customer"]),
-        "specialties": specialties(t["nation"]),
-        "departments": departments(t["region"]),
-        "providers": prov,
-        "encounters": encounters(t["orders"], prov, n_suppliers),
-        "diagnoses": diagnoses(t["part"]),
-        "encounter_diagnoses": encounter_diagnoses(lines),
-        "procedures": procedures(t["part"]),
-        "encounter_procedures": encounter_procedures(lines),
-        "billing": billing(lines),
+        "patients": lambda: patients(t["customer"]),
+        "specialties": lambda: specialties(t["nation"]),
+        "departments": lambda: departments(t["region"]),
+        "providers": lambda: prov,
+        "encounters": lambda: encounters(t["orders"], prov, rows(t["supplier"])),
+        "diagnoses": lambda: diagnoses(t["part"]),
+        "encounter_diagnoses": lambda: encounter_diagnoses(lines),
+        "procedures": lambda: procedures(t["part"]),
+        "encounter_procedures": lambda: encounter_procedures(lines, rows(t["part"])),
+        "billing": lambda: billing(lines),
     }
+
+
+def oltp_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All ten OLTP tables as lazy DataFrames over the driver parquet files."""
+    return {name: make() for name, make in oltp_makers(spark, sf_dir).items()}

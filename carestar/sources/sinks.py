@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carestar.session import checkpoint_dir
+
 PUBLISHED = "_published"
 
 
@@ -36,6 +38,14 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` once into the shared checkpoint folder and read it back."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), "carestar-scratch", f"{name}-{uuid.uuid4().hex}")
+    schema = df.schema
+    write_table(df, path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def new_stage(root: str, run_id: str | None = None) -> str:
     return os.path.join(root, "runs", run_id or uuid.uuid4().hex)
 

@@ -1,7 +1,8 @@
 import datetime as dt
 import random
 
-from carestar.operators.readmission import readmission_counts, readmission_pairs_bruteforce
+from bruteforce import readmission_pairs_bruteforce
+from carestar.operators.readmission import readmission_counts
 
 IDX = "e1 long, patient long, grp string, discharge timestamp_ntz"
 CAND = "e2 long, patient long, t timestamp_ntz"
@@ -12,6 +13,10 @@ def run(spark, idx, cand):
     a = spark.createDataFrame(idx, IDX)
     c = spark.createDataFrame(cand, CAND)
     fast = {r.grp: (r.index_stays, r.readmissions) for r in readmission_counts(a, c).collect()}
+    # with start known: a stay is only set apart when it starts after its discharge
+    t = {e: x for e, _, x in cand}
+    timed = spark.createDataFrame([(*r, t.get(r[0], r[3])) for r in idx], IDX + ", start timestamp_ntz")
+    assert {r.grp: (r.index_stays, r.readmissions) for r in readmission_counts(timed, c).collect()} == fast
     slow = {r.grp: (r.index_stays, r.readmissions) for r in readmission_pairs_bruteforce(a, c).collect()}
     return fast, slow
 
