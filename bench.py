@@ -49,7 +49,7 @@ def main() -> None:
     oltp = {n: spark.read.parquet(os.path.join(oltp_dir, n)) for n in OLTP}
 
     t0 = time.time()
-    result = run_pipeline(spark, oltp, os.path.join(base, "star"), TEST_PARAMS, batch_id="BENCH")
+    result = run_pipeline(spark, oltp, os.path.join(base, "star"), TEST_PARAMS, batch_id="BENCH", publish_failed=True)
     timings["etl"] = time.time() - t0
     star = {n: sinks.read_star(spark, os.path.join(base, "star"), n) for n in
             ["dim_date", "dim_patient", "dim_provider", "dim_specialty", "dim_department", "dim_encounter_type",

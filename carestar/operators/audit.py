@@ -1,10 +1,11 @@
 """A1-A12 — batch control, event log, error resolution and run summaries.
 
-Audit tables are append-only parquet. A run's events are gathered on the driver
-(a few dozen small rows: step name, level, counts, seconds) and written once per
-batch, also on failure, instead of one tiny file per event. Totals are computed
-when read (``sum(rows)``, ``count(errors)``), never kept as counters. Reject rows
-are DataFrames and are never collected.
+Audit tables are append-only Parquet. A batch has a RUNNING row and an ETL_START
+event from its first moment and a closing row at its end; ``batches`` shows the
+latest state of each. The other events of a run (a few dozen small rows) are
+gathered on the driver and written when the run ends, also when it fails. Totals
+are computed when read, never kept as counters. Reject rows are DataFrames and
+are never collected; resolving errors appends a resolution, which ``errors`` joins.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import threading
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ class EventLog:
     batch_id: str
     batch_type: str = "FULL_REFRESH"
     events: list[tuple] = field(default_factory=list)
+    written: int = 0                # events that are in the audit tables already
     started: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc))
     status: str = RUNNING
     ended: dt.datetime | None = None
@@ -53,12 +56,15 @@ class EventLog:
             self.events.append((len(self.events) + 1, self.batch_id, dt.datetime.now(dt.timezone.utc), level,
                                 step, message, rows, expected, secs))
 
-    def start(self) -> None:
-        self.log(INFO, "ETL_START", f"Starting {self.batch_type} ETL batch")
+    def start(self, spark: SparkSession | None = None, root: str | None = None) -> None:
+        """A2: the first event, and with ``root`` the RUNNING row, at once."""
+        self.log(INFO, "ETL_START", f"{self.batch_type} batch begins")
+        if root is not None:
+            write_audit(spark, root, self, None, None, None)
 
     def complete(self, status: str, notes: str) -> None:
         self.status, self.notes, self.ended = status, notes, dt.datetime.now(dt.timezone.utc)
-        self.log(INFO if status == COMPLETED else ERROR, "ETL_END", f"ETL batch {status}: {notes or ''}")
+        self.log(INFO if status == COMPLETED else ERROR, "ETL_END", f"Batch ends {status}")
 
     @property
     def logged_rows(self) -> int:
@@ -66,7 +72,7 @@ class EventLog:
         return sum(e[6] for e in self.events if e[6] is not None and e[6] > 0)
 
     def log_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.events, schemas.ETL_LOG)
+        return spark.createDataFrame(self.events[self.written:], schemas.ETL_LOG)
 
     def control_frame(self, spark: SparkSession, total_rows: int | None, total_errors: int | None) -> DataFrame:
         row = (self.batch_id, self.batch_type, self.started, self.ended, self.status, total_rows,
@@ -76,8 +82,9 @@ class EventLog:
 
 def write_audit(spark: SparkSession, root: str, log: EventLog, errors: DataFrame | None,
                 total_rows: int | None, total_errors: int | None) -> None:
-    """Append the run's log, its error records and its final batch-control row."""
+    """Append the run's new events, its error records and its present batch-control row."""
     log.log_frame(spark).write.mode("append").partitionBy("batch_id").parquet(os.path.join(root, "etl_log"))
+    log.written = len(log.events)
     if errors is not None:
         errors.write.mode("append").partitionBy("batch_id").parquet(os.path.join(root, "etl_error_records"))
     log.control_frame(spark, total_rows, total_errors).write.mode("append") \
@@ -88,6 +95,22 @@ def read_audit(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(root, name))
 
 
+def batches(spark: SparkSession, root: str) -> DataFrame:
+    """The latest state of every batch: its closing row where there is one, else the RUNNING row."""
+    rows = read_audit(spark, root, "etl_batch_control")
+    latest = F.max_by(F.struct(*[F.col(c) for c in rows.columns]), F.struct(F.col("end_timestamp").isNotNull(), "end_timestamp"))
+    return rows.groupBy(F.col("batch_id").alias("_id")).agg(latest.alias("b")).select("b.*")
+
+
+def known_batch(spark: SparkSession, root: str, batch_id: str) -> bool:
+    """Whether the audit tables have a row of this batch."""
+    try:
+        rows = read_audit(spark, root, "etl_batch_control")
+    except AnalysisException:          # no batch yet
+        return False
+    return not rows.filter(F.col("batch_id") == batch_id).isEmpty()
+
+
 def batch_status(checks: DataFrame, errors: DataFrame) -> DataFrame:
     """Any ERROR check -> FAILED; else any reject -> COMPLETED_WITH_WARNINGS; else COMPLETED.
 
@@ -110,33 +133,6 @@ def batch_slice(df: DataFrame, key: str, lo: int, hi: int) -> DataFrame:
     return df.filter(F.col(key).between(lo, hi))
 
 
-def fact_batches(spark: SparkSession, loadable: DataFrame, fact: DataFrame, lo: int, hi: int,
-                 step: int) -> DataFrame:
-    """A9 / J4 per range: expected vs loaded rows, level, and the running high-water mark.
-
-    One aggregation per side keyed by range number; the range table itself has
-    (hi - lo) / step rows.
-    """
-    rid = lambda c: F.floor((F.col(c) - F.lit(lo)) / F.lit(step)).cast("long")
-    exp = loadable.groupBy(rid("encounter_id").alias("range_no")).agg(F.count(F.lit(1)).alias("expected_rows"))
-    got = fact.groupBy(rid("encounter_id").alias("range_no")).agg(F.count(F.lit(1)).alias("loaded_rows"))
-    n = (hi - lo) // step + 1
-    ranges = spark.range(0, n).select(F.col("id").alias("range_no"))
-    j = ranges.join(exp, "range_no", "left").join(got, "range_no", "left")
-    e, g = F.coalesce("expected_rows", F.lit(0)), F.coalesce("loaded_rows", F.lit(0))
-    start = F.lit(lo) + F.col("range_no") * F.lit(step)
-    end = F.least(start + F.lit(step - 1), F.lit(hi))
-    return j.select("range_no", start.alias("range_start"), end.alias("range_end"),
-                    e.alias("expected_rows"), g.alias("loaded_rows"),
-                    level_for(e != g).alias("log_level"),
-                    end.alias("last_successful_encounter_id"))
-
-
-def high_water_mark(batches: DataFrame) -> DataFrame:
-    """The last fully processed encounter id (ranges run in order; a failure stops the run)."""
-    return batches.agg(F.max("last_successful_encounter_id").alias("last_successful_encounter_id"))
-
-
 def resolve_errors(errors: DataFrame, batch_id: str, error_type: str, who: str, at: str) -> DataFrame:
     """Mark the batch's unresolved errors of one type as resolved (an immutable rewrite)."""
     hit = (F.col("batch_id") == batch_id) & (F.col("error_type") == error_type) & ~F.coalesce(
@@ -148,6 +144,31 @@ def resolve_errors(errors: DataFrame, batch_id: str, error_type: str, who: str,
         F.when(hit, F.lit(who)).otherwise(F.col("resolved_by")).alias("resolved_by"))
 
 
+def resolve_and_record(spark: SparkSession, root: str, batch_id: str, error_type: str, who: str, at: str) -> int:
+    """Record that the batch's open errors of one type are resolved; how many that were."""
+    n = errors(spark, root).filter((F.col("batch_id") == batch_id) & (F.col("error_type") == error_type)
+                                   & ~F.coalesce(F.col("resolved"), F.lit(False))).count()
+    row = [(batch_id, error_type, who, at)]
+    (spark.createDataFrame(row, "batch_id string, error_type string, by string, at string")
+     .withColumn("at", F.col("at").cast("timestamp")).coalesce(1)
+     .write.mode("append").parquet(os.path.join(root, "etl_error_resolutions")))
+    return n
+
+
+def errors(spark: SparkSession, root: str) -> DataFrame:
+    """Error records with the resolutions recorded since (the first one of a batch and type counts)."""
+    rows = read_audit(spark, root, "etl_error_records")
+    try:
+        done = read_audit(spark, root, "etl_error_resolutions")
+    except AnalysisException:          # nothing resolved yet
+        return rows
+    first = done.groupBy("batch_id", "error_type").agg(F.min("at").alias("_at"), F.min_by("by", "at").alias("_by"))
+    open_ = ~F.coalesce(F.col("resolved"), F.lit(False)) & F.col("_at").isNotNull()
+    joined = rows.join(first, ["batch_id", "error_type"], "left")
+    new = {"resolved": F.lit(True), "resolved_timestamp": F.col("_at"), "resolved_by": F.col("_by")}
+    return joined.select(*[F.when(open_, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in rows.columns])
+
+
 def count_by(df: DataFrame, col: str, name: str = "count") -> DataFrame:
     """``GROUP BY col ORDER BY count DESC``."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), col)
@@ -168,23 +189,29 @@ def batch_summary(control: DataFrame, log: DataFrame, errors: DataFrame, batch_i
 def recent_log(log: DataFrame, batch_id: str, n: int = 15) -> DataFrame:
     """The last n log rows of a batch, newest first, message cut to 60 characters."""
     rows = log.filter(F.col("batch_id") == batch_id).orderBy(F.desc("log_id")).limit(n)
-    return rows.select(F.date_format("log_timestamp", "HH:mm:ss").alias("time"), "log_level", "step_name",
+    return rows.select("log_id", F.date_format("log_timestamp", "HH:mm:ss").alias("time"), "log_level", "step_name",
                        F.left(F.col("message"), F.lit(60)).alias("message"), "rows_affected",
                        F.col("execution_time_seconds").alias("seconds"))
 
 
 def batch_history(control: DataFrame) -> DataFrame:
-    """A10: batches, newest first."""
-    return control.orderBy(F.desc("start_timestamp"))
+    """A10: batches with their minutes, newest first."""
+    minutes = F.timestamp_diff("MINUTE", F.col("start_timestamp"), F.coalesce("end_timestamp", F.current_timestamp()))
+    return control.withColumn("duration_minutes", minutes).orderBy(F.desc("start_timestamp"))
+
+
+def unresolved_rows(errors: DataFrame) -> DataFrame:
+    """A10: the open errors themselves."""
+    return errors.filter(~F.coalesce(F.col("resolved"), F.lit(False)))
 
 
 def unresolved(errors: DataFrame) -> DataFrame:
-    """A10: unresolved errors per batch and type."""
-    return (errors.filter(~F.coalesce(F.col("resolved"), F.lit(False)))
-            .groupBy("batch_id", "error_type").agg(F.count(F.lit(1)).alias("unresolved")))
+    """A10: open errors per batch and type."""
+    return unresolved_rows(errors).groupBy("batch_id", "error_type").agg(F.count(F.lit(1)).alias("unresolved"))
 
 
 def step_details(log: DataFrame, batch_id: str) -> DataFrame:
+    """A10: the steps of a batch in order."""
     return log.filter(F.col("batch_id") == batch_id).orderBy("log_id")
 
 
@@ -192,4 +219,3 @@ def slow_steps(log: DataFrame, batch_id: str, seconds: float = 60) -> DataFrame:
     """A10: steps slower than ``seconds``."""
     return (log.filter((F.col("batch_id") == batch_id) & (F.col("execution_time_seconds") > seconds))
             .orderBy(F.desc("execution_time_seconds")))
-

@@ -73,8 +73,13 @@ def build_fact(resolved: DataFrame, measures: DataFrame, loaded_at: str,
     rows = loadable(resolved).withColumn("date_key", date_key("encounter_date"))
     if dim_date is not None:
         rows = rows.join(dim_date.select("date_key"), "date_key", "left_semi")
-    keys = number_keys(rows.select("encounter_id"), "encounter_id", "encounter_key")
-    return rows.join(keys, "encounter_id").join(measures, "encounter_id", "left").select(
+    return fact_rows(rows, number_keys(rows.select("encounter_id"), "encounter_id", "encounter_key"), measures, loaded_at)
+
+
+def fact_rows(rows: DataFrame, keys: DataFrame, measures: DataFrame, loaded_at: str) -> DataFrame:
+    """Fact rows of loadable encounters, given their numbered keys."""
+    dated = rows.withColumn("date_key", date_key("encounter_date"))
+    return dated.join(keys, "encounter_id").join(measures, "encounter_id", "left").select(
         "encounter_key", "encounter_id", "date_key", *KEYS, "encounter_date", "discharge_date",
         zero_if_missing("diagnosis_count").cast("int").alias("diagnosis_count"),
         zero_if_missing("procedure_count").cast("int").alias("procedure_count"),

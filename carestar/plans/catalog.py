@@ -21,26 +21,30 @@ from carestar import schemas
 from carestar.functions import dates as D
 from carestar.functions import expressions as X
 from carestar.operators import audit as A
+from carestar.operators import batches as B
 from carestar.operators import quality as QC
 from carestar.operators.calendar import build_dim_date, date_spine
-from carestar.operators.fact import expected_fact_rows, loadable
+from carestar.operators.fact import expected_fact_rows, fact_rows, loadable, outside_calendar
+from carestar.operators.keys import number_keys
 from carestar.operators.lookups import billing_totals, count_per_key
 from carestar.operators.rejects import with_error_audit
 from carestar.plans import questions as Q
+from carestar.plans.compare import compare
 from carestar.plans.pipeline import run_pipeline, run_summary
 from carestar.plans.star import TEST_PARAMS, LazyTables, StarBuild
 from carestar.sources.adapter import TABLES, oltp_makers
-from carestar.sources.readers import read_source, table_state
+from carestar.sources.readers import read_csv, read_source, table_state
 from carestar.session import checkpoint_dir
-from carestar.sources.sinks import replace_range
+from carestar.sources.sinks import append, full_refresh, read_star, replace_range, reset_source, write_table
 
 P = TEST_PARAMS
 _BUILDS: OrderedDict[tuple, StarBuild] = OrderedDict()      # of the last few sources
+_LOADS: OrderedDict[tuple, tuple] = OrderedDict()
 _KEPT = 4
 _LOCK = threading.RLock()          # one build / one run per session and source, even from threads
 
 # Parameters of the registered audit queries.
-BATCH_STEP = 2500                      # encounter ids per fact batch (reference: 100,000)
+FACT_BATCHES = 6                       # id ranges of the batched fact load
 RESOLVED_TYPE, RESOLVED_BY, RESOLVED_AT = "MISSING_PROVIDER", "data.steward", "2025-01-02 09:00:00"
 
 
@@ -179,15 +183,36 @@ def scalar_subquery_filter(s, d):
     return f.groupBy("specialty_key").agg(F.count(F.lit(1)).alias("inpatient_encounters"))
 
 
+def _batched(s, d):
+    """The fact loaded in FACT_BATCHES id ranges, once per session and source: (build, root of the load)."""
+    with _LOCK:
+        key = _source(s, d)
+        if key in _LOADS:
+            return _LOADS[key]
+        b = build(s, d)
+        ready = loadable(b.resolved_encounters)
+        ends = ready.agg(F.min("encounter_id").alias("lo"), F.max("encounter_id").alias("hi")).first()
+        step = (ends["hi"] - ends["lo"]) // FACT_BATCHES + 1
+        root = os.path.join(checkpoint_dir(s), "carestar-batches", uuid.uuid4().hex)
+        keys = number_keys(ready.select("encounter_id"), "encounter_id", "encounter_key")
+        B.run_batches(s, ready, lambda rows: fact_rows(rows, keys, b.measures, P.loaded_at), root, step)
+        return _remember(_LOADS, key, (b, root))
+
+
 def batch_equivalence(s, d):
-    """The fact loaded range by range (BETWEEN lo AND hi) equals the one-job load."""
-    b = build(s, d)
-    stats = b.oltp["encounters"].agg(F.min("encounter_id").alias("lo"), F.max("encounter_id").alias("hi")).first()
-    return A.fact_batches(s, loadable(b.resolved_encounters), b.fact, stats["lo"], stats["hi"], BATCH_STEP)
+    """The fact loaded range by range (BETWEEN lo AND hi) against the one-job load: per range the expected
+    and loaded rows, and the rows that are not the same in both."""
+    b, root = _batched(s, d)
+    a, whole = B.loaded(s, root), b.fact.drop("date_year")
+    odd = a.exceptAll(whole.select(*a.columns)).select("encounter_id").union(
+        whole.select(*a.columns).exceptAll(a).select("encounter_id"))
+    ranges = B.marks(s, root)
+    there = ranges.join(odd, odd.encounter_id.between(F.col("range_start"), F.col("range_end")), "left")
+    return there.groupBy(*ranges.columns).agg(F.count("encounter_id").alias("differing_rows"))
 
 
 def high_water_mark(s, d):
-    return A.high_water_mark(batch_equivalence(s, d))
+    return B.high_water_mark(B.marks(s, _batched(s, d)[1]))
 
 
 def scalar_date_suite(s, d):
@@ -309,13 +334,20 @@ def type_distribution(s, d):
 
 
 def resolve_errors_q(s, d):
-    """Resolve the batch's MISSING_PROVIDER errors; per type, resolved and open counts."""
-    errs = with_error_audit(build(s, d).errors, P.loaded_at)
-    done = A.resolve_errors(errs, P.batch_id, RESOLVED_TYPE, RESOLVED_BY, RESOLVED_AT)
-    return done.groupBy("error_type").agg(
+    """Record the resolution of a run's MISSING_PROVIDER errors; how many that were, and what is open after it."""
+    root = os.path.join(checkpoint_dir(s), "carestar-errors", uuid.uuid4().hex)
+    with_error_audit(build(s, d).errors, P.loaded_at).write.partitionBy("batch_id").parquet(os.path.join(root, "etl_error_records"))
+    n = A.resolve_and_record(s, root, P.batch_id, RESOLVED_TYPE, RESOLVED_BY, RESOLVED_AT)
+    return A.errors(s, root).groupBy("error_type").agg(
         F.count(F.when(F.col("resolved"), 1)).alias("resolved"),
         F.count(F.when(~F.col("resolved"), 1)).alias("open"),
-        F.max("resolved_by").alias("resolved_by"))
+        F.max("resolved_by").alias("resolved_by")).withColumn("resolved_in_all", F.lit(n).cast("long"))
+
+
+def calendar_check(s, d):
+    """Loaded encounters that the calendar does not cover (reports by date leave them out)."""
+    b = build(s, d)
+    return outside_calendar(b.resolved_encounters, b.dim_date)
 
 
 def range_replace(s, d):
@@ -346,7 +378,7 @@ def _full_run(s, d):
         if key in _RUNS:
             return _RUNS[key]
         root = os.path.join(checkpoint_dir(s), "carestar-runs", uuid.uuid4().hex)
-        return _remember(_RUNS, key, run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id))
+        return _remember(_RUNS, key, run_pipeline(s, build(s, d).oltp, root, P, batch_id=P.batch_id, publish_failed=True))
 
 
 def run_table_counts(s, d):
@@ -359,26 +391,114 @@ def run_checks(s, d):
     return run_summary(s, _full_run(s, d))["checks"]
 
 
+def _audit(s, d, name: str):
+    """A table of the run's audit, its own batch only."""
+    r = _full_run(s, d)
+    rows = {"batches": A.batches, "errors": A.errors}.get(name, lambda s, root: A.read_audit(s, root, name))(s, r.audit_root)
+    return rows.filter(F.col("batch_id") == r.batch_id), r.batch_id
+
+
 def run_recent_log(s, d):
-    """The run's last 15 log rows, newest first (times vary: rows-only check)."""
-    return run_summary(s, _full_run(s, d))["recent_log"]
+    """The run's last 15 log rows, newest first (without the times of day)."""
+    log, batch = _audit(s, d, "etl_log")
+    return A.recent_log(log, batch).drop("time", "seconds")
 
 
 def run_batch_totals(s, d):
     """The run's batch-control row (totals computed when the run closed)."""
-    r = _full_run(s, d)
-    control = A.read_audit(s, r.audit_root, "etl_batch_control")
-    return control.filter(F.col("batch_id") == r.batch_id).select(
-        "total_rows_processed", "total_errors", "status", "last_successful_encounter_id")
+    return _audit(s, d, "batches")[0].select("total_rows_processed", "total_errors", "status", "last_successful_encounter_id")
 
 
 def run_log_levels(s, d):
     """The run's log rows per level, read back from the audit tables."""
-    r = _full_run(s, d)
-    control = A.read_audit(s, r.audit_root, "etl_batch_control")
-    log = A.read_audit(s, r.audit_root, "etl_log")
-    errors = A.read_audit(s, r.audit_root, "etl_error_records")
-    return A.batch_summary(control, log, errors, r.batch_id)[1]
+    log, _ = _audit(s, d, "etl_log")
+    return A.count_by(log, "log_level")
+
+
+def run_error_types(s, d):
+    """The run's errors per type, read back from the audit tables."""
+    return A.count_by(_audit(s, d, "errors")[0], "error_type")
+
+
+def batch_history(s, d):
+    """A10 / A2: the run's state in batch control: closed, and begun before it ended."""
+    return A.batch_history(_audit(s, d, "batches")[0]).select(
+        "batch_id", "batch_type", "status", (F.col("duration_minutes") >= 0).alias("timed"),
+        (F.col("start_timestamp") <= F.col("end_timestamp")).alias("ended_after_start"))
+
+
+def batch_events(s, d):
+    """A2 / A5: rows that batch control got for the run, by status (RUNNING at its start, one at its end)."""
+    return _audit(s, d, "etl_batch_control")[0].groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def run_status(s, d):
+    """The status row of the final summary, without the minutes."""
+    return run_summary(s, _full_run(s, d))["status"].drop("duration_minutes")
+
+
+def unresolved_errors(s, d):
+    """A10: the run's open errors, row by row."""
+    return A.unresolved_rows(_audit(s, d, "errors")[0]).select("batch_id", "source_table", "source_id", "error_type", "field_value")
+
+
+def step_details(s, d):
+    """A10: every step of the run in order, with its rows."""
+    log, batch = _audit(s, d, "etl_log")
+    return A.step_details(log, batch).select("log_id", "log_level", "step_name", "message", "rows_affected", "rows_expected")
+
+
+def slow_steps(s, d):
+    """A10: the steps of the run that took any time (the limit is a parameter)."""
+    log, batch = _audit(s, d, "etl_log")
+    return A.slow_steps(log, batch, seconds=-1).select("step_name")
+
+
+# ---- sources and sinks ----------------------------------------------------------------------
+def _scratch(s) -> str:
+    return os.path.join(checkpoint_dir(s), "carestar-io", uuid.uuid4().hex)
+
+
+def csv_round_trip(s, d):
+    """Patients written as headered CSV and read back with the declared schema."""
+    path = _scratch(s)
+    _oltp(s, d)["patients"].write.option("header", True).option("escape", '"').csv(path)
+    return read_csv(s, path, schemas.PATIENTS)
+
+
+def append_twice(s, d):
+    """Paid bills appended to the pending ones; rows and amounts of the table by status."""
+    path, bills = _scratch(s), _oltp(s, d)["billing"]
+    for status in ("Pending", "Paid"):
+        append(bills.filter(F.col("claim_status") == status), path)
+    return s.read.parquet(path).groupBy("claim_status").agg(F.count(F.lit(1)).alias("bills"),
+                                                            F.sum("claim_amount").cast("decimal(22,2)").alias("claimed"))
+
+
+def refresh_twice(s, d):
+    """Departments loaded, then refreshed with those of the upper floors; readers see the last load."""
+    root, rows = _scratch(s), _oltp(s, d)["departments"]
+    full_refresh(s, {"departments": rows}, root)
+    full_refresh(s, {"departments": rows.filter("floor >= 3")}, root)
+    return read_star(s, root, "departments")
+
+
+def reset_transactions(s, d):
+    """A source with its transactional tables emptied; rows per table."""
+    base, oltp = _scratch(s), _oltp(s, d)
+    for name in ("departments", "specialties"):
+        write_table(oltp[name], os.path.join(base, name))
+    reset_source(s, base, {n: schemas.OLTP[n] for n in schemas.TRANSACTIONAL})
+    return QC._union([s.read.schema(schemas.OLTP[n]).parquet(os.path.join(base, n)).agg(F.count(F.lit(1)).alias("records"))
+                      .select(F.lit(n).alias("table_name"), "records") for n in ["departments", "specialties", *schemas.TRANSACTIONAL]])
+
+
+def compare_models(s, d):
+    """The comparison of both models on rows read per question in place of seconds (a timing differs from run to run)."""
+    o, star = _oltp(s, d), _star(s, d)
+    n = lambda df: df.agg(F.count(F.lit(1))).first()[0]
+    enc, fact, bills = n(o["encounters"]), n(star["fact_encounters"]), n(o["billing"])
+    return compare(s, {"q1_oltp": float(enc), "q1_star": float(fact), "q4_oltp": float(enc + bills), "q4_star": float(fact)})
 
 
 QUERIES = {
@@ -408,5 +528,9 @@ QUERIES = {
     "range_replace": range_replace, "union_distinct": union_distinct,
     "run_table_counts": run_table_counts, "run_checks": run_checks,
     "run_recent_log": run_recent_log, "run_log_levels": run_log_levels,
-    "run_batch_totals": run_batch_totals,
+    "run_batch_totals": run_batch_totals, "run_error_types": run_error_types, "run_status": run_status,
+    "batch_history": batch_history, "batch_events": batch_events, "unresolved_errors": unresolved_errors,
+    "step_details": step_details, "slow_steps": slow_steps, "calendar_check": calendar_check,
+    "csv_round_trip": csv_round_trip, "append_twice": append_twice, "refresh_twice": refresh_twice,
+    "reset_transactions": reset_transactions, "compare_models": compare_models,
 }

@@ -46,6 +46,12 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run wrote."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def new_stage(root: str, run_id: str | None = None) -> str:
     return os.path.join(root, "runs", run_id or uuid.uuid4().hex)
 

@@ -46,7 +46,7 @@ def test_audit_views(spark):
     from carestar.operators.rejects import with_error_audit
     log.last_successful_encounter_id = 42
     A.write_audit(spark, root, log, with_error_audit(errs, "2025-01-01 00:00:00"), 13, 1)
-    control = A.read_audit(spark, root, "etl_batch_control")
+    control = A.batches(spark, root)
     lg = A.read_audit(spark, root, "etl_log")
     er = A.read_audit(spark, root, "etl_error_records")
     c, levels, types = A.batch_summary(control, lg, er, "B9")

@@ -34,7 +34,7 @@ def main() -> None:
     for name, df in oltp_from_driver(spark, sf).items():
         sinks.write_table(df, os.path.join(base, "oltp", name))
     oltp = {n: spark.read.parquet(os.path.join(base, "oltp", n)) for n in OLTP}
-    run_pipeline(spark, oltp, os.path.join(base, "star"), P, batch_id="EXPLAIN")
+    run_pipeline(spark, oltp, os.path.join(base, "star"), P, batch_id="EXPLAIN", publish_failed=True)
     star = {n: sinks.read_star(spark, os.path.join(base, "star"), n) for n in STAR}
     plans = {"q1_oltp": lambda: Q.q1_oltp(oltp, P.since), "q1_star": lambda: Q.q1_star(star, P.since_year),
              "q2_oltp": lambda: Q.q2_oltp(oltp), "q2_star": lambda: Q.q2_star(star),
