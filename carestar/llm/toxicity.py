@@ -22,7 +22,6 @@ result; further columns are left out.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -41,6 +40,7 @@ SHORTEST, LONGEST = 3, 8           # letters of a term
 SURE_ODDS, PATTERN_ODDS = 3.0, 2.0  # least log odds of a term
 LEAST_SHARE = 0.01                 # of the toxic documents that must hold a term
 MAX_TERMS = 500                    # per lexicon, best first
+TERM_BYTES = 2 << 20               # of text that terms are counted in at a time
 VOTERS = 10
 GROUP = 4                          # most voters that are estimated jointly
 CORRELATED = 0.2                   # least correlation within a class for that
@@ -56,29 +56,33 @@ def _cores(vocab: pa.Array) -> list[str]:
 
 # -- lexicons -------------------------------------------------------------
 
+def _beginnings(vocab: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Of each word the numbers of its beginnings of SHORTEST to LONGEST letters (-1: too short), and these terms."""
+    cores = pa.array(_cores(vocab), pa.string())
+    lengths = pc.utf8_length(cores).to_numpy(zero_copy_only=False)
+    sizes = range(SHORTEST, LONGEST + 1)
+    terms = pa.concat_arrays([pc.utf8_slice_codeunits(cores, 0, size) for size in sizes]).dictionary_encode()
+    numbers = terms.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(sizes), -1).T
+    return np.where(lengths[:, None] >= np.array(sizes), numbers, -1), terms.dictionary
+
+
 def _term_counts(batches):
     """Per piece of the sample: each word beginning with the documents of either label that hold it once, and twice."""
-    for batch in chunks(batches):
+    for batch in chunks(batches, max_bytes=TERM_BYTES):
         w = split_words(text_column(batch))
-        cores = _cores(w.vocab)
-        once: Counter = Counter()
-        twice: Counter = Counter()
-        toxic = [y > 0.5 for y in batch.column("y").to_pylist()]
-        for i, is_toxic in enumerate(toxic):
-            ids, times = np.unique(w.ids[w.starts[i]:w.starts[i + 1]], return_counts=True)
-            held: Counter = Counter()
-            for k, n in zip(ids.tolist(), times.tolist()):
-                core = cores[k]
-                for size in range(SHORTEST, min(LONGEST, len(core)) + 1):
-                    held[core[:size]] += n
-            for term, n in held.items():
-                once[term, is_toxic] += 1
-                if n > 1:
-                    twice[term, is_toxic] += 1
-        terms = sorted({t for t, _ in once})
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms), *[pa.array([c[t, y] for t in terms], pa.int64()) for c in (once, twice) for y in (True, False)]],
-            names=["term", "t1", "c1", "t2", "c2"])
+        numbers, terms = _beginnings(w.vocab)
+        size = max(len(w.vocab), 1)
+        pairs, times = np.unique(w.rows * size + w.ids, return_counts=True)
+        found = numbers[pairs % size]
+        held = found >= 0
+        keys = (pairs // size)[:, None] * max(len(terms), 1) + found
+        keys, where = np.unique(keys[held], return_inverse=True)
+        n = np.bincount(where, np.broadcast_to(times[:, None], found.shape)[held], len(keys))
+        term, toxic = keys % max(len(terms), 1), (batch.column("y").to_numpy(zero_copy_only=False) > 0.5)[keys // max(len(terms), 1)]
+        columns = [np.bincount(term[(n >= least) & (toxic == y)], minlength=len(terms)) for least in (1, 2) for y in (True, False)]
+        some = np.flatnonzero(sum(columns))
+        yield pa.RecordBatch.from_arrays([terms.take(pa.array(some)), *[pa.array(c[some].astype(np.int64)) for c in columns]],
+                                         names=["term", "t1", "c1", "t2", "c2"])
 
 
 @dataclass
