@@ -73,3 +73,20 @@ def test_pipeline_stages(spark):
     e = stages["encode"](spark, d, SF)
     assert {r["doc_id"]: r["decoded"] for r in e.collect()} == {r["doc_id"]: r["text"] for r in d.collect()}
     assert ids(corpus_pipeline.run(spark, SF)) == ids(d)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_awkward_and_empty_tables(spark, name):
+    import helpers as H
+    stage, last = dict(corpus_pipeline.STAGES)[name], corpus_pipeline.STAGES[-1][0]
+    for docs, most in ((H.awkward(spark), len(H.AWKWARD)), (H.empty(spark), 0)):
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        assert len(rows) <= most
+        if name != last:
+            assert out.columns == docs.columns
+            clean = [i for i, t in H.AWKWARD if i in (7, 8, 11, 12, -5)] if most else []
+            assert set(clean) <= {r["doc_id"] for r in rows}                # nothing is wrong with these
+            given = {(i, t) for i, t in H.AWKWARD}
+            if name != "line_dedup":
+                assert {(r["doc_id"], r["text"]) for r in rows} <= given
