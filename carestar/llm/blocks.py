@@ -69,12 +69,19 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, sorted_keys[starts]
 
 
-def low_and_high(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes with the smallest ``low`` and the largest ``high`` of each."""
-    order, starts, distinct = grouped(hashes)
-    if not len(distinct):
-        return distinct, low[:0], high[:0]
-    return distinct, np.minimum.reduceat(low[order], starts), np.maximum.reduceat(high[order], starts)
+def low_and_high(keys: list[np.ndarray], low: np.ndarray, high: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows of the keys, sorted, with the smallest ``low`` and the largest ``high`` of each; and where each row went."""
+    if not len(low):
+        return keys, low, high, np.zeros(0, np.int64)
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    starts = np.flatnonzero(new)
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return [k[order[starts]] for k in keys], np.minimum.reduceat(low[order], starts), np.maximum.reduceat(high[order], starts), at
 
 
 def position(needles: np.ndarray, hay: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,8 +8,8 @@ are looked up. A longer repeat consists of repeated windows of the full length,
 so doubling further could not remove another word; an empty level ends the work.
 
 A window is removed when the same words start in a document with a smaller
-doc_id, judged on the input. Hashes have 64 bits; a window counts as repeated
-only if both levels agree.
+doc_id, judged on the input. Full windows are told apart by two hashes of 64
+bits each.
 
 Defined results: a null or blank text has no words. Rows without a doc_id keep
 all words and remove nothing elsewhere. Rows that repeat a doc_id are rows of
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from carestar.llm.blocks import blocked, column, low_and_high, pack, position, to_buckets
-from carestar.llm.words import Words, hash_words, rolling, split_words, windows
+from carestar.llm.words import Words, hash_words, mix, rolling, split_words, windows
 
 WINDOW = 50
 SIGN = np.uint64(1 << 63)      # doc_ids are compared as unsigned values with the sign bit turned
@@ -67,74 +67,78 @@ class _Block:
         """Smallest half-length hash within each full window."""
         half = (self.window + 1) // 2
         hashes = rolling(self.hashed, half)
-        return _sliding_min(hashes, self.window - half + 1)[self.at] if len(self.at) else np.zeros(0, np.uint64)
+        if not len(self.at):
+            return np.zeros(0, np.uint64)
+        return mix(_sliding_min(hashes, self.window - half + 1)[self.at])     # minima are small: mixed, they fill all buckets
 
-    def full(self) -> np.ndarray:
-        return rolling(self.hashed, self.window)[self.at] if len(self.at) else np.zeros(0, np.uint64)
+    def full(self) -> list[np.ndarray]:
+        """Two independent hashes of each full window."""
+        if not len(self.at):
+            return [np.zeros(0, np.uint64)] * 2
+        return [rolling(self.hashed ^ np.uint64(seed), self.window)[self.at] for seed in (0, 0xA0761D6478BD642F)]
 
 
-ASKED = "bucket int, block int, hash binary, low binary, high binary"
+LEVEL1 = "bucket int, block int, hash binary, low binary, high binary"
+LEVEL2 = "bucket int, block int, hash binary, check binary, low binary, high binary"
 
 
 def _first_level(window: int, n: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         b = _Block(table, window)
         halves = b.halves()
-        first = np.concatenate([[True], (halves[1:] != halves[:-1]) | (b.doc[1:] != b.doc[:-1])]) if len(halves) else []
-        first = np.asarray(first, bool)
-        hashes, low, high = low_and_high(halves[first], b.doc[first], b.doc[first])
+        first = np.ones(len(halves), bool)
+        first[1:] = (halves[1:] != halves[:-1]) | (b.doc[1:] != b.doc[:-1])
+        (hashes,), low, high, _ = low_and_high([halves[first]], b.doc[first], b.doc[first])
         return to_buckets(key[0].as_py(), hashes, {"low": low, "high": high}, n)
     return run
 
 
-def _answer(table: pa.Table):
-    """What a bucket was asked, and for each distinct hash the smallest and largest doc_id over all blocks."""
-    blocks = table.column("block").to_pylist()
-    hashes, low, high = column(table, "hash"), column(table, "low"), column(table, "high")
-    sizes = [len(x) // 8 for x in table.column("hash").to_pylist()]
-    distinct, least, most = low_and_high(hashes, low, high)
-    at, _ = position(hashes, distinct)
-    return at, sizes, blocks, hashes, high, least, most
+def _repeated(key: tuple, table: pa.Table) -> pa.Table:
+    """Per asking block, its hashes that occur in more than one document."""
+    hashes = column(table, "hash")
+    _, least, most, at = low_and_high([hashes], column(table, "low"), column(table, "high"))
+    return _replies(table, (least < most)[at], {"hash": hashes})
 
 
-def _repeated(key: tuple, table: pa.Table) -> pa.Table:
-    at, sizes, blocks, hashes, _, least, most = _answer(table)
-    return _replies(sizes, blocks, (least < most)[at], {"hash": hashes})
+def _second_level(window: int, n: int):
+    def run(key: tuple, docs: pa.Table, repeated: pa.Table) -> pa.Table:
+        none = np.zeros(0, np.uint64)
+        if not repeated.num_rows or not docs.num_rows:
+            return to_buckets(0, none, {"check": none, "low": none, "high": none}, n)
+        b = _Block(docs, window)
+        _, found = position(b.halves(), np.sort(column(repeated, "hash")))
+        doc = b.doc[found]
+        (hashes, check), low, high, _ = low_and_high([x[found] for x in b.full()], doc, doc)
+        return to_buckets(key[0].as_py(), hashes, {"check": check, "low": low, "high": high}, n)
+    return run
 
 
 def _removable(key: tuple, table: pa.Table) -> pa.Table:
-    at, sizes, blocks, hashes, high, least, _ = _answer(table)
-    return _replies(sizes, blocks, least[at] < high, {"hash": hashes, "low": least[at]})
+    """Per asking block, its windows that start in a document smaller than one of its own, with the smallest such doc_id."""
+    hashes, check, high = column(table, "hash"), column(table, "check"), column(table, "high")
+    _, least, _, at = low_and_high([hashes, check], column(table, "low"), high)
+    return _replies(table, least[at] < high, {"hash": hashes, "check": check, "low": least[at]})
 
 
-def _replies(sizes, blocks, keep: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
-    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    rows = [(b, s, e) for b, s, e in zip(blocks, ends[:-1].tolist(), ends[1:].tolist()) if keep[s:e].any()]
+def _replies(table: pa.Table, keep: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
+    ends = np.concatenate([[0], np.cumsum([len(x) // 8 for x in table.column("hash").to_pylist()])]).astype(np.int64)
+    spans = zip(table.column("block").to_pylist(), ends[:-1].tolist(), ends[1:].tolist())
+    rows = [(b, s, e) for b, s, e in spans if keep[s:e].any()]
     data = {"block": pa.array([b for b, _, _ in rows], pa.int32())}
     for name, values in columns.items():
         data[name] = pa.array([pack(values[s:e][keep[s:e]]) for _, s, e in rows], pa.binary())
     return pa.table(data)
 
 
-def _second_level(window: int, n: int):
-    def run(key: tuple, docs: pa.Table, repeated: pa.Table) -> pa.Table:
-        if not repeated.num_rows or not docs.num_rows:
-            return to_buckets(0, np.zeros(0, np.uint64), {"low": np.zeros(0, np.uint64), "high": np.zeros(0, np.uint64)}, n)
-        b = _Block(docs, window)
-        _, found = position(b.halves(), np.sort(column(repeated, "hash")))
-        hashes, low, high = low_and_high(b.full()[found], b.doc[found], b.doc[found])
-        return to_buckets(key[0].as_py(), hashes, {"low": low, "high": high}, n)
-    return run
-
-
 def _cut(window: int, keep_text: bool):
     def run(key: tuple, docs: pa.Table, found: pa.Table) -> pa.Table:
         b = _Block(docs, window)
         removed = np.zeros(len(b.words.ids) + 1, np.int64)
         if found.num_rows:
-            hashes, low = column(found, "hash"), column(found, "low")
-            order = np.argsort(hashes)
-            at, hit = position(b.full(), hashes[order])
+            pair = mix(column(found, "hash") ^ mix(column(found, "check")))
+            order, low = np.argsort(pair), column(found, "low")
+            hashes, check = b.full()
+            at, hit = position(mix(hashes ^ mix(check)), pair[order])
             starts = b.at[hit & (low[order][at] < b.doc)]
             np.add.at(removed, starts, 1)
             np.add.at(removed, starts + window, -1)
@@ -160,9 +164,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True
     """doc_id, n_words, n_removed, kept_sha256 and on demand kept_text (kept words joined by one space)."""
     base, n = blocked(docs)
     by_block = base.groupBy("block")
-    level1 = by_block.applyInArrow(_first_level(window, n), ASKED)
+    level1 = by_block.applyInArrow(_first_level(window, n), LEVEL1)
     repeated = level1.groupBy("bucket").applyInArrow(_repeated, "block int, hash binary")
-    level2 = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_second_level(window, n), ASKED)
-    found = level2.groupBy("bucket").applyInArrow(_removable, "block int, hash binary, low binary")
+    level2 = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_second_level(window, n), LEVEL2)
+    found = level2.groupBy("bucket").applyInArrow(_removable, "block int, hash binary, check binary, low binary")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return by_block.cogroup(found.groupBy("block")).applyInArrow(_cut(window, keep_text), schema)
