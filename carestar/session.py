@@ -55,15 +55,18 @@ def get_session(master: str | None = None, app: str = "carestar",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staged tables.
+    """Shared folder for lineage cuts and staged tables: the session's ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (local
-    tests only) creates a scratch folder and records it in the session.
+    Only a local session (tests, bench) may go without one and then gets a scratch folder, which is recorded in
+    the session; on a cluster no folder of one machine would do, so there an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="carestar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", current)
