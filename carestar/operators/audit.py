@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar import schemas
-from carestar.functions.expressions import level_for
 
 INFO, WARNING, ERROR = "INFO", "WARNING", "ERROR"
 RUNNING, COMPLETED, WITH_WARNINGS, FAILED = "RUNNING", "COMPLETED", "COMPLETED_WITH_WARNINGS", "FAILED"
