@@ -285,8 +285,11 @@ class PieceModel:
 
 
 def read_model(spark: SparkSession, path: str) -> bytes:
-    """Bytes of the vocabulary file (a parameter), read through Spark."""
-    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    """Bytes of the vocabulary file (a parameter): a file of the driver, or one in a store that Spark reads."""
+    if "://" in path:
+        return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    with open(path, "rb") as f:
+        return f.read()
 
 
 def encode_documents(docs: DataFrame, model: bytes, keep_ids: bool = True, keep_text: bool = True) -> DataFrame:

@@ -57,7 +57,7 @@ def op4_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded text."""
-    model = piece_codec.read_model(spark, f"file://{PIECE_MODEL}")
+    model = piece_codec.read_model(spark, PIECE_MODEL)
     return piece_codec.encode_documents(table(spark, sf_dir, "documents"), model, keep_ids=False, keep_text=False)
 
 

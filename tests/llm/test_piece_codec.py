@@ -50,7 +50,8 @@ def test_decoding_any_ids(both):
 
 
 def test_documents(spark, both):
-    model = P.read_model(spark, f"file://{PIECE_MODEL}")
+    model = P.read_model(spark, PIECE_MODEL)
+    assert model == P.read_model(spark, f"file://{PIECE_MODEL}")
     got = P.encode_documents(H.awkward(spark), model).collect()
     assert len(got) == len(H.AWKWARD)
     texts = {i: t for i, t in H.AWKWARD if i is not None}
