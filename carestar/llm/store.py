@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from carestar.session import checkpoint_dir
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-BROADCAST_ROWS = 200_000      # a side is only broadcast when counted at or below this
+BROADCAST_ROWS = 50_000      # a side is only broadcast when counted at or below this
 
 
 @contextmanager
@@ -40,10 +40,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def small_or_shuffled(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most BROADCAST_ROWS rows; else leave it to a shuffled join."""
+def small_or_shuffled(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when it has at most ``most`` rows; else leave it to a shuffled join."""
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+    return F.broadcast(df) if n <= most else df
 
 
 def documents(df: DataFrame, *more: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,7 +1,6 @@
 import json
 import re
 
-import helpers as H  # noqa: F401
 from carestar.llm import chat as C
 from carestar.llm.queries import TOOLS, tool_messages
 
