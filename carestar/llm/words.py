@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
