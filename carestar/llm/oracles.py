@@ -117,4 +117,46 @@ SELECT conv_id, turn, 0::INT AS place, 0::INT AS step, kind,
 FROM k
 """
 
-ORACLE_SQL = {"op1_quality_rules": OP1, "op3_substring_dedup": OP3, "op4_chat_tools": OP4, "op6_lm_score": OP6}
+OP13 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), firsts AS (
+  SELECT t, min(doc_id) AS first_id FROM words GROUP BY t
+), label AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id
+), rows AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         map {'A': len(ws) < 50, 'B': 100 * len(list_distinct(ws)) < 65 * len(ws),
+              'C': 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t),
+              'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > first_id, false)} AS fails
+  FROM words JOIN firsts USING (t) LEFT JOIN label USING (doc_id)
+), cells AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM rows GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps AS (
+  SELECT o, k, o[k] AS l, string_split(o[1:k - 1], '') AS prior FROM (SELECT o, unnest([1, 2, 3, 4, 5]) AS k FROM orders)
+), seen AS (
+  SELECT part, o, k, l, n, good, bad, fails[l] AS f,
+         len(list_filter(prior, lambda x: x <> '' AND fails[x])) > 0 AS gone,
+         len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: fails[x])) AS n_fails
+  FROM cells, steps
+), counted AS (
+  SELECT part, o, k, l, coalesce(sum(n) FILTER (NOT gone AND NOT f), 0) AS kept,
+         coalesce(sum(n) FILTER (f AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (f AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (f AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (f AND NOT gone), 0) AS good_lost, coalesce(sum(bad) FILTER (f AND NOT gone), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, k, l
+)
+SELECT part, o AS filter_order, k::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley
+FROM counted
+"""
+
+ORACLE_SQL = {"op1_quality_rules": OP1, "op3_substring_dedup": OP3, "op4_chat_tools": OP4, "op6_lm_score": OP6, "op13_filter_audit": OP13}
