@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm import (chat, decontaminate, filter_audit, line_dedup, lm_score, piece_codec, quality_classifier, quality_rules, simhash,
-                          substring_dedup, toxicity)
+                          substring_dedup, toxicity, whitening)
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -87,6 +87,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every sound embedding on the leading 16 components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every step of every order of five filters, per source."""
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -94,4 +99,4 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op4_chat_tools, op5_sentencepiece, op6_lm_score, op7_simhash, op8_line_dedup,
-    op9_toxicity, op10_decontaminate, op13_filter_audit)}
+    op9_toxicity, op10_decontaminate, op11_whitening, op13_filter_audit)}

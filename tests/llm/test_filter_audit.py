@@ -13,8 +13,8 @@ COLUMNS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_l
 
 def plain(rows, labels):
     """The audit document by document. rows: (doc_id, text, source)."""
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     first = {}
     for i, t, _ in rows:
         if i is not None:
