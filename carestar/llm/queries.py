@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm import (chat, decontaminate, filter_audit, line_dedup, lm_score, piece_codec, quality_classifier, quality_rules, simhash,
-                          substring_dedup, toxicity, whitening)
+from carestar.llm import (chat, decontaminate, filter_audit, line_dedup, lm_score, ngram_join, piece_codec, quality_classifier, quality_rules,
+                          simhash, substring_dedup, toxicity, whitening)
 from carestar.llm.oracles import ORACLE_SQL  # noqa: F401
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"     # vocabulary file of the SentencePiece queries
@@ -92,6 +92,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every step of every order of five filters, per source."""
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -99,4 +104,4 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_quality_rules, op2_quality_classifier, op3_substring_dedup, op4_chat_tools, op5_sentencepiece, op6_lm_score, op7_simhash, op8_line_dedup,
-    op9_toxicity, op10_decontaminate, op11_whitening, op13_filter_audit)}
+    op9_toxicity, op10_decontaminate, op11_whitening, op12_ngram_join, op13_filter_audit)}
