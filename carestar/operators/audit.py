@@ -1,11 +1,14 @@
 """A1-A12 — batch control, event log, error resolution and run summaries.
 
-Audit tables are append-only Parquet. A batch has a RUNNING row and an ETL_START
-event from its first moment and a closing row at its end; ``batches`` shows the
-latest state of each. The other events of a run (a few dozen small rows) are
-gathered on the driver and written when the run ends, also when it fails. Totals
-are computed when read, never kept as counters. Reject rows are DataFrames and
-are never collected; resolving errors appends a resolution, which ``errors`` joins.
+Audit tables are Parquet with a folder per batch, so batches that run at the same
+time never write in one folder. A batch has a RUNNING row and an ETL_START event
+from its first moment and a closing row at its end; ``batches`` shows the latest
+state of each. Events are numbered within their batch and appended when a phase
+ends (``flush``), so a run whose driver is lost has on record what it had done; a
+run that resumes goes on behind the last number. Totals are computed when read,
+never kept as counters. Reject rows are DataFrames and are never collected; those
+of a batch replace the ones that an earlier attempt of it recorded. Resolving
+errors appends a resolution, which ``errors`` joins.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ import threading
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar import schemas
+from carestar.sources import sinks
 
 INFO, WARNING, ERROR = "INFO", "WARNING", "ERROR"
 RUNNING, COMPLETED, WITH_WARNINGS, FAILED = "RUNNING", "COMPLETED", "COMPLETED_WITH_WARNINGS", "FAILED"
@@ -41,6 +44,7 @@ class EventLog:
     batch_type: str = "FULL_REFRESH"
     events: list[tuple] = field(default_factory=list)
     written: int = 0                # events that are in the audit tables already
+    before: int = 0                 # events of the batch from earlier attempts
     started: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc))
     status: str = RUNNING
     ended: dt.datetime | None = None
@@ -52,15 +56,27 @@ class EventLog:
             expected: int | None = None, seconds: float | None = None) -> None:
         secs = None if seconds is None else Decimal(f"{seconds:.2f}")
         with self._lock:   # steps of one phase may run as concurrent jobs
-            self.events.append((len(self.events) + 1, self.batch_id, dt.datetime.now(dt.timezone.utc), level,
+            self.events.append((self.before + len(self.events) + 1, self.batch_id, dt.datetime.now(dt.timezone.utc), level,
                                 step, message, rows, expected, secs))
 
     def start(self, spark: SparkSession | None = None, root: str | None = None) -> None:
         """A2: the first event, and with ``root`` the RUNNING row, at once."""
-        self.log(INFO, "ETL_START", f"{self.batch_type} batch begins")
+        if root is not None and known_batch(spark, root, self.batch_id):
+            events = read_audit(spark, root, "etl_log").filter(F.col("batch_id") == self.batch_id)
+            self.before = events.agg(F.max("log_id")).first()[0] or 0
+        self.log(INFO, "ETL_START", f"{self.batch_type} batch {'goes on' if self.before else 'begins'}")
         if root is not None:
             write_audit(spark, root, self, None, None, None)
 
+    def flush(self, spark: SparkSession, root: str) -> None:
+        """A3: put the events since the last time on record."""
+        with self._lock:
+            new, at = self.events[self.written:], len(self.events)
+        if new:
+            frame = spark.createDataFrame(new, schemas.ETL_LOG).coalesce(1)
+            _own_folder(frame, root, "etl_log", self.batch_id, "append")
+            self.written = at
+
     def complete(self, status: str, notes: str) -> None:
         self.status, self.notes, self.ended = status, notes, dt.datetime.now(dt.timezone.utc)
         self.log(INFO if status == COMPLETED else ERROR, "ETL_END", f"Batch ends {status}")
@@ -70,44 +86,57 @@ class EventLog:
         """The reference-style running total: every event with rows > 0 (double counts steps)."""
         return sum(e[6] for e in self.events if e[6] is not None and e[6] > 0)
 
-    def log_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.events[self.written:], schemas.ETL_LOG)
-
     def control_frame(self, spark: SparkSession, total_rows: int | None, total_errors: int | None) -> DataFrame:
         row = (self.batch_id, self.batch_type, self.started, self.ended, self.status, total_rows,
                total_errors, self.last_successful_encounter_id, self.notes)
         return spark.createDataFrame([row], schemas.BATCH_CONTROL)
 
 
+AUDIT = {"etl_log": schemas.ETL_LOG, "etl_error_records": schemas.ERROR_RECORDS, "etl_batch_control": schemas.BATCH_CONTROL,
+         "etl_checks": schemas.CHECKS}
+
+
+def _own_folder(rows: DataFrame, root: str, table: str, batch_id: str, mode: str) -> None:
+    """Write rows of one batch into its folder of an audit table."""
+    rows.drop("batch_id").write.mode(mode).parquet(os.path.join(root, table, f"batch_id={batch_id}"))
+
+
 def write_audit(spark: SparkSession, root: str, log: EventLog, errors: DataFrame | None,
                 total_rows: int | None, total_errors: int | None) -> None:
-    """Append the run's new events, its error records and its present batch-control row."""
-    log.log_frame(spark).write.mode("append").partitionBy("batch_id").parquet(os.path.join(root, "etl_log"))
-    log.written = len(log.events)
+    """The run's new events, its error records and its present batch-control row."""
+    log.flush(spark, root)
     if errors is not None:
-        errors.write.mode("append").partitionBy("batch_id").parquet(os.path.join(root, "etl_error_records"))
-    log.control_frame(spark, total_rows, total_errors).write.mode("append") \
-        .parquet(os.path.join(root, "etl_batch_control"))
+        _own_folder(errors, root, "etl_error_records", log.batch_id, "overwrite")
+    _own_folder(log.control_frame(spark, total_rows, total_errors).coalesce(1), root, "etl_batch_control", log.batch_id, "append")
+
+
+def record_checks(spark: SparkSession, root: str, batch_id: str, checks: dict[str, dict]) -> None:
+    """The result of each check of a batch (a few rows); a later attempt's replace them."""
+    rows = [(batch_id, name, c.get("log_level"), c.get("result"), c.get("oltp"), c.get("star")) for name, c in checks.items()]
+    _own_folder(spark.createDataFrame(rows, schemas.CHECKS).coalesce(1), root, "etl_checks", batch_id, "overwrite")
 
 
 def read_audit(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, name))
+    """An audit table with its declared columns; without rows where no batch has written to it."""
+    path, schema = os.path.join(root, name), AUDIT.get(name)
+    if schema is None:
+        return spark.read.parquet(path)
+    if not sinks.folder_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def batches(spark: SparkSession, root: str) -> DataFrame:
-    """The latest state of every batch: its closing row where there is one, else the RUNNING row."""
+    """The latest state of every batch: the closing row of its last attempt where there is one, else that attempt's RUNNING row."""
     rows = read_audit(spark, root, "etl_batch_control")
-    latest = F.max_by(F.struct(*[F.col(c) for c in rows.columns]), F.struct(F.col("end_timestamp").isNotNull(), "end_timestamp"))
+    when = F.struct(F.coalesce("end_timestamp", "start_timestamp"), F.col("end_timestamp").isNotNull())
+    latest = F.max_by(F.struct(*[F.col(c) for c in rows.columns]), when)
     return rows.groupBy(F.col("batch_id").alias("_id")).agg(latest.alias("b")).select("b.*")
 
 
 def known_batch(spark: SparkSession, root: str, batch_id: str) -> bool:
     """Whether the audit tables have a row of this batch."""
-    try:
-        rows = read_audit(spark, root, "etl_batch_control")
-    except AnalysisException:          # no batch yet
-        return False
-    return not rows.filter(F.col("batch_id") == batch_id).isEmpty()
+    return not read_audit(spark, root, "etl_batch_control").filter(F.col("batch_id") == batch_id).isEmpty()
 
 
 def batch_status(checks: DataFrame, errors: DataFrame) -> DataFrame:
@@ -157,10 +186,10 @@ def resolve_and_record(spark: SparkSession, root: str, batch_id: str, error_type
 def errors(spark: SparkSession, root: str) -> DataFrame:
     """Error records with the resolutions recorded since (the first one of a batch and type counts)."""
     rows = read_audit(spark, root, "etl_error_records")
-    try:
-        done = read_audit(spark, root, "etl_error_resolutions")
-    except AnalysisException:          # nothing resolved yet
+    path = os.path.join(root, "etl_error_resolutions")
+    if not sinks.folder_exists(spark, path):           # nothing resolved yet
         return rows
+    done = spark.read.parquet(path)
     first = done.groupBy("batch_id", "error_type").agg(F.min("at").alias("_at"), F.min_by("by", "at").alias("_by"))
     open_ = ~F.coalesce(F.col("resolved"), F.lit(False)) & F.col("_at").isNotNull()
     joined = rows.join(first, ["batch_id", "error_type"], "left")

@@ -23,10 +23,11 @@ from carestar.functions import expressions as X
 from carestar.operators import audit as A
 from carestar.operators import batches as B
 from carestar.operators import quality as QC
+from carestar.operators.dims import build_dim_patient
 from carestar.operators.calendar import build_dim_date, date_spine
 from carestar.operators.fact import expected_fact_rows, fact_rows, loadable, outside_calendar
-from carestar.operators.keys import number_keys
 from carestar.operators.lookups import billing_totals, count_per_key
+from carestar.operators.merge import merge_type1
 from carestar.operators.rejects import with_error_audit
 from carestar.plans import questions as Q
 from carestar.plans.compare import compare
@@ -35,7 +36,7 @@ from carestar.plans.star import TEST_PARAMS, LazyTables, StarBuild
 from carestar.sources.adapter import TABLES, oltp_makers
 from carestar.sources.readers import read_csv, read_source, table_state
 from carestar.session import checkpoint_dir
-from carestar.sources.sinks import append, full_refresh, read_star, replace_range, reset_source, write_table
+from carestar.sources.sinks import append, full_refresh, read_star, replace_range, reset_source, scratch_scope, write_table
 
 P = TEST_PARAMS
 _BUILDS: OrderedDict[tuple, StarBuild] = OrderedDict()      # of the last few sources
@@ -44,6 +45,7 @@ _KEPT = 4
 _LOCK = threading.RLock()          # one build / one run per session and source, even from threads
 
 # Parameters of the registered audit queries.
+STOP_AFTER = 2                         # ranges that the first attempt of that load gets to
 FACT_BATCHES = 6                       # id ranges of the batched fact load
 RESOLVED_TYPE, RESOLVED_BY, RESOLVED_AT = "MISSING_PROVIDER", "data.steward", "2025-01-02 09:00:00"
 
@@ -194,8 +196,11 @@ def _batched(s, d):
         ends = ready.agg(F.min("encounter_id").alias("lo"), F.max("encounter_id").alias("hi")).first()
         step = (ends["hi"] - ends["lo"]) // FACT_BATCHES + 1
         root = os.path.join(checkpoint_dir(s), "carestar-batches", uuid.uuid4().hex)
-        keys = number_keys(ready.select("encounter_id"), "encounter_id", "encounter_key")
-        B.run_batches(s, ready, lambda rows: fact_rows(rows, keys, b.measures, P.loaded_at), root, step)
+        load = dict(key="encounter_id", numbered="encounter_key", sides={"measures": b.measures})
+        fact = lambda rows, keys, measured: fact_rows(rows, keys, measured, P.loaded_at)
+        with scratch_scope(s):
+            B.run_batches(s, ready, fact, root, step, most=STOP_AFTER, **load)         # the window of the first night closes here
+            B.run_batches(s, ready, fact, root, step, **load)                          # and the load goes on behind the mark
         return _remember(_LOADS, key, (b, root))
 
 
@@ -211,10 +216,26 @@ def batch_equivalence(s, d):
     return there.groupBy(*ranges.columns).agg(F.count("encounter_id").alias("differing_rows"))
 
 
+def batch_resume(s, d):
+    """The load stopped after STOP_AFTER ranges and went on later: by which attempt each range was loaded."""
+    return B.attempts(s, _batched(s, d)[1])
+
+
 def high_water_mark(s, d):
     return B.high_water_mark(B.marks(s, _batched(s, d)[1]))
 
 
+def dim_merge(s, d):
+    """The patients as loaded in 2015 (some under a former name, some not there yet), then the present ones (some gone):
+    keys last, attributes are overwritten."""
+    now = _oltp(s, d)["patients"]
+    earlier = now.filter("patient_id % 7 <> 0").withColumn(
+        "last_name", F.when(F.col("patient_id") % 5 == 0, "Former").otherwise(F.col("last_name")))
+    stored = build_dim_patient(earlier, "2015-01-01")
+    latest = build_dim_patient(now.filter("patient_id % 11 <> 0"), P.as_of)
+    return merge_type1(stored, latest, "patient_id", "patient_key")
+
+
 def scalar_date_suite(s, d):
     """§2.8 date functions on every order."""
     o = read_source(s, d, "orders")
@@ -517,7 +538,7 @@ QUERIES = {
     "fact_expected_vs_loaded": fact_expected_vs_loaded, "explain_missing": explain_missing,
     "age_band": age_band, "length_of_stay": length_of_stay,
     "scalar_subquery_filter": scalar_subquery_filter, "batch_equivalence": batch_equivalence,
-    "high_water_mark": high_water_mark, "scalar_date_suite": scalar_date_suite,
+    "batch_resume": batch_resume, "dim_merge": dim_merge, "high_water_mark": high_water_mark, "scalar_date_suite": scalar_date_suite,
     "scalar_misc_suite": scalar_misc_suite,
     "dq_counts": dq_counts, "dq_revenue": dq_revenue, "dq_null_fk": dq_null_fk,
     "dq_orphan_bridge": dq_orphan_bridge, "dq_diag_count_all": dq_diag_count_all,

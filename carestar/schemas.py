@@ -152,3 +152,5 @@ BATCH_CONTROL = _s(("batch_id", S, False), ("batch_type", S, True), ("start_time
                    ("end_timestamp", TSL, True), ("status", S, True),
                    ("total_rows_processed", L, True), ("total_errors", L, True),
                    ("last_successful_encounter_id", L, True), ("notes", S, True))
+CHECKS = _s(("batch_id", S, False), ("check_name", S, False), ("log_level", S, True), ("result", S, True),
+            ("oltp", L, True), ("star", L, True))

@@ -2,18 +2,19 @@
 
 Nothing is overwritten in place while it may be read: a full refresh writes every
 table of a run under a new staging folder and then publishes it by appending one
-row to the ``_published`` log that readers resolve (newest row wins). Old runs stay
-intact until removed by the operator, so a failed run never leaves half-written
-tables.
+row to the ``_published`` log that readers resolve (newest row wins). A failed run
+never leaves half-written tables. ``retain`` removes the stages that the log no
+longer needs; scratch tables made within a ``scratch_scope`` go when it ends.
 """
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import datetime as dt
 import os
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from carestar.session import checkpoint_dir
 
 PUBLISHED = "_published"
+STEPS = "_steps"            # in a stage: the tables that are complete, while its run has not ended
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -38,18 +40,58 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+_SCRATCH: contextvars.ContextVar[str | None] = contextvars.ContextVar("carestar-scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, folder: str | None = None):
+    """Scratch tables made within it (also by threads that copy its context) lie in one folder, which goes at the end.
+
+    What is built from them must be written, or done with, by then.
+    """
+    folder = folder or os.path.join(checkpoint_dir(spark), "carestar-scratch", uuid.uuid4().hex)
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        drop_folder(spark, folder)
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` once into the shared checkpoint folder and read it back."""
-    path = os.path.join(checkpoint_dir(df.sparkSession), "carestar-scratch", f"{name}-{uuid.uuid4().hex}")
+    folder = _SCRATCH.get() or os.path.join(checkpoint_dir(df.sparkSession), "carestar-scratch")
+    path = os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
     schema = df.schema
     write_table(df, path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this run wrote."""
+def _located(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote."""
+    fs, where = _located(spark, path)
+    fs.delete(where, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _located(spark, path)
+    fs.mkdirs(where)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _located(spark, path)
+    return fs.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it does not exist)."""
+    fs, where = _located(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()] if fs.exists(where) else []
 
 
 def new_stage(root: str, run_id: str | None = None) -> str:
@@ -68,12 +110,34 @@ def publish(spark: SparkSession, root: str, stage: str) -> None:
 
 def current_stage(spark: SparkSession, root: str) -> str | None:
     """The most recently published stage (one row per run; newest wins)."""
-    try:
-        log = spark.read.parquet(os.path.join(root, PUBLISHED))
-    except AnalysisException:          # nothing published yet
-        return None
-    row = log.orderBy(F.desc("published_at"), F.desc("stage")).select("stage").first()
-    return None if row is None else row["stage"]
+    stages = published_stages(spark, root, 1)
+    return stages[0] if stages else None
+
+
+def published_stages(spark: SparkSession, root: str, most: int) -> list[str]:
+    """The last ``most`` published stages, newest first."""
+    path = os.path.join(root, PUBLISHED)
+    if not folder_exists(spark, path):
+        return []
+    log = spark.read.schema("stage string, published_at timestamp").parquet(path)
+    last = log.groupBy("stage").agg(F.max("published_at").alias("at"))
+    return [r["stage"] for r in last.orderBy(F.desc("at"), F.desc("stage")).limit(most).collect()]
+
+
+def retain(spark: SparkSession, root: str, keep: int = 2, needed: tuple[str, ...] = ()) -> list[str]:
+    """Remove the stages under ``root`` but for the last ``keep`` published ones and those named in ``needed``.
+
+    Stages of runs that may still go on (or be resumed) have a ``_steps`` folder and stay. Returns the names removed.
+    """
+    if keep < 1:
+        raise ValueError("the published stage cannot be removed")
+    kept = {os.path.basename(s) for s in published_stages(spark, root, keep)} | set(needed)
+    runs, gone = os.path.join(root, "runs"), []
+    for name in folder_names(spark, runs):
+        if name not in kept and not folder_exists(spark, os.path.join(runs, name, STEPS)):
+            drop_folder(spark, os.path.join(runs, name))
+            gone.append(name)
+    return sorted(gone)
 
 
 def read_star(spark: SparkSession, root: str, name: str) -> DataFrame:
