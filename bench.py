@@ -1,7 +1,8 @@
 """Benchmark: the full-refresh ETL and the four questions on both models.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3; the best run of each question is reported).
+BENCH_REPEAT (default 3; the best run of each question is reported), BENCH_TIMINGS
+(folder of the table that timings are appended to; default: one of this run).
 Prints one JSON line. Steps:
   1. derive the OLTP tables from the driver tables and write them as parquet (``oltp_load``)
   2. run the pipeline OLTP -> star with checks and audit (``etl``)
@@ -20,7 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from carestar.plans import questions as Q  # noqa: E402
-from carestar.plans.compare import compare  # noqa: E402
+from carestar.plans.compare import compare, read_timings, record_timings  # noqa: E402
 from carestar.plans.pipeline import run_pipeline  # noqa: E402
 from carestar.plans.star import TEST_PARAMS  # noqa: E402
 from carestar.session import checkpoint_dir, get_session  # noqa: E402
@@ -73,7 +74,9 @@ def main() -> None:
         timings[name] = best
 
     questions = sum(v for k, v in timings.items() if k.startswith("q"))
-    report = {r["question"]: r["speedup"] for r in compare(spark, timings).collect()}   # N5
+    recorded = os.environ.get("BENCH_TIMINGS", os.path.join(base, "query_timings"))
+    record_timings(spark, recorded, timings)
+    report = {r["question"]: r["speedup"] for r in compare(read_timings(spark, recorded)).collect()}   # N5
     out = {
         "metric": "four_questions_both_models_total", "value": round(questions, 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in timings.items()},

@@ -29,11 +29,16 @@ from carestar.operators.fact import expected_fact_rows, fact_rows, loadable, out
 from carestar.operators.lookups import billing_totals, count_per_key
 from carestar.operators.merge import merge_type1
 from carestar.operators.rejects import with_error_audit
+from carestar.operators.sampling import sample_one
 from carestar.plans import questions as Q
-from carestar.plans.compare import compare
+from carestar.plans.compare import compare, read_timings
 from carestar.plans.pipeline import run_pipeline, run_summary
+from carestar.plans.questions import monthly_specialty_revenue
+from carestar.plans.rollups import monthly_patients, refresh_months, roll_up, touched_months
 from carestar.plans.star import TEST_PARAMS, LazyTables, StarBuild
 from carestar.sources.adapter import TABLES, oltp_makers
+from carestar.sources.quarantine import load_csv, load_declared
+from carestar.sources.ranges import read_ranges, replace_stored_range, write_ranges
 from carestar.sources.readers import read_csv, read_source, table_state
 from carestar.session import checkpoint_dir
 from carestar.sources.sinks import append, full_refresh, read_star, replace_range, reset_source, scratch_scope, write_table
@@ -515,11 +520,104 @@ def reset_transactions(s, d):
 
 
 def compare_models(s, d):
-    """The comparison of both models on rows read per question in place of seconds (a timing differs from run to run)."""
-    o, star = _oltp(s, d), _star(s, d)
-    n = lambda df: df.agg(F.count(F.lit(1))).first()[0]
-    enc, fact, bills = n(o["encounters"]), n(star["fact_encounters"]), n(o["billing"])
-    return compare(s, {"q1_oltp": float(enc), "q1_star": float(fact), "q4_oltp": float(enc + bills), "q4_star": float(fact)})
+    """The comparison of both models from a stored table of timings; a timing differs from run to run, so the seconds
+    are the thousands of rows that a question reads in either model."""
+    path, o, star = _scratch(s), _oltp(s, d), _star(s, d)
+    measured = [("q1", "oltp", [o["encounters"]]), ("q1", "star", [star["fact_encounters"]]),
+                ("q4", "oltp", [o["encounters"], o["billing"]]), ("q4", "star", [star["fact_encounters"]])]
+    for question, model, read in measured:
+        rows = QC._union([t.agg(F.count(F.lit(1)).alias("n")) for t in read]).agg((F.sum("n") * 1000).cast("double").alias("ms"))
+        append(rows.select(F.lit("run").alias("run_id"), F.lit(question).alias("question"), F.lit(model).alias("model"), "ms",
+                           F.lit("2025-01-01").cast("timestamp").alias("measured_at")), path)
+    return compare(read_timings(s, path))
+
+
+# ---- stored aggregates, stored ranges, quarantine -----------------------------------------------
+def patient_rollup(s, d):
+    """Patients by specialty and month, quarter, year and in all, every level from the monthly bitmaps alone."""
+    path = _scratch(s)
+    write_table(monthly_patients(_star(s, d)), path, ["year"])
+    stored = s.read.parquet(path)
+    levels = {"month": ["year", "quarter", "month"], "quarter": ["year", "quarter"], "year": ["year"], "all": []}
+    parts = [roll_up(stored, [*cols, "specialty_key"], "patients").select(
+        F.lit(level).alias("level"), *[(F.col(c) if c in cols else F.lit(None)).cast("int").alias(c) for c in levels["month"]],
+        "specialty_key", "patients") for level, cols in levels.items()]
+    return QC._union(parts)
+
+
+LATE = "encounter_id % 3 = 0 AND date_key BETWEEN 19970201 AND 19980615"        # encounters that the second load brings
+
+
+def monthly_upkeep(s, d):
+    """The monthly rollup stored after a first load and then refreshed in the months that a second one touched."""
+    path, star = _scratch(s), _star(s, d)
+    fact = star["fact_encounters"]
+    first = dict(star, fact_encounters=fact.filter(f"NOT ({LATE})"))
+    write_table(monthly_specialty_revenue(first).repartitionByRange("year", "month"), path, ["year", "month"])
+    refresh_months(s, dict(star), touched_months(fact.filter(LATE), star["dim_date"]), path)
+    return s.read.parquet(path)
+
+
+RANGE_WIDTH = 10_000                   # billing ids of one folder of the stored table
+
+
+def range_replace_stored(s, d):
+    """The replacement of ``range_replace`` on a stored table laid out by id range, run twice."""
+    path, b = _scratch(s), _oltp(s, d)["billing"]
+    write_ranges(b, path, "billing_id", RANGE_WIDTH)
+    low, high = b.agg(F.min("billing_id"), F.max("billing_id")).first()
+    lo, hi = low + (high - low) // 4, low + (high - low) // 2
+    new = b.filter(F.col("billing_id").between(lo, hi)).withColumn(
+        "allowed_amount", (F.col("claim_amount") * F.lit(Decimal("0.8"))).cast("decimal(12,2)"))
+    for _ in range(2):
+        replace_stored_range(s, path, new, "billing_id", lo, hi, RANGE_WIDTH)
+    return read_ranges(s, path).select(*b.columns)
+
+
+def _damaged_csv(s, d) -> str:
+    """The patients as lines of text, some damaged by the last digits of their id: another text than a date, a field too many,
+    fields too few, an open quote, no id."""
+    path, p = _scratch(s), _oltp(s, d)["patients"]
+    names = schemas.PATIENTS.fieldNames()
+    part = F.col("patient_id") % 50
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names}
+    text["date_of_birth"] = F.when(part == 7, "not a date").otherwise(text["date_of_birth"])
+    text["first_name"] = F.when(part == 17, F.concat(F.lit('"'), text["first_name"])).otherwise(text["first_name"])
+    text["patient_id"] = F.when(part == 19, "").otherwise(text["patient_id"])
+    line = F.concat_ws(",", *[text[c] for c in names])
+    line = F.when(part == 11, F.concat(line, F.lit(",more"))).when(part == 13, F.concat_ws(",", text["patient_id"], text["first_name"])).otherwise(line)
+    p.select(line.alias("value")).write.text(path)
+    return path
+
+
+def _csv_load(s, d):
+    return load_csv(s, _damaged_csv(s, d), schemas.PATIENTS, "patients", "patient_id", schemas.PATIENTS.fieldNames())
+
+
+def csv_quarantine(s, d):
+    """The typed rejects of a CSV load with damaged lines."""
+    return _csv_load(s, d)[1]
+
+
+def csv_quarantine_rows(s, d):
+    """What that load takes."""
+    return _csv_load(s, d)[0]
+
+
+def schema_drift(s, d):
+    """Rejects of a stored table that has drifted from its declaration: ids and birth dates as text, some of them no
+    longer readable, a column less and a column more."""
+    path, p = _scratch(s), _oltp(s, d)["patients"]
+    k = F.col("patient_id")
+    p.select(F.when(k % 40 == 0, F.concat(F.lit("P"), k)).otherwise(k.cast("string")).alias("patient_id"), "first_name", "last_name",
+             F.when(k % 60 == 1, "unknown").otherwise(F.col("date_of_birth").cast("string")).alias("date_of_birth"), "mrn",
+             F.lit("x").alias("note")).write.parquet(path)
+    return load_declared(s.read.parquet(path), schemas.PATIENTS, "patients", "patient_id")[1]
+
+
+def sample_one_q(s, d):
+    """One encounter, drawn by a seed."""
+    return sample_one(_oltp(s, d)["encounters"], "encounter_id", 42)
 
 
 QUERIES = {
@@ -554,4 +652,7 @@ QUERIES = {
     "step_details": step_details, "slow_steps": slow_steps, "calendar_check": calendar_check,
     "csv_round_trip": csv_round_trip, "append_twice": append_twice, "refresh_twice": refresh_twice,
     "reset_transactions": reset_transactions, "compare_models": compare_models,
+    "patient_rollup": patient_rollup, "monthly_upkeep": monthly_upkeep, "range_replace_stored": range_replace_stored,
+    "csv_quarantine": csv_quarantine, "csv_quarantine_rows": csv_quarantine_rows, "schema_drift": schema_drift,
+    "sample_one": sample_one_q,
 }

@@ -40,6 +40,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace the partitions that ``df`` has rows for; the others stay as they are. ``df`` must not read from them."""
+    (df.repartitionByRange(*partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 _SCRATCH: contextvars.ContextVar[str | None] = contextvars.ContextVar("carestar-scratch", default=None)
 
 

@@ -3,7 +3,7 @@ import tempfile
 
 from carestar import schemas as S
 from carestar.operators import audit as A
-from carestar.plans.compare import compare
+from carestar.plans.compare import compare, read_timings, record_timings
 from carestar.sources import sinks
 from carestar.sources.readers import read_csv
 from carestar.streaming.watermark import latest_high_water_mark, recorded_high_water_marks
@@ -63,9 +63,13 @@ def test_audit_views(spark):
     assert recorded_high_water_marks(control).count() == 1
 
 
-def test_compare_report(spark):
-    rows = {r.question: r for r in compare(spark, {"q1_oltp": 2.0, "q1_star": 1.0, "q2_oltp": 1.0,
-                                                   "q2_star": 2.0}).collect()}
+def test_compare_report(spark, tmp_path):
+    path = str(tmp_path / "timings")
+    record_timings(spark, path, {"q1_oltp": 9.0, "q1_star": 9.0, "etl": 5.0}, "before")
+    record_timings(spark, path, {"q1_oltp": 2.0, "q1_star": 1.0, "q2_oltp": 1.0, "q2_star": 2.0}, "now")
+    stored = read_timings(spark, path)
+    assert stored.count() == 6 and {r.question for r in stored.collect()} == {"q1", "q2"}
+    rows = {r.question: r for r in compare(stored).collect()}             # the newest measurement counts
     assert rows["q1"].speedup == 2.0 and rows["q2"].speedup == 0.5
     assert rows["TOTAL"].speedup == 1.0 and rows["MEAN_OF_RATIOS"].speedup == 1.25
 
