@@ -49,11 +49,6 @@ def count_when(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
 
 
-def rounded_avg(c, digits: int = 2) -> Column:
-    """``ROUND(AVG(x), 2)``; nulls ignored."""
-    return F.round(F.avg(_c(c)), digits)
-
-
 def safe_ratio(num, den, digits: int = 2, scale: int = 100) -> Column:
     """``ROUND(100.0 * n / NULLIF(d, 0), 2)`` for non-negative counts, as a double.
 
@@ -70,3 +65,9 @@ def safe_ratio(num, den, digits: int = 2, scale: int = 100) -> Column:
 def level_for(failed: Column, bad: str = "WARNING", good: str = "INFO") -> Column:
     """``CASE WHEN failed THEN 'WARNING' ELSE 'INFO' END``."""
     return F.when(failed, F.lit(bad)).otherwise(F.lit(good))
+
+
+def seeded_random(seed: int, key) -> Column:
+    """``RAND(seed)`` by row: a number in [0, 1) that depends on the seed and the row's key alone, with 6 digits."""
+    drawn = F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string"))), F.lit(8)), 16, 10).cast("long")
+    return F.floor(drawn * 1_000_000 / (1 << 32)).cast("double") / F.lit(1e6)

@@ -20,10 +20,11 @@ import threading
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar import schemas
+from carestar.functions.expressions import seeded_random
 from carestar.sources import sinks
 
 INFO, WARNING, ERROR = "INFO", "WARNING", "ERROR"
@@ -37,6 +38,12 @@ def new_batch_id(now: dt.datetime | None = None, n: int | None = None) -> str:
     return f"{now:%Y%m%d_%H%M%S}_{n:03d}"
 
 
+def batch_id_at(at: Column, seed: int, key: Column) -> Column:
+    """A1 as a column: the id of a batch that begins at ``at``, its last three digits drawn by seed and key."""
+    digits = F.lpad(F.floor(seeded_random(seed, key) * 1000).cast("string"), 3, "0")
+    return F.concat_ws("_", F.date_format(at, "yyyyMMdd_HHmmss"), digits)
+
+
 @dataclass
 class EventLog:
     """A2/A3/A5: the run's log events and batch-control rows, kept on the driver until written."""

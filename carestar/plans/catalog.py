@@ -37,6 +37,7 @@ from carestar.plans.questions import monthly_specialty_revenue
 from carestar.plans.rollups import monthly_patients, refresh_months, roll_up, touched_months
 from carestar.plans.star import TEST_PARAMS, LazyTables, StarBuild
 from carestar.sources.adapter import TABLES, oltp_makers
+from carestar.sources.bucketed import bucketed_star
 from carestar.sources.quarantine import load_csv, load_declared
 from carestar.sources.ranges import read_ranges, replace_stored_range, write_ranges
 from carestar.sources.readers import read_csv, read_source, table_state
@@ -50,6 +51,7 @@ _KEPT = 4
 _LOCK = threading.RLock()          # one build / one run per session and source, even from threads
 
 # Parameters of the registered audit queries.
+BATCH_SEED = 7
 STOP_AFTER = 2                         # ranges that the first attempt of that load gets to
 FACT_BATCHES = 6                       # id ranges of the batched fact load
 RESOLVED_TYPE, RESOLVED_BY, RESOLVED_AT = "MISSING_PROVIDER", "data.steward", "2025-01-02 09:00:00"
@@ -615,6 +617,48 @@ def schema_drift(s, d):
     return load_declared(s.read.parquet(path), schemas.PATIENTS, "patients", "patient_id")[1]
 
 
+BUCKETS = 8                            # of the bucketed encounter tables; on a cluster as many as keep a bucket in a task's memory
+
+
+def q2_star_bucketed(s, d):
+    """Co-occurrence on encounter tables that are stored in buckets of the encounter key."""
+    return Q.q2_star(bucketed_star(s, _star(s, d), _scratch(s), f"carestar_{uuid.uuid4().hex}", BUCKETS))
+
+
+def fact_bridge_bucketed(s, d):
+    """Links per fact row and diagnosis sequence on the bucketed tables: totals by year of the encounter."""
+    star = bucketed_star(s, _star(s, d), _scratch(s), f"carestar_{uuid.uuid4().hex}", BUCKETS)
+    f = star["fact_encounters"].select("encounter_key", "diagnosis_count", F.floor(F.col("date_key") / 10000).cast("int").alias("year"))
+    links = star["bridge_encounter_diagnoses"].groupBy("encounter_key").agg(F.count(F.lit(1)).alias("links"))
+    return f.join(links, "encounter_key", "left").groupBy("year").agg(
+        F.count(F.lit(1)).alias("encounters"), F.sum(F.coalesce("links", F.lit(0))).alias("links"),
+        F.sum("diagnosis_count").alias("counted"), F.count(F.when(F.col("links").isNull(), 1)).alias("without_links"))
+
+
+def audit_clock(s, d):
+    """A1 / A10 / RAND / time formats on a given clock and seed: batches as encounters would have run them, with their ids,
+    times of day, minutes and seconds."""
+    e = _oltp(s, d)["encounters"]
+    control = e.select(A.batch_id_at(F.col("encounter_date"), BATCH_SEED, F.col("encounter_id")).alias("batch_id"), "encounter_id",
+                       X.seeded_random(BATCH_SEED, F.col("encounter_id")).alias("drawn"),
+                       F.col("encounter_date").alias("start_timestamp"), F.col("discharge_date").alias("end_timestamp"))
+    seconds = F.timestamp_diff("SECOND", F.col("start_timestamp"), F.col("end_timestamp"))
+    history = A.batch_history(control.filter("end_timestamp IS NOT NULL"))
+    return history.select("encounter_id", "batch_id", "drawn", F.date_format("start_timestamp", "HH:mm:ss").alias("started"),
+                          F.date_format("end_timestamp", "HH:mm:ss").alias("ended"), "duration_minutes", seconds.alias("seconds"))
+
+
+SLOW_SECONDS = 5 * 86400
+
+
+def slow_steps_limit(s, d):
+    """A10: steps above a limit that leaves others out: inpatient stays as steps of a batch per department."""
+    e = _oltp(s, d)["encounters"].filter((F.col("encounter_type") == "Inpatient") & F.col("discharge_date").isNotNull())
+    log = e.select(F.col("encounter_id").alias("log_id"), F.concat(F.lit("D"), F.col("department_id")).alias("batch_id"),
+                   F.timestamp_diff("SECOND", F.col("encounter_date"), F.col("discharge_date")).cast("decimal(10,2)").alias("execution_time_seconds"))
+    return A.slow_steps(log, "D2", SLOW_SECONDS)
+
+
 def sample_one_q(s, d):
     """One encounter, drawn by a seed."""
     return sample_one(_oltp(s, d)["encounters"], "encounter_id", 42)
@@ -654,5 +698,6 @@ QUERIES = {
     "reset_transactions": reset_transactions, "compare_models": compare_models,
     "patient_rollup": patient_rollup, "monthly_upkeep": monthly_upkeep, "range_replace_stored": range_replace_stored,
     "csv_quarantine": csv_quarantine, "csv_quarantine_rows": csv_quarantine_rows, "schema_drift": schema_drift,
-    "sample_one": sample_one_q,
+    "sample_one": sample_one_q, "q2_star_bucketed": q2_star_bucketed, "fact_bridge_bucketed": fact_bridge_bucketed,
+    "audit_clock": audit_clock, "slow_steps_limit": slow_steps_limit,
 }

@@ -89,3 +89,27 @@ def test_a_star_question_builds_no_bridge(spark, tmp_path):
     assert "fact_encounters" in os.listdir(os.path.join(store, "star"))
     assert not any(t.startswith("bridge") for t in os.listdir(os.path.join(store, "star")))
     assert "encounter_procedures" in os.listdir(os.path.join(store, "oltp"))          # the fact counts them
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark, models):
+    """Co-occurrence and the fact-to-link join on tables in buckets of the encounter key: no exchange below the joins."""
+    from carestar.sources.bucketed import bucketed_star, drop_bucketed
+    star = models[1]
+    stored = bucketed_star(spark, star, tempfile.mkdtemp(prefix="carestar-buckets-"), "plans_test", 8)
+    try:
+        a, b = Q.q2_star(star), Q.q2_star(stored)
+        assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()]
+        assert _encounter_exchanges(plan(a)) > 0 and _encounter_exchanges(plan(b)) == 0
+        links = stored["bridge_encounter_diagnoses"].groupBy("encounter_key").count()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = stored["fact_encounters"].select("encounter_key", "diagnosis_count").join(links, "encounter_key", "left")
+        assert "Exchange" not in plan(joined)
+        assert joined.filter("coalesce(count, 0) > diagnosis_count").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        drop_bucketed(spark, "plans_test")
+
+
+def _encounter_exchanges(text: str) -> int:
+    """Shuffles by the encounter key in a plan."""
+    return sum("Exchange hashpartitioning(encounter_key" in line for line in text.splitlines())
