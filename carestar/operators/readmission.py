@@ -14,13 +14,16 @@ only one bound is active:
 * bucket k+1 : match iff ``e2.t <= d + W``   (``t > d`` holds automatically)
 
 So per (patient, group, bucket) only the smallest ``d`` of the stays of bucket k
-and the largest ``d + W`` of those of bucket k - 1 matter: one aggregation, with
-partial aggregation before the shuffle, however many stays a patient has. A stay
-can match itself only if it starts after its own discharge; such faulty stays are
-few, so their runner-up bounds, which honour ``e2 <> e1``, are computed apart and
-join the same aggregation. Each candidate meets at most one bounds row per group
-of its (patient, bucket): the fan-out is bounded by the number of groups, never
-by the number of encounters. The totals come from the same bounds.
+and the largest ``d + W`` of those of bucket k - 1 matter, each with the stay it
+comes from: one aggregation, with partial aggregation before the shuffle, however
+many stays a patient has. Each candidate meets at most one bounds row per group of
+its (patient, bucket): the fan-out is bounded by the number of groups, never by
+the number of encounters. The totals come from the same bounds.
+
+``e2 <> e1``: a stay can meet its own bound only if it starts after its own
+discharge, which is a fault of the data. Where such a stay is itself the bound of
+its group and nothing else decides, it is held against the group's other stays; as
+that is one stay per bound at most, this too grows with the rows alone.
 """
 
 from __future__ import annotations
@@ -42,52 +45,41 @@ def _rows(idx: DataFrame, days: int, width: int) -> DataFrame:
     pair = F.array(F.struct(F.lit(0).alias("kind"), kb.alias("kb"), F.col("discharge").alias("v")),
                    F.struct(F.lit(1).alias("kind"), (kb + 1).alias("kb"),
                             F.timestamp_add("DAY", F.lit(days), F.col("discharge")).alias("v")))
-    return idx.select("patient", "grp", F.col("e1").alias("id"), "faulty", F.explode(pair).alias("b")) \
-        .select("patient", "grp", "b.kb", "b.v", "id", "b.kind", "faulty")
+    return idx.select("patient", "grp", F.col("e1").alias("id"), F.explode(pair).alias("b")) \
+        .select("patient", "grp", "b.kb", "b.v", "id", "b.kind")
 
 
 def _bounds(rows: DataFrame) -> DataFrame:
-    """Per (patient, grp, kb): lv, hv of the sound stays; best and runner-up of the faulty ones; stays."""
-    keys = ["patient", "grp", "kb"]
+    """Per (patient, grp, kb): the lower bound lv of stay lid, the upper bound hv of stay hid, and the stays."""
     low, high = F.when(F.col("kind") == 0, F.col("v")), F.when(F.col("kind") == 1, F.col("v"))
-    odd = rows.filter("faulty")
-    first = odd.groupBy(*keys).agg(F.min(low).alias("lv1"), F.min_by("id", low).alias("lid1"),
-                                   F.max(high).alias("hv1"), F.max_by("id", high).alias("hid1"))
-    first = first.withColumnsRenamed({k: f"_{k}" for k in keys})
-    other = lambda bound, best: F.when(F.col("id") != F.col(best), bound)
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    second = odd.join(first, same).select(*keys, "lv1", "lid1", "hv1", "hid1", other(low, "lid1").alias("lv2"),
-                                          other(high, "hid1").alias("hv2"))
-    extra = {"lv1": "timestamp_ntz", "lid1": "long", "hv1": "timestamp_ntz", "hid1": "long", "lv2": "timestamp_ntz",
-             "hv2": "timestamp_ntz"}
-    sound = rows.select(*keys, F.when(~F.col("faulty"), low).alias("lv"), F.when(~F.col("faulty"), high).alias("hv"),
-                        (F.col("kind") == 0).cast("int").alias("n"), *[F.lit(None).cast(t).alias(c) for c, t in extra.items()])
-    none = F.lit(None).cast("timestamp_ntz")
-    every = sound.unionByName(second.select(*keys, none.alias("lv"), none.alias("hv"), F.lit(0).alias("n"), *extra))
-    return every.groupBy(*keys).agg(
-        F.min("lv").alias("lv"), F.max("hv").alias("hv"), F.sum("n").alias("stays"),
-        F.max("lv1").alias("lv1"), F.max("lid1").alias("lid1"), F.min("lv2").alias("lv2"),
-        F.max("hv1").alias("hv1"), F.max("hid1").alias("hid1"), F.max("hv2").alias("hv2"))
+    return rows.groupBy("patient", "grp", "kb").agg(
+        F.min(low).alias("lv"), F.min_by("id", low).alias("lid"), F.max(high).alias("hv"), F.max_by("id", high).alias("hid"),
+        F.count(low).alias("stays"))
 
 
 def readmission_counts(index_stays: DataFrame, candidates: DataFrame, days: int = 30) -> DataFrame:
     """Per group: ``index_stays`` (e1) and ``readmissions`` (distinct e2).
 
-    index_stays: columns ``e1, patient, grp, discharge`` (discharge not null) and, where known, ``start``;
-    without it any stay may match itself. candidates: columns ``e2, patient, t``.
+    index_stays: columns ``e1, patient, grp, discharge`` (discharge not null). candidates: columns ``e2, patient, t``.
     e1 and e2 are primary keys, so each (e2, group) meets one bounds row at most
     and plain counts are distinct counts.
     """
     width = days * 86400
-    faulty = F.coalesce(F.col("start") > F.col("discharge"), F.lit(True)) if "start" in index_stays.columns else F.lit(True)
-    bounds = _bounds(_rows(index_stays.withColumn("faulty", faulty), days, width))
+    rows = _rows(index_stays, days, width)
+    bounds = _bounds(rows)
     cand = candidates.select("e2", "patient", "t", time_bucket(F.col("t"), width).alias("kb")) \
         .filter(F.col("t").isNotNull() & F.col("patient").isNotNull())
-    t, e2 = F.col("t"), F.col("e2")
-    hit = [F.col("lv") < t, F.col("hv") >= t,
-           (F.col("lid1") != e2) & (F.col("lv1") < t), (F.col("lid1") == e2) & (F.col("lv2") < t),
-           (F.col("hid1") != e2) & (F.col("hv1") >= t), (F.col("hid1") == e2) & (F.col("hv2") >= t)]
-    hits = cand.join(bounds, ["patient", "kb"]).filter(F.greatest(*[F.coalesce(h, F.lit(False)) for h in hit]))
-    marks = (bounds.select("grp", F.col("stays").alias("s"), F.lit(0).cast("long").alias("r"))
-             .unionByName(hits.select("grp", F.lit(0).cast("long").alias("s"), F.lit(1).cast("long").alias("r"))))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    below, above = yes(F.col("lv") < F.col("t")), yes(F.col("hv") >= F.col("t"))
+    other_low, other_high = F.col("lid") != F.col("e2"), F.col("hid") != F.col("e2")
+    met = cand.join(bounds, ["patient", "kb"]).filter(below | above).withColumn(
+        "sure", yes(below & other_low) | yes(above & other_high))
+    hits = met.filter("sure").select("grp")
+    mine = met.filter("NOT sure").select("e2", "t", *[F.col(k).alias(f"_{k}") for k in ("patient", "grp", "kb")])
+    same = [rows[k].eqNullSafe(mine[f"_{k}"]) for k in ("patient", "grp", "kb")]
+    reach = F.when(F.col("kind") == 0, F.col("v") < F.col("t")).otherwise(F.col("v") >= F.col("t"))
+    rest = mine.join(rows, [*same, rows["id"] != mine["e2"], reach]).select("e2", "grp").distinct().select("grp")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    marks = (bounds.select("grp", F.col("stays").alias("s"), zero.alias("r"))
+             .unionByName(hits.unionByName(rest).select("grp", zero.alias("s"), one.alias("r"))))
     return marks.groupBy("grp").agg(F.sum("s").alias("index_stays"), F.sum("r").alias("readmissions"))

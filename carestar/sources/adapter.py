@@ -11,6 +11,7 @@ have no diagnosis or no procedure.
 
 from __future__ import annotations
 
+import functools
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from carestar import schemas
 from carestar.operators.keys import sequence_within
 from carestar.sources.readers import read_tables
+from carestar.sources.sinks import scratch_table
 
 # Fixed values of the fixture (name lists used to dress patients).
 FIRST_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eva", "Finn", "Gia", "Hugo", "Iris", "Jon",
@@ -167,7 +169,7 @@ def oltp_makers(spark: SparkSession, sf_dir: str) -> dict:
     t = read_tables(spark, sf_dir, TABLES)
     rows = lambda df: df.agg(F.count(F.lit(1))).scalar()  # noqa: E731  counted when the query runs
     prov = providers(t["supplier"], t["nation"])
-    lines = numbered_lines(t["lineitem"])
+    lines = functools.cache(lambda: scratch_table(numbered_lines(t["lineitem"]), "lines", lasting=True))   # once for links, procedures and bills
     return {
         "patients": lambda: patients(t["customer"]),
         "specialties": lambda: specialties(t["nation"]),
@@ -175,13 +177,13 @@ def oltp_makers(spark: SparkSession, sf_dir: str) -> dict:
         "providers": lambda: prov,
         "encounters": lambda: encounters(t["orders"], prov, rows(t["supplier"])),
         "diagnoses": lambda: diagnoses(t["part"]),
-        "encounter_diagnoses": lambda: encounter_diagnoses(lines),
+        "encounter_diagnoses": lambda: encounter_diagnoses(lines()),
         "procedures": lambda: procedures(t["part"]),
-        "encounter_procedures": lambda: encounter_procedures(lines, rows(t["part"])),
-        "billing": lambda: billing(lines),
+        "encounter_procedures": lambda: encounter_procedures(lines(), rows(t["part"])),
+        "billing": lambda: billing(lines()),
     }
 
 
 def oltp_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All ten OLTP tables as lazy DataFrames over the driver parquet files."""
+    """All ten OLTP tables as lazy DataFrames over the driver parquet files (the numbered lines are written once)."""
     return {name: make() for name, make in oltp_makers(spark, sf_dir).items()}

@@ -64,9 +64,9 @@ def scratch_scope(spark: SparkSession, folder: str | None = None):
         drop_folder(spark, folder)
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` once into the shared checkpoint folder and read it back."""
-    folder = _SCRATCH.get() or os.path.join(checkpoint_dir(df.sparkSession), "carestar-scratch")
+def scratch_table(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    """Cut lineage: write ``df`` once into the shared checkpoint folder and read it back. ``lasting``: it outlives scopes."""
+    folder = (None if lasting else _SCRATCH.get()) or os.path.join(checkpoint_dir(df.sparkSession), "carestar-scratch")
     path = os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
     schema = df.schema
     write_table(df, path)
@@ -89,6 +89,18 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(where)
 
 
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file, whose name is what it says."""
+    fs, where = _located(spark, path)
+    fs.create(where, True).close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder (none if it does not exist)."""
+    fs, where = _located(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where) if f.isFile()] if fs.exists(where) else []
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     fs, where = _located(spark, path)
     return fs.exists(where)
