@@ -13,15 +13,21 @@ word of it. Words are compared in lower case without punctuation around them.
   with an item of its size on all of them is a candidate. The number of
   repetitions per size follows from the collision rate measured on items with
   ``d`` random edits, such that the target recall is reached.
+* Long items. An item of more than LONG words is cut into blocks of about BLOCK
+  words, which go through the steps above as items of their own: whatever edits it
+  has, some block has no more than its share. Where a block is met, the passage of
+  the text that is closest to the whole item is looked for (bit-parallel too) around
+  the place that the block says, and a window of the item's size there is verified.
 * Verification. Candidates are verified by exact (bit-parallel) edit distance.
 
 Items travel to the tasks in parts of bounded size, one pass over the documents
-for each part, so a benchmark of any size is covered.
+for each part and one part after the other, so a benchmark of any size is covered.
 
 Defined results: null and wordless texts and items match nothing. Repeated rows
 of documents come out each; repeated items count once per item_id. Rows without
-a doc_id are reported with null. Empty tables give an empty result; further
-columns are left out.
+a doc_id are reported with null. ``clean_documents`` decides by doc_id and text, so
+leaking rows without a doc_id go and other rows of a leaking doc_id stay. Empty
+tables give an empty result; further columns are left out of ``leaks``.
 """
 
 from __future__ import annotations
@@ -43,8 +49,10 @@ RECALL = 0.99
 SAMPLED = 4              # places that a repetition compares
 SEED_WORDS = 4           # most words of a piece that are looked up
 TRIALS = 400             # edited items that the collision rate of a size is measured on
-PART_BYTES = 16 << 20    # of items in one pass
-MOST_REPETITIONS = 4096  # bound of the calibration: a recall that needs more is refused
+PART_BYTES = 2 << 20     # of items in one pass
+LONG = 119               # words of the longest items that are looked for whole
+BLOCK = 60               # least words of the blocks of longer ones (fewer than twice as many: none is longer than LONG)
+MOST_REPETITIONS = 4096  # of the calibration; items and blocks of up to LONG words need about 200 at a recall of 0.99
 SLAB = 8192              # walks that are made together
 PAD = np.uint64(0x5BD1E995)
 
@@ -87,6 +95,32 @@ def edit_distance(a: list[int], b: list[int]) -> int:
     return distance
 
 
+def closest_passage(a: list[int], b: list[int]) -> tuple[int, int]:
+    """Least edits between ``a`` and any run of ``b``, and where in ``b`` the first such run ends; bit-parallel over ``a``."""
+    match: dict[int, int] = {}
+    for i, x in enumerate(a):
+        match[x] = match.get(x, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    plus, minus, distance = full, 0, len(a)
+    best = (distance, 0)
+    for j, y in enumerate(b):
+        eq = match.get(y, 0)
+        horizontal = ((((eq & plus) + plus) ^ plus) | eq) | minus
+        up = (minus | ~(horizontal | plus)) & full
+        down = plus & horizontal
+        if up & top:
+            distance += 1
+        elif down & top:
+            distance -= 1
+        up = (up << 1) & full                                  # a run may begin anywhere
+        vertical = eq | minus
+        plus = ((down << 1) | ~(vertical | up)) & full
+        minus = up & vertical
+        if distance < best[0]:
+            best = (distance, j + 1)
+    return best
+
+
 def sampled_keys(rows: np.ndarray, sizes: np.ndarray, walks: np.ndarray, places: np.ndarray,
                  classes: np.ndarray | None = None) -> np.ndarray:
     """For each row: CGK walk number ``walks`` over its first ``sizes`` words, hashed at the sampled ``places``.
@@ -133,17 +167,17 @@ def repetitions(rows: np.ndarray, edits: int, recall: float) -> tuple[int, np.nd
         same = (sampled_keys(np.repeat(picked[left], 16, 0), full, walks, here)
                 == sampled_keys(np.repeat(edited[left], 16, 0), full, walks, here)).reshape(len(left), 16)
         met_at[left] = np.where(same.any(1), first + same.argmax(1) + 1, met_at[left])
-    needed = int(np.sort(met_at)[min(TRIALS - 1, math.ceil(recall * TRIALS) - 1)])
+    needed = min(len(places), int(np.sort(met_at)[min(TRIALS - 1, math.ceil(recall * TRIALS) - 1)]))
     return needed, np.stack(places[:needed])
 
 
 @dataclass
 class SizeClass:
-    """Items of one size."""
+    """Items and blocks of long items of one size."""
 
     size: int
     edits: int
-    items: list[int] = field(default_factory=list)
+    items: list[int | tuple[int, int]] = field(default_factory=list)      # item_id; of a block: number of its item, its place there
     rows: list[np.ndarray] = field(default_factory=list)
     repetitions: int = 0
     places: np.ndarray | None = None
@@ -170,9 +204,19 @@ class ItemIndex:
     def __init__(self, ids: list[int], texts: list[str], similarity: float, recall: float):
         self.classes: dict[int, SizeClass] = {}
         seeds: dict[int, dict[int, set]] = {}
+        self.long: list[tuple[int, list[int], int]] = []          # item_id, words, edits
         starts, words, _ = word_hashes(pa.array(texts, pa.string()))
+        pieces = []
         for i, item in enumerate(ids):
             row = words[starts[i]:starts[i + 1]]
+            if len(row) <= LONG:
+                pieces.append((item, row))
+                continue
+            m = len(row) // BLOCK
+            cuts = [round(k * len(row) / m) for k in range(m + 1)]
+            pieces += [((len(self.long), a), row[a:b]) for a, b in zip(cuts, cuts[1:])]
+            self.long.append((item, row.tolist(), math.floor((1 - similarity) * len(row) + 1e-9)))
+        for item, row in pieces:
             size = len(row)
             if not size:
                 continue
@@ -188,8 +232,6 @@ class ItemIndex:
         for c in self.classes.values():
             stack = np.stack(c.rows)
             c.repetitions, c.places = repetitions(stack, c.edits, recall)
-            if c.repetitions > MOST_REPETITIONS:
-                raise ValueError(f"no recall of {recall} within {MOST_REPETITIONS} repetitions for items of {c.size} words")
             n = len(c.rows)
             walks = np.tile(np.arange(c.repetitions), n)
             keys = sampled_keys(np.repeat(stack, c.repetitions, 0), np.full(len(walks), c.size), walks, c.places[walks])
@@ -240,6 +282,7 @@ class ItemIndex:
         first = starts[text] + start
         sizes = np.minimum(size, starts[text + 1] - first)
         offered: set[tuple[int, int]] = set()
+        around: set[tuple[int, int, int]] = set()                  # text, long item, where its window would begin
 
         times = np.array([self.classes[n].repetitions for n in size.tolist()])
         for lo in range(0, len(windows), SLAB // 16):
@@ -256,40 +299,80 @@ class ItemIndex:
                         continue
                     offered.add((i, item))
                     c, a = self.classes[n], int(first[i])
+                    if isinstance(c.items[item], tuple):
+                        number, offset = c.items[item]
+                        around.add((int(text[i]), number, int(start[i]) - offset))
+                        continue
                     distance = edit_distance(c.rows[item].tolist(), words[a:a + sizes[i]].tolist())
                     if distance <= c.edits:
                         span = (distance, int(place[a]), int(place[a + sizes[i] - 1]) + 1 - int(place[a]))
                         pair = (int(text[i]), c.items[item])
                         best[pair] = min(best.get(pair, span), span)
+        self._long_matches(words, starts, place, around, best)
         return [(t, item, s, n, d) for (t, item), (d, s, n) in sorted(best.items())]
 
-
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """One row per document and leaked item: doc_id, item_id, first_word, n_words, edits (of the closest window found)."""
-    spark = docs.sparkSession
+    def _long_matches(self, words: np.ndarray, starts: np.ndarray, place: np.ndarray, around: set[tuple[int, int, int]], best: dict) -> None:
+        """Add the closest verified window of long items near the places that their blocks said."""
+        looked: dict[tuple[int, int], int] = {}
+        for t, number, said in sorted(around):
+            item, row, edits = self.long[number]
+            if said <= looked.get((t, number), -1 << 60):
+                continue                                       # within what was looked through for the block before
+            looked[t, number] = said + edits
+            whole = words[starts[t]:starts[t + 1]]
+            lo, hi = max(0, said - edits), min(len(whole), said + len(row) + 2 * edits)
+            region = whole[lo:hi].tolist()
+            least, end = closest_passage(row, region)
+            if least > edits:
+                continue
+            length, back = closest_passage(row[::-1], region[:end][::-1])[1], len(region) - len(row)
+            begins = {min(max(0, s), max(0, back)) for s in (end - length, end - len(row), (2 * end - length - len(row)) // 2, said - lo)}
+            for s in sorted(begins):
+                window = region[s:s + len(row)]
+                distance = edit_distance(row, window)
+                if distance <= edits:
+                    a = int(starts[t]) + lo + s
+                    span = (distance, int(place[a]), int(place[a + len(window) - 1]) + 1 - int(place[a]))
+                    best[t, item] = min(best.get((t, item), span), span)
+
+
+def _leaks(rows: DataFrame, items: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """doc_id, text_hash, item_id, first_word, n_words, edits for rows of doc_id, text, text_hash."""
+    spark = rows.sparkSession
     bench = (items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
              .where("item_id is not null and text is not null").distinct())
     total = bench.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = max(1, math.ceil(total / PART_BYTES))
-    base, out = documents(docs), None
+    parts, out = max(1, math.ceil(total / PART_BYTES)), None
     for part in range(parts):
-        rows = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], similarity, recall))
+        of = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
+        index = spark.sparkContext.broadcast(ItemIndex([r["item_id"] for r in of], [r["text"] for r in of], similarity, recall))
 
         def run(batches, index=index):
             for batch in chunks(batches):
                 found = index.value.matches(text_column(batch))
-                ids = batch.column("doc_id").take(pa.array([t for t, *_ in found], pa.int64()))
+                at = pa.array([t for t, *_ in found], pa.int64())
                 rest = [pa.array([m[k] for m in found], pa.int64()) for k in range(1, 5)]
-                yield pa.RecordBatch.from_arrays([ids, *rest], names=["doc_id", "item_id", "first_word", "n_words", "edits"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text_hash").take(at), *rest],
+                                                 names=["doc_id", "text_hash", "item_id", "first_word", "n_words", "edits"])
 
-        pairs = base.mapInArrow(run, "doc_id long, item_id long, first_word long, n_words long, edits long")
+        pairs = rows.mapInArrow(run, "doc_id long, text_hash long, item_id long, first_word long, n_words long, edits long")
+        if parts > 1:                                          # one part at a time: its index goes before the next is sent
+            pairs = materialize(pairs, "leaks")
+            index.destroy()
         out = pairs if out is None else out.union(pairs)
     return out
 
 
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """One row per document and leaked item: doc_id, item_id, first_word, n_words, edits (of the closest window found)."""
+    rows = documents(docs).withColumn("text_hash", F.lit(None).cast("long"))
+    return _leaks(rows, items, similarity, recall).drop("text_hash")
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """The rows of ``docs``, all columns, without documents that leak an item. Rows without a doc_id all stay."""
-    ids = materialize(leaks(docs.select("doc_id", "text"), items, similarity, recall)
-                      .where("doc_id is not null").select("doc_id").distinct(), "leaks")
-    return docs.join(ids, "doc_id", "left_anti")
+    """The rows of ``docs``, all columns, without those that leak an item."""
+    rows = documents(docs).withColumn("text_hash", F.xxhash64("text"))
+    found = materialize(_leaks(rows, items, similarity, recall).select(F.col("doc_id").alias("_leak_id"), F.col("text_hash").alias("_leak_text"))
+                        .distinct(), "leaks")
+    same = docs["doc_id"].cast("long").eqNullSafe(found["_leak_id"]) & (F.xxhash64(docs["text"].cast("string")) == found["_leak_text"])
+    return docs.join(found, same, "left_anti")

@@ -104,6 +104,70 @@ def test_parts_of_a_large_benchmark_and_filter(spark, monkeypatch):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {i for i, _ in whole}
 
 
+def test_closest_passage():
+    rnd = random.Random(3)
+    for _ in range(200):
+        a, b = ([rnd.randint(0, 3) for _ in range(rnd.randint(1, n))] for n in (9, 20))
+        least, end = C.closest_passage(a, b)
+        every = {(i, j): distance(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1)}
+        assert least == min(every.values())
+        assert min(d for (_, j), d in every.items() if j == end) == least
+
+
+def _damaged(words, share, rnd):
+    """Words with that share of edits: half of them substitutions, the others insertions and deletions."""
+    out = list(words)
+    for _ in range(int(share * len(words))):
+        at = rnd.randrange(len(out))
+        kind = rnd.random()
+        if kind < 0.5:
+            out[at] = f"e{rnd.randint(0, 999)}"
+        elif kind < 0.75:
+            out.insert(at, f"e{rnd.randint(0, 999)}")
+        else:
+            out.pop(at)
+    return out
+
+
+@pytest.mark.parametrize("size, copies", [(120, 40), (1000, 20), (5000, 6)])
+def test_long_items(size, copies):
+    """Items that are cut into blocks are found at any share of edits within the limit, and not beyond it."""
+    rnd = random.Random(size)
+    word = lambda: f"t{rnd.randint(0, 5000)}"
+    items = [[word() for _ in range(size)] for _ in range(2)]
+    index = C.ItemIndex([7, 8], [" ".join(x) for x in items], C.SIMILARITY, C.RECALL)
+    assert max(index.classes) <= C.LONG and max(c.repetitions for c in index.classes.values()) < 400
+    texts, want = [], set()
+    for t in range(copies):
+        k, share = t % 2, (0.0, 0.05, 0.12, 0.17, 0.3)[t // 2 % 5]
+        found = _damaged(items[k], share, rnd)
+        texts.append(" ".join([word() for _ in range(rnd.randint(0, 50))] + found + [word() for _ in range(rnd.randint(0, 50))]))
+        if share <= 0.2:
+            want.add((t, 7 + k))
+    got = index.matches(pa.array(texts + ["short text", " ".join(items[0][:size // 2])]))
+    assert {(t, i) for t, i, *_ in got} - want == set()
+    assert len({(t, i) for t, i, *_ in got} & want) >= 0.95 * len(want)
+    for t, i, first, n, edits in got:
+        row = texts[t].split()[first:first + n]
+        assert n <= size and C.edit_distance([hash(x) for x in items[i - 7]], [hash(x) for x in row]) == edits <= size // 5
+
+
+def test_a_very_long_item_and_its_whole_way(spark):
+    rnd = random.Random(50)
+    item = [f"t{rnd.randint(0, 50000)}" for _ in range(50_000)]
+    rows = [(1, " ".join(_damaged(item, 0.1, rnd))), (2, " ".join(item[:30_000])), (3, "clean text"), (4, " ".join(item[::-1]))]
+    got = C.leaks(H.docs(spark, rows), spark.createDataFrame([(9, " ".join(item)), (10, "clean text of others")], ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 9)}
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """Leaking rows without a doc_id go; a clean row stays though another one of its doc_id leaks."""
+    item = " ".join(f"t{i}" for i in range(20))
+    rows = [(None, "a " + item), (None, "clean"), (None, None), (5, item + " b"), (5, "also clean"), (6, item), (6, item), (7, "x")]
+    left = C.clean_documents(H.docs(spark, rows, **H.CLASHES, text_h=1), spark.createDataFrame([(1, item)], ITEMS))
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted([(None, "clean"), (None, None), (5, "also clean"), (7, "x")], key=str)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ITEMS)
     assert C.leaks(H.empty(spark), none).count() == 0
