@@ -1,8 +1,15 @@
 """Stupid-backoff language-model scores of documents by counts from the whole corpus.
 
-Each block of documents counts its n-grams of 1 to ``order`` words; the counts
-are summed per n-gram in buckets of the hash space (the n-gram tables), joined
-back to the blocks that hold the n-gram and summed over each document's words.
+Each block of documents counts its n-grams; the counts are summed per n-gram in
+buckets of the hash space (the n-gram tables), joined back to the blocks that hold
+the n-gram and summed over each document's words. This goes level by level: one
+and two words first, then one word more at a time. An n-gram can only occur
+``min_count`` times if both n-grams of one word less inside it do, so a block asks
+for no others, and what is not asked for is known to be too rare. Each level is
+written before the next one begins.
+
+N-grams are told apart by 64-bit hashes, and travel as packed arrays, a row per
+block and bucket.
 
 The score of a word is the relative frequency after its ``order - 1`` words
 before it if that n-gram occurs ``min_count`` times in the corpus, else
@@ -21,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,33 +36,68 @@ from carestar.llm.blocks import blocked, column, grouped, pack, position, to_buc
 from carestar.llm.store import materialize
 from carestar.llm.words import hash_words, rolling, split_words, windows
 
-ORDER = 2
+ORDER = 3
 MIN_COUNT = 2
 BACKOFF = 0.4
 MICRO = 1_000_000
 
 
+def _tables(order: int) -> list[tuple[int, ...]]:
+    """The lengths of n-grams that are counted together, level by level."""
+    return [tuple(range(1, min(order, 2) + 1))] + [(k,) for k in range(3, order + 1)]
+
+
 class _Grams:
-    """The n-grams of a block: per length, text positions and hashes; over all lengths, distinct hashes and counts."""
+    """The n-grams of a block: per length, the words that they start at and their hashes."""
 
     def __init__(self, table: pa.Table, order: int):
         self.words = split_words(table.column("text").combine_chunks().fill_null(""))
-        hashed = hash_words(self.words.vocab)[self.words.ids]
-        self.at, self.hash = [], []
-        for k in range(1, order + 1):
-            at = windows(self.words, k)[0]
-            self.at.append(at)
-            self.hash.append(rolling(hashed ^ np.uint64(k), k)[at] if len(at) else np.zeros(0, np.uint64))
-        every = np.concatenate(self.hash)
-        _, starts, self.distinct = grouped(every)
-        self.counts = np.diff(np.append(starts, len(every))).astype(np.uint64)
-
-
-def _count(order: int, n: int):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        g = _Grams(table, order)
-        return to_buckets(key[0].as_py(), g.distinct, {"n": g.counts}, n)
-    return run
+        self.hashed = hash_words(self.words.vocab)[self.words.ids]
+        self.order = order
+
+    def at(self, k: int, rare: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Words that the n-grams of ``k`` words start at, and their hashes; without those that hold an n-gram of one
+        word less that starts at a word marked in ``rare``."""
+        at = windows(self.words, k)[0]
+        if rare is not None and len(at):
+            at = at[~(rare[at] | rare[at + 1])]
+        return at, rolling(self.hashed ^ np.uint64(k), k)[at] if len(at) else np.zeros(0, np.uint64)
+
+    def level(self, lengths: tuple[int, ...], rare: np.ndarray | None):
+        """What a block asks for at a level: (places, hashes) per length, distinct hashes, counts."""
+        grams = [self.at(k, rare) for k in lengths]
+        every = np.concatenate([h for _, h in grams])
+        _, starts, distinct = grouped(every)
+        return grams, distinct, np.diff(np.append(starts, len(every))).astype(np.uint64)
+
+    def known(self, totals: pa.Table, levels: int, min_count: int) -> list[np.ndarray]:
+        """Per length, the corpus count of the n-gram that starts at each word (0: too rare, or none), from the answers
+        of the first ``levels`` levels."""
+        of: list[np.ndarray] = []
+        for level, lengths in enumerate(_tables(self.order)[:levels]):
+            grams, distinct, _ = self.level(lengths, of[-1] < min_count if level else None)
+            answers = totals.filter(pc.equal(totals.column("level"), level)).sort_by("bucket")
+            counts = column(answers, "n").astype(np.float64)
+            if len(counts) != len(distinct):
+                raise ValueError("the answer does not cover the block's n-grams")
+            for at, hashes in grams:
+                c = np.zeros(len(self.words.ids) + 1)          # one more, so that every word has one behind it
+                c[at] = counts[position(hashes, distinct)[0]]
+                of.append(c)
+        return of
+
+
+def _ask(order: int, level: int, min_count: int, n: int):
+    def first(key: tuple, docs: pa.Table) -> pa.Table:
+        _, distinct, counts = _Grams(docs, order).level(_tables(order)[0], None)
+        return to_buckets(key[0].as_py(), distinct, {"n": counts}, n)
+
+    def later(key: tuple, docs: pa.Table, totals: pa.Table) -> pa.Table:
+        g = _Grams(docs, order)
+        rare = g.known(totals, level, min_count)[-1] < min_count
+        _, distinct, counts = g.level(_tables(order)[level], rare)
+        return to_buckets(key[0].as_py() if key[0].is_valid else 0, distinct, {"n": counts}, n)
+    return later if level else first
 
 
 def _total(key: tuple, table: pa.Table) -> pa.Table:
@@ -73,15 +116,7 @@ def _score(order: int, min_count: int, backoff: float):
 
     def run(key: tuple, docs: pa.Table, totals: pa.Table) -> pa.Table:
         g = _Grams(docs, order)
-        counts = column(totals.sort_by("bucket"), "n").astype(np.float64)
-        if len(counts) != len(g.distinct):
-            raise ValueError("the answer does not cover the block's n-grams")
-        size = len(g.words.ids)
-        of = []                             # per length, the corpus count of the n-gram that starts at each word
-        for at, hashes in zip(g.at, g.hash):
-            c = np.zeros(size)
-            c[at] = counts[position(hashes, g.distinct)[0]]
-            of.append(c)
+        of, size = g.known(totals, len(_tables(order)), min_count), len(g.words.ids)
         index = np.arange(size) - np.repeat(g.words.starts[:-1], g.words.counts)
         value, open_, cost = np.zeros(size, np.int64), np.ones(size, bool), np.zeros(size)
         for k in range(order, 1, -1):
@@ -103,9 +138,13 @@ def _score(order: int, min_count: int, backoff: float):
 def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, backoff: float = BACKOFF) -> DataFrame:
     """doc_id, n_words, n_backed_off (words scored by their own frequency), score_micro (sum of log scores, millionths)."""
     base, n = blocked(docs)
-    by_block = base.groupBy("block")
-    asked = by_block.applyInArrow(_count(order, n), "bucket int, block int, hash binary, n binary")
-    totals = asked.groupBy("bucket").applyInArrow(_total, "block int, bucket int, n binary")
+    by_block, totals = base.groupBy("block"), None
+    for level in range(len(_tables(order))):
+        ask, schema = _ask(order, level, min_count, n), "bucket int, block int, hash binary, n binary"
+        asked = by_block.cogroup(totals.groupBy("block")).applyInArrow(ask, schema) if level else by_block.applyInArrow(ask, schema)
+        answers = asked.groupBy("bucket").applyInArrow(_total, "block int, bucket int, n binary").withColumn("level", F.lit(level))
+        answers = materialize(answers, f"lm-counts-{level}")
+        totals = answers if totals is None else totals.unionByName(answers)
     scored = materialize(
         by_block.cogroup(totals.groupBy("block")).applyInArrow(
             _score(order, min_count, backoff), "doc_id long, n_words long, n_backed_off long, sum_micro long"), "lm")

@@ -70,18 +70,24 @@ WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
 ), flat AS (
   SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM words
-), pairs AS (
-  SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS u FROM flat
+), runs AS (
+  SELECT doc_id, i, w, lag(w) OVER p AS v, lag(w, 2) OVER p AS u FROM flat WINDOW p AS (PARTITION BY doc_id ORDER BY i)
 ), c1 AS (
   SELECT w, count(*) AS n FROM flat GROUP BY w
 ), c2 AS (
-  SELECT u, w, count(*) AS n FROM pairs WHERE u IS NOT NULL GROUP BY u, w HAVING count(*) >= 2
+  SELECT v, w, count(*) AS n FROM runs WHERE v IS NOT NULL GROUP BY v, w HAVING count(*) >= 2
+), c3 AS (
+  SELECT u, v, w, count(*) AS n FROM runs WHERE u IS NOT NULL GROUP BY u, v, w HAVING count(*) >= 2
 ), scored AS (
-  SELECT doc_id, c2.n IS NULL AS backed,
-         CASE WHEN c2.n IS NOT NULL THEN round_even(ln(c2.n / cu.n) * 1e6, 0)
-              WHEN p.u IS NULL THEN round_even(ln(cw.n) * 1e6, 0)
-              ELSE round_even(ln(0.4::DOUBLE * cw.n) * 1e6, 0) END::BIGINT AS v
-  FROM pairs p JOIN c1 cw ON cw.w = p.w LEFT JOIN c1 cu ON cu.w = p.u LEFT JOIN c2 ON c2.u = p.u AND c2.w = p.w
+  SELECT doc_id, c3.n IS NULL AND c2.n IS NULL AS backed,
+         round_even(ln(CASE WHEN c3.n IS NOT NULL THEN c3.n / h2.n
+                            WHEN c2.n IS NOT NULL THEN if(r.u IS NULL, 1, 0.4::DOUBLE) * c2.n / h1.n
+                            WHEN r.v IS NULL THEN c1.n
+                            WHEN r.u IS NULL THEN 0.4::DOUBLE * c1.n
+                            ELSE 0.4::DOUBLE * 0.4::DOUBLE * c1.n END) * 1e6, 0)::BIGINT AS v
+  FROM runs r JOIN c1 ON c1.w = r.w
+  LEFT JOIN c1 h1 ON h1.w = r.v LEFT JOIN c2 ON c2.v = r.v AND c2.w = r.w
+  LEFT JOIN c2 h2 ON h2.v = r.u AND h2.w = r.v LEFT JOIN c3 ON c3.u = r.u AND c3.v = r.v AND c3.w = r.w
 ), sums AS (
   SELECT doc_id, count(*) AS n, sum(backed::INT) AS b, sum(v) AS s FROM scored GROUP BY doc_id
 )

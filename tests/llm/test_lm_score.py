@@ -32,7 +32,7 @@ def plain(rows, order, min_count, backoff):
     return Counter(out)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
 def test_equals_plain_counts(spark, order):
     rows = H.AWKWARD + [(100 + i, "the cat sat on the mat " * (i % 4) + f"word{i % 7} the cat") for i in range(40)]
     got = L.lm_scores(H.docs(spark, rows, **H.CLASHES), order).collect()
