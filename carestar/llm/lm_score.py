@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.blocks import blocked, column, grouped, pack, position, to_buckets
+from carestar.llm.blocks import blocked, column, pack, to_buckets
 from carestar.llm.store import materialize
 from carestar.llm.words import hash_words, rolling, split_words, windows
 
@@ -47,6 +47,13 @@ def _tables(order: int) -> list[tuple[int, ...]]:
     return [tuple(range(1, min(order, 2) + 1))] + [(k,) for k in range(3, order + 1)]
 
 
+def _starts(ascending: np.ndarray) -> np.ndarray:
+    """Where each distinct value starts."""
+    new = np.ones(len(ascending), bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    return np.flatnonzero(new)
+
+
 class _Grams:
     """The n-grams of a block: per length, the words that they start at and their hashes."""
 
@@ -63,48 +70,60 @@ class _Grams:
             at = at[~(rare[at] | rare[at + 1])]
         return at, rolling(self.hashed ^ np.uint64(k), k)[at] if len(at) else np.zeros(0, np.uint64)
 
-    def level(self, lengths: tuple[int, ...], rare: np.ndarray | None):
-        """What a block asks for at a level: (places, hashes) per length, distinct hashes, counts."""
+    def asked(self, lengths: tuple[int, ...], rare: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """What a block asks for at a level: distinct hashes, ascending, and how often it has each."""
+        every = np.sort(np.concatenate([self.at(k, rare)[1] for k in lengths]))
+        starts = _starts(every)
+        return every[starts], np.diff(np.append(starts, len(every))).astype(np.uint64)
+
+    def answered(self, lengths: tuple[int, ...], rare: np.ndarray | None, counts: np.ndarray) -> list[np.ndarray]:
+        """Per length, the count of the n-gram that starts at each word, from those of the distinct hashes."""
         grams = [self.at(k, rare) for k in lengths]
         every = np.concatenate([h for _, h in grams])
-        _, starts, distinct = grouped(every)
-        return grams, distinct, np.diff(np.append(starts, len(every))).astype(np.uint64)
+        order = np.argsort(every)
+        starts = _starts(every[order])
+        if len(counts) != len(starts):
+            raise ValueError("the answer does not cover the block's n-grams")
+        found = np.empty(len(every))
+        found[order] = np.repeat(counts, np.diff(np.append(starts, len(every))))
+        out, begin = [], 0
+        for at, hashes in grams:
+            c = np.zeros(len(self.words.ids) + 1)              # one more, so that every word has one behind it
+            c[at] = found[begin:begin + len(hashes)]
+            begin += len(hashes)
+            out.append(c)
+        return out
 
     def known(self, totals: pa.Table, levels: int, min_count: int) -> list[np.ndarray]:
         """Per length, the corpus count of the n-gram that starts at each word (0: too rare, or none), from the answers
         of the first ``levels`` levels."""
         of: list[np.ndarray] = []
         for level, lengths in enumerate(_tables(self.order)[:levels]):
-            grams, distinct, _ = self.level(lengths, of[-1] < min_count if level else None)
             answers = totals.filter(pc.equal(totals.column("level"), level)).sort_by("bucket")
-            counts = column(answers, "n").astype(np.float64)
-            if len(counts) != len(distinct):
-                raise ValueError("the answer does not cover the block's n-grams")
-            for at, hashes in grams:
-                c = np.zeros(len(self.words.ids) + 1)          # one more, so that every word has one behind it
-                c[at] = counts[position(hashes, distinct)[0]]
-                of.append(c)
+            of += self.answered(lengths, of[-1] < min_count if level else None, column(answers, "n").astype(np.float64))
         return of
 
 
 def _ask(order: int, level: int, min_count: int, n: int):
     def first(key: tuple, docs: pa.Table) -> pa.Table:
-        _, distinct, counts = _Grams(docs, order).level(_tables(order)[0], None)
+        distinct, counts = _Grams(docs, order).asked(_tables(order)[0], None)
         return to_buckets(key[0].as_py(), distinct, {"n": counts}, n)
 
     def later(key: tuple, docs: pa.Table, totals: pa.Table) -> pa.Table:
         g = _Grams(docs, order)
         rare = g.known(totals, level, min_count)[-1] < min_count
-        _, distinct, counts = g.level(_tables(order)[level], rare)
+        distinct, counts = g.asked(_tables(order)[level], rare)
         return to_buckets(key[0].as_py() if key[0].is_valid else 0, distinct, {"n": counts}, n)
     return later if level else first
 
 
 def _total(key: tuple, table: pa.Table) -> pa.Table:
     hashes, counts = column(table, "hash"), column(table, "n")
-    order, starts, distinct = grouped(hashes)
-    totals = np.add.reduceat(counts[order], starts) if len(starts) else counts
-    totals = totals[position(hashes, distinct)[0]]
+    order = np.argsort(hashes)
+    starts = _starts(hashes[order])
+    totals = np.empty(len(hashes), np.uint64)
+    if len(starts):
+        totals[order] = np.repeat(np.add.reduceat(counts[order], starts), np.diff(np.append(starts, len(hashes))))
     ends = np.concatenate([[0], np.cumsum([len(x) // 8 for x in table.column("hash").to_pylist()])]).astype(np.int64)
     parts = [pack(totals[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "n": pa.array(parts, pa.binary())})
