@@ -16,7 +16,13 @@ that of an earlier call), ``cycle`` (waits for itself). status of a result:
 
 Order: ``step``, ``turn``, ``place``. Turn order already puts calls after what they
 wait for unless a conversation says otherwise; only in such conversations step is
-the length of the longest chain of calls that the call waits for.
+the length of the longest chain of calls that the call waits for. Calls that wait
+for a cycle come after all others. A result has the step of its call; messages and
+orphans have the largest step of the calls up to their turn, so they keep their place
+among each other and never come before calls of earlier turns.
+
+Steps take one round of joins per link of the longest chain in these conversations:
+that many rounds, however many rows there are.
 
 Defined results: rows without conv_id or identifier link to nothing. Null and
 malformed texts are plain messages. Repeated rows get the same status. Unknown
@@ -27,12 +33,13 @@ further columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestar.llm.store import materialize, small_or_shuffled
 
 CALL = ["conv_id", "call_id"]
+TURNS = 4096            # turns of a conversation that one task looks at in a row
 TYPES = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|DECIMAL.*)$", "boolean": "^BOOLEAN$",
          "array": "^ARRAY.*$", "object": "^OBJECT.*$"}
 
@@ -85,8 +92,7 @@ def argument_faults(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 def steps(calls: DataFrame) -> DataFrame:
     """conv_id, call_id, step, cyclic of the calls of conversations whose turn order does not do.
 
-    ``calls``: one row per conv_id, call_id with at (turn, place) and after. One round per link of the longest
-    chain in these conversations.
+    ``calls``: one row per conv_id, call_id with at (turn, place) and after.
     """
     edges = (calls.select("conv_id", "call_id", "at", F.explode("after").alias("dep")).distinct()
              .join(calls.select("conv_id", F.col("call_id").alias("dep"), F.col("at").alias("dep_at")), ["conv_id", "dep"]))
@@ -108,10 +114,32 @@ def steps(calls: DataFrame) -> DataFrame:
                            .select("conv_id", "call_id", "dep"), "call-edges")
         now, step = left.count(), step + 1
         if now == waiting:
-            return out.union(done.withColumn("step", F.lit(step)).withColumn("cyclic", F.lit(True)))
+            last = out.groupBy("conv_id").agg(F.max("step").alias("last"))
+            stuck = done.join(last, "conv_id", "left").select(*CALL, (F.coalesce("last", F.lit(-1)) + 1).alias("step"))
+            return out.union(stuck.withColumn("cyclic", F.lit(True)))
         waiting = now
 
 
+def steps_so_far(first: DataFrame, order: DataFrame, turns: DataFrame) -> DataFrame:
+    """conv_id, turn, so_far: the largest step of the calls up to each of the turns (conv_id, turn), in conversations with steps.
+
+    The running maximum is taken within TURNS turns, on top of the largest step of those before, so that the turns of one
+    long conversation are dealt to many tasks.
+    """
+    calls = first.select(*CALL, F.col("at.turn").alias("turn")).join(order.select(*CALL, "step"), CALL).select("conv_id", "turn", "step")
+    asked = turns.join(order.select("conv_id").distinct(), "conv_id", "left_semi").select(
+        "conv_id", "turn", F.lit(None).cast("int").alias("step"))
+    points = (calls.union(asked).where("turn is not null").groupBy("conv_id", "turn").agg(F.max("step").alias("step"))
+              .withColumn("span", F.expr(f"turn div {TURNS}")))
+    points = materialize(points, "turn-steps")
+    earlier = Window.partitionBy("conv_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = points.groupBy("conv_id", "span").agg(F.max("step").alias("most")).select(
+        "conv_id", "span", F.max("most").over(earlier).alias("before"))
+    within = Window.partitionBy("conv_id", "span").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    return points.join(spans, ["conv_id", "span"]).select(
+        "conv_id", "turn", F.greatest("before", F.max("step").over(within)).alias("so_far"))
+
+
 def link(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
     """conv_id, turn, place, step, kind, call_id, status, valid (of calls), json: one row per entry."""
     entries = materialize(parse(messages), "entries")
@@ -126,6 +154,9 @@ def link(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -
                .agg(F.min("turn").alias("answer_turn")))
     answers = materialize(answers, "answers")
     order = materialize(steps(first), "steps")
+    unlinked = (entries.where("kind = 'message'").select("conv_id", "turn")
+                .union(timed.where("call_turn is null").select("conv_id", "turn")))
+    so_far = materialize(steps_so_far(first, order, unlinked), "steps-so-far")
 
     placed = calls.join(first.select(*CALL, F.col("at").alias("first_at")), CALL, "left").join(answers, CALL, "left").join(
         order, CALL, "left").join(
@@ -139,15 +170,16 @@ def link(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -
         "content", call_status.alias("status"),
         (F.col("conv_id").isNotNull() & F.col("call_id").isNotNull() & ~F.coalesce("faulty", F.lit(False))).alias("valid"))
 
-    answered = timed.join(answers, CALL, "left").join(order.select(*CALL, "step"), CALL, "left")
+    answered = timed.join(answers, CALL, "left").join(order.select(*CALL, "step"), CALL, "left").join(
+        so_far, ["conv_id", "turn"], "left")
     result_status = (F.when(F.col("call_turn").isNull(), "orphan").when(F.coalesce("early", F.lit(True)), "early")
                      .when(F.col("turn") == F.col("answer_turn"), "linked").otherwise("duplicate"))
     none = F.lit(None).cast("boolean").alias("valid")
     result_rows = answered.select(
-        "conv_id", "turn", "place", F.coalesce("step", F.lit(0)).alias("step"), "kind", "role", "call_id", "name", "arguments", "after",
+        "conv_id", "turn", "place", F.coalesce("step", "so_far", F.lit(0)).alias("step"), "kind", "role", "call_id", "name", "arguments", "after",
         "content", result_status.alias("status"), none)
-    plain = entries.where("kind = 'message'").select(
-        "conv_id", "turn", "place", F.lit(0).alias("step"), "kind", "role", "call_id", "name", "arguments", "after", "content",
+    plain = entries.where("kind = 'message'").join(so_far, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "place", F.coalesce("so_far", F.lit(0)).alias("step"), "kind", "role", "call_id", "name", "arguments", "after", "content",
         F.lit("message").alias("status"), none)
 
     every = call_rows.union(result_rows).union(plain)

@@ -97,29 +97,61 @@ FROM words w LEFT JOIN sums USING (doc_id)
 """
 
 OP4 = r"""
-WITH c AS (
-  SELECT conv_id, turn, role, text, lag(role) OVER w AS before, lag(turn) OVER w AS before_turn,
-         lead(role) OVER w AS next, lead(turn) OVER w AS next_turn
-  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, role, text, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+         CASE WHEN role = 'user' THEN 'call-' || CASE WHEN (conv_id + turn) % 7 = 0 THEN turn - 2 ELSE turn END
+              WHEN role = 'assistant' THEN 'call-' || CASE (conv_id + turn) % 5 WHEN 0 THEN turn + 1 WHEN 1 THEN turn - 3 ELSE turn - 1 END
+         END AS id,
+         CASE WHEN conv_id % 4 = 1 THEN CASE WHEN turn % 8 < 6 THEN ['call-' || (turn + 2)] ELSE [] END
+              WHEN conv_id % 4 = 2 AND turn % 8 < 2 THEN ['call-' || (turn + 2)]
+              WHEN conv_id % 4 = 3 THEN CASE WHEN turn % 8 < 2 THEN ['call-' || (turn + 2), 'call-' || (turn + 4)] ELSE [] END
+              ELSE ['call-' || (turn - 2)] END AS after,
+         (3 * conv_id + turn) % 5 AS fault, len(regexp_split_to_array(trim(text), '[ \n]+')) AS words
+  FROM conversations
+), first AS (
+  SELECT conv_id, id, min(turn) AS turn, arg_min(after, turn) AS after FROM c WHERE kind = 'call' GROUP BY conv_id, id
+), edges AS (
+  SELECT f.conv_id, f.id, f.turn, d.id AS dep, d.turn AS dep_turn
+  FROM (SELECT conv_id, id, turn, unnest(after) AS dep FROM first) f JOIN first d ON d.conv_id = f.conv_id AND d.id = f.dep
+), odd AS (
+  SELECT conv_id, count(*) AS n FROM first WHERE conv_id IN (SELECT conv_id FROM edges WHERE dep_turn >= turn) GROUP BY conv_id
+), walk AS (
+  SELECT f.conv_id, f.id, 0 AS far, n FROM first f JOIN odd USING (conv_id)
+  UNION
+  SELECT w.conv_id, e.id, far + 1, n FROM walk w JOIN edges e ON e.conv_id = w.conv_id AND e.dep = w.id WHERE far < n
+), far AS (
+  SELECT conv_id, id, max(far) AS far, max(far) >= any_value(n) AS cyclic FROM walk GROUP BY conv_id, id
+), steps AS (
+  SELECT conv_id, id, cyclic,
+         CASE WHEN cyclic THEN coalesce(max(far) FILTER (NOT cyclic) OVER (PARTITION BY conv_id), -1) + 1 ELSE far END AS step
+  FROM far
+), answers AS (
+  SELECT c.conv_id, c.id, min(c.turn) AS turn FROM c JOIN first f ON f.conv_id = c.conv_id AND f.id = c.id
+  WHERE kind = 'result' AND c.turn >= f.turn GROUP BY c.conv_id, c.id
 ), k AS (
-  SELECT *, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
-         CASE WHEN role = 'user' THEN CASE WHEN next = 'assistant' AND next_turn = turn + 1 THEN 'linked' ELSE 'pending' END
-              WHEN role = 'assistant' THEN CASE WHEN before = 'user' AND before_turn = turn - 1 THEN 'linked' ELSE 'orphan' END
-              ELSE 'message' END AS status
-  FROM c
+  SELECT c.*, CASE WHEN c.kind = 'call' THEN fault > 1 END AS valid,
+         CASE WHEN c.kind = 'call' THEN CASE WHEN s.cyclic THEN 'cycle' WHEN c.turn <> f.turn THEN 'duplicate'
+                                             WHEN a.turn IS NULL THEN 'pending' ELSE 'linked' END
+              WHEN c.kind = 'result' THEN CASE WHEN f.turn IS NULL THEN 'orphan' WHEN c.turn < f.turn THEN 'early'
+                                               WHEN c.turn = a.turn THEN 'linked' ELSE 'duplicate' END
+              ELSE 'message' END AS status,
+         CASE WHEN f.turn IS NOT NULL THEN coalesce(s.step, 0)
+              ELSE coalesce(max(CASE WHEN c.kind = 'call' AND c.turn = f.turn THEN s.step END)
+                            OVER (PARTITION BY c.conv_id ORDER BY c.turn), 0) END::INT AS step
+  FROM c LEFT JOIN first f ON f.conv_id = c.conv_id AND f.id = c.id
+         LEFT JOIN steps s ON s.conv_id = c.conv_id AND s.id = c.id LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.id = c.id
 )
-SELECT conv_id, turn, 0::INT AS place, 0::INT AS step, kind,
-       CASE kind WHEN 'call' THEN 'call-' || turn WHEN 'result' THEN 'call-' || (turn - 1) END AS call_id,
-       status, CASE WHEN kind = 'call' THEN true END AS valid,
+SELECT conv_id, turn, 0::INT AS place, step, kind, id AS call_id, status, valid,
        CASE kind
-         WHEN 'call' THEN to_json({'after': ['call-' || (turn - 2)],
-           'arguments': {'question': text, 'words': len(regexp_split_to_array(trim(text), '[ \n]+'))},
-           'conv_id': conv_id, 'id': 'call-' || turn, 'name': 'answer', 'role': 'assistant', 'status': status,
-           'turn': turn, 'type': 'call', 'valid': true})
-         WHEN 'result' THEN to_json({'content': text, 'conv_id': conv_id, 'id': 'call-' || (turn - 1), 'role': 'tool',
-           'status': status, 'turn': turn, 'type': 'result'})
-         ELSE to_json({'content': text, 'conv_id': conv_id, 'role': role, 'status': status, 'turn': turn, 'type': 'message'})
-       END::VARCHAR AS json
+         WHEN 'call' THEN '{' || CASE WHEN len(after) > 0 THEN '"after":' || to_json(list_sort(after)) || ',' ELSE '' END
+           || '"arguments":' || CASE fault WHEN 0 THEN to_json({'question': text, 'words': words::VARCHAR})
+                                           WHEN 1 THEN to_json({'question': text}) ELSE to_json({'question': text, 'words': words}) END
+           || ',' || substr(to_json({'conv_id': conv_id, 'id': id, 'name': 'answer', 'role': 'assistant', 'status': status,
+                                     'turn': turn, 'type': 'call', 'valid': valid})::VARCHAR, 2)
+         WHEN 'result' THEN to_json({'content': text, 'conv_id': conv_id, 'id': id, 'role': 'tool',
+           'status': status, 'turn': turn, 'type': 'result'})::VARCHAR
+         ELSE to_json({'content': text, 'conv_id': conv_id, 'role': role, 'status': status, 'turn': turn, 'type': 'message'})::VARCHAR
+       END AS json
 FROM k
 """
 

@@ -37,13 +37,35 @@ TOOLS = {"answer": {"question": ("string", True), "words": ("integer", True)}}
 
 
 def tool_messages(conversations: DataFrame) -> DataFrame:
-    """Conversations as tool traffic: a user's turn calls ``answer``, waiting for the turn two before; the turn after a
-    call's is its result when the assistant speaks; a system's turn stays a message."""
-    call = F.struct(F.concat(F.lit("call-"), F.col("turn")).alias("id"), F.lit("answer").alias("name"),
-                    F.struct(F.col("text").alias("question"),
-                             F.size(F.split(F.trim("text"), r"[ \n]+")).alias("words")).alias("arguments"),
-                    F.array(F.concat(F.lit("call-"), F.col("turn") - 2)).alias("after"))
-    result = F.struct(F.concat(F.lit("call-"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    """Conversations as tool traffic, with the faults that real traffic has, all by remainders of conv_id and turn.
+
+    A user's turn calls ``answer``, the turn after a call's is its result when the assistant speaks, a system's turn stays
+    a message. By conv_id mod 4 a call waits for the call two turns before (0), for the one two turns later in chains of up
+    to four (1), for one that waits for it (2), or for two later calls (3). One call in seven repeats the identifier of the
+    call before; one in five has a word count that is text, one in five has none. Of the results, one in five comes before
+    its call and one in five answers the call before.
+    """
+    def named(away: int):
+        return F.concat(F.lit("call-"), F.col("turn") + away)
+
+    def remainder(of, by: int):
+        return F.pmod(of, F.lit(by))
+
+    both, place = F.col("conv_id") + F.col("turn"), remainder(F.col("turn"), 8)
+    kind, fault = remainder(F.col("conv_id"), 4), remainder(3 * F.col("conv_id") + F.col("turn"), 5)
+    none = F.array().cast("array<string>")
+    after = (F.when(kind == 1, F.when(place < 6, F.array(named(2))).otherwise(none))
+             .when(kind == 2, F.when(place < 2, F.array(named(2))).otherwise(F.array(named(-2))))
+             .when(kind == 3, F.when(place < 2, F.array(named(4), named(2))).otherwise(none))
+             .otherwise(F.array(named(-2))))
+    question, words = F.col("text").alias("question"), F.size(F.split(F.trim("text"), r"[ \n]+"))
+    arguments = (F.when(fault == 0, F.to_json(F.struct(question, words.cast("string").alias("words"))))
+                 .when(fault == 1, F.to_json(F.struct(question)))
+                 .otherwise(F.to_json(F.struct(question, words.alias("words")))))
+    call = F.struct(F.when(remainder(both, 7) == 0, named(-2)).otherwise(named(0)).alias("id"), F.lit("answer").alias("name"),
+                    F.parse_json(arguments).alias("arguments"), after.alias("after"))
+    answered = F.when(remainder(both, 5) == 0, named(1)).when(remainder(both, 5) == 1, named(-3)).otherwise(named(-1))
+    result = F.struct(answered.alias("tool_call_id"), F.col("text").alias("content"))
     user, reply = F.col("role") == "user", F.col("role") == "assistant"
     return conversations.select(
         "conv_id", "turn", F.when(user, "assistant").when(reply, "tool").otherwise(F.col("role")).alias("role"),

@@ -88,3 +88,36 @@ def test_conversations_with_awkward_rows(spark):
     out = {(r["conv_id"], r["turn"]): r for r in C.link(tool_messages(spark.createDataFrame(rows, SCHEMA)), TOOLS).collect()}
     assert len(out) == len(rows)
     assert out[1, 0]["status"] == "linked" and out[1, 0]["valid"] and out[1, 2]["valid"] is False
+
+
+def test_messages_keep_their_place_in_odd_conversations(spark, tmp_path):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "assistant", call(("a", "ping", {}, ["b"]))), (1, 2, "user", "first"),
+            (1, 3, "assistant", call(("b", "ping", {}, ["c"]))), (1, 4, "tool", result("nobody", 0)), (1, 5, "user", "second"),
+            (1, 6, "assistant", call(("c", "ping", {}, []))), (1, 7, "tool", result("c", 1)), (1, 9000, "user", "late"),
+            (2, 0, "user", "plain"), (2, 1, "assistant", call(("a", "ping", {}, []))), (2, 2, "user", "end")]
+    out = linked(spark, rows)
+    step = {(r["conv_id"], r["turn"]): r["step"] for r in out.collect()}
+    assert [step[1, t] for t in (0, 1, 2, 3, 4, 5, 6, 7, 9000)] == [0, 2, 2, 1, 2, 2, 0, 0, 2]
+    assert {step[2, t] for t in (0, 1, 2)} == {0}
+    C.write_jsonl(out.where("conv_id = 1"), str(tmp_path / "chat"))
+    written = [json.loads(r[0])["turn"] for r in spark.read.text(str(tmp_path / "chat")).collect()]
+    assert written == [0, 6, 7, 3, 1, 2, 4, 5, 9000]
+
+
+def test_cyclic_calls_come_last_whatever_other_conversations_hold(spark):
+    long = [(9, t, "assistant", call((f"k{t}", "ping", {}, [f"k{t + 1}"]))) for t in range(6)]
+    rows = [(1, 0, "assistant", call(("p", "ping", {}, ["q"]))), (1, 1, "assistant", call(("q", "ping", {}, ["p"]))),
+            (2, 0, "assistant", call(("x", "ping", {}, ["y"]))), (2, 1, "assistant", call(("y", "ping", {}, []))),
+            (2, 2, "assistant", call(("z", "ping", {}, ["z"])))]
+    for table in (rows, rows + long):
+        got = {(r["conv_id"], r["call_id"]): r["step"] for r in linked(spark, table).collect()}
+        assert [got[k] for k in ((1, "p"), (1, "q"), (2, "y"), (2, "x"), (2, "z"))] == [0, 0, 0, 1, 2]
+
+
+def test_the_traffic_of_the_query_has_every_kind_of_fault(spark):
+    out = C.link(tool_messages(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")), TOOLS)
+    seen = {(r["kind"], r["status"]) for r in out.select("kind", "status").distinct().collect()}
+    assert seen == {("call", s) for s in ("linked", "pending", "duplicate", "cycle")} | {
+        ("result", s) for s in ("linked", "orphan", "early", "duplicate")} | {("message", "message")}
+    assert {r["valid"] for r in out.select("valid").distinct().collect()} == {True, False, None}
+    assert out.agg({"step": "max"}).first()[0] >= 3
