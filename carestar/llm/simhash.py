@@ -55,14 +55,15 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long)."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *more: str) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a long) and the named further columns (long)."""
     def run(batches):
         for batch in chunks(batches):
             fps = np.array([fingerprint(t.encode(), shingle) for t in text_column(batch).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64)), *[batch.column(c) for c in more]],
+                                             names=["doc_id", "fp", *more])
 
-    return documents(docs).mapInArrow(run, "doc_id long, fp long")
+    return documents(docs, *more).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *more)))
 
 
 def masks(radius: int, bits: int = BITS) -> list[int]:
@@ -98,14 +99,19 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One row per input row: doc_id, fp, fingerprint (hex), component_id (smallest doc_id linked to it)."""
-    fps = materialize(fingerprints(docs, shingle), "fingerprints")
+def _placed(fps: DataFrame, radius: int) -> DataFrame:
+    """fp, first_id (smallest doc_id), root (a fingerprint of its component) of each fingerprint."""
     classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = materialize(connected_components(materialize(links(classes.select("fp"), radius), "links"), "simhash"), "roots")
     placed = classes.join(small_or_shuffled(roots), classes.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    placed = materialize(placed, "placed")
+    return materialize(placed, "placed")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """One row per input row: doc_id, fp, fingerprint (hex), component_id (smallest doc_id linked to it)."""
+    fps = materialize(fingerprints(docs, shingle), "fingerprints")
+    placed = _placed(fps, radius)
     heads = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = placed.join(heads, "root").select("fp", "component_id")
     return fps.join(ids, "fp").select(
@@ -113,11 +119,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
 
 
 def representatives(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay when each component keeps its smallest doc_id.
+    """The rows of ``docs``, all columns, that stay when each component keeps one row.
 
-    Of repeated rows with that doc_id one stays. Rows without a doc_id all stay: nothing can be named in their place.
+    It is the row with the smallest doc_id, a null one being the largest; of rows that share that doc_id the one with the
+    smallest hash of its text. Rows that share a doc_id but not their component are judged apart. Of rows equal in doc_id
+    and text one stays.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
-    heads = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    text_hash = F.xxhash64(F.col("text").cast("string")).alias("text_hash")
+    fps = materialize(fingerprints(docs.select("doc_id", "text", text_hash), shingle, "text_hash"), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    heads = (fps.groupBy("fp").agg(F.min(first).alias("first")).join(_placed(fps, radius), "fp")
+             .groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("head_id"), F.col("first.text_hash").alias("head_hash")))
+    heads = materialize(heads, "heads")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash)
+    kept = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("text_hash") == F.col("head_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")

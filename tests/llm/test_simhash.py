@@ -71,5 +71,14 @@ def test_representatives_keep_all_columns(spark):
     kept = S.representatives(df)
     assert kept.columns == df.columns
     by_id = {i for i, _, c in expected(H.AWKWARD) if i is not None and i == c}
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(by_id) + Counter({None: 2})
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(by_id) + Counter({None: 1})       # the empty text without an id goes
     assert S.representatives(H.empty(spark)).count() == 0 and S.near_duplicates(H.empty(spark)).count() == 0
+
+
+def test_representatives_judge_rows(spark):
+    first, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, first), (1, other), (2, first), (None, first), (None, other), (None, "alone without an id"), (None, "alone without an id"),
+            (3, other), (3, other)]
+    kept = S.representatives(H.docs(spark, rows, **H.CLASHES)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(1, first), (1, other), (None, "alone without an id")])
+    assert Counter(r["doc_id"] for r in S.representatives(H.docs(spark, [(None, None), (None, ""), (7, " ")])).collect()) == {7: 1}
