@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.session import checkpoint_dir
+from carestar.sources.sinks import drop_folder
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_ROWS = 50_000      # a side is only broadcast when counted at or below this
@@ -37,7 +38,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     with freed_shuffles(spark):
         df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once whatever reads them has been written itself."""
+    for t in tables:
+        drop_folder(t.sparkSession, t.written_at)
 
 
 def small_or_shuffled(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
