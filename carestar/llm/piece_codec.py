@@ -6,8 +6,10 @@ chunk are encoded together in flat numpy arrays: each round finds the best pair
 rank of every unfinished segment, merges its occurrences from the left, and
 compacts; a segment without a pair is finished. A merge whose result could
 itself win an equal or better pair is done one occurrence at a time, so rounds
-give what the queue of the sequential algorithm gives. The vocabulary file is a
-parameter; its bytes (half a megabyte) travel with the task.
+give what the queue of the sequential algorithm gives. A segment of more than
+LONG symbols would take a round per rank; there a round merges every pair that
+is the best within the reach of two pieces on either side (``_merge_long``). The
+vocabulary file is a parameter; its bytes (half a megabyte) travel with the task.
 
 Defined results: a null or empty text has only the begin and end ids and decodes
 to the empty string. Characters outside the vocabulary become byte pieces.
@@ -17,6 +19,7 @@ Repeated rows are rows of their own; further columns are left out.
 from __future__ import annotations
 
 import hashlib
+import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,8 @@ SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6      # piece types of the file format
 NO_RANK = np.iinfo(np.int32).max
+LONG = 256             # symbols of a segment beyond which its merges are found within a reach
+PROGRESS = 1000        # a round of long segments that merges fewer than one symbol in so many is the last
 
 
 def _fields(data: bytes):
@@ -59,6 +64,17 @@ def _fields(data: bytes):
         yield key >> 3, value
 
 
+def _least_before(values: np.ndarray, size: int) -> np.ndarray:
+    """Smallest of the ``size`` values before each place, by doubling."""
+    out = np.concatenate([np.full(size, NO_RANK, values.dtype), values[:-1]]) if len(values) else values
+    span = 1
+    while span < size:
+        step = min(span, size - span)
+        out = np.minimum(out[:-step], out[step:])
+        span += step
+    return out
+
+
 class PieceModel:
     """Pieces, merge table and surfaces of a BPE model file with byte fallback and identity normalisation."""
 
@@ -100,6 +116,7 @@ class PieceModel:
             for c in p:
                 symbol.setdefault(c, self.n + len(symbol) - len(ids))
         self.n_symbols = self.n + len(symbol) - len(ids)
+        self.reach = 2 * max(map(len, ids)) + 2
         order = np.unique(np.array([-scores[i] for i in ids.values()]), return_inverse=True)[1]
         rank = dict(zip(ids.values(), order.tolist()))
         pairs: dict[int, int] = {}
@@ -148,6 +165,11 @@ class PieceModel:
         sym = np.where(self.char_codes[at] == codes, self.char_symbols[at], -1 - codes)   # below 0: a lone character
         seg = np.repeat(np.arange(len(lengths)), lengths)
         done_sym, done_seg = [], []
+        long = np.repeat(lengths > LONG, lengths)
+        if long.any():
+            for part, of in zip(self._merge_long(sym[long], seg[long]), (done_sym, done_seg)):
+                of.append(part)
+            sym, seg = sym[~long], seg[~long]
         while len(sym):
             rank, piece = self._ranks(sym[:-1], sym[1:])
             rank[seg[:-1] != seg[1:]] = NO_RANK
@@ -180,6 +202,75 @@ class PieceModel:
         order = np.argsort(seg, kind="stable")
         return self._to_ids(sym[order], seg[order], len(lengths))
 
+    def _merge_long(self, sym: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of long segments after all merges, and their segments.
+
+        A pair that no pair within ``reach`` beats merges now: whatever happens farther away, or follows from this merge
+        before worse pairs have their turn, stays within one piece's length of where it began, so neither meets the other.
+        Equal pairs within reach of each other form a chain that merges from the left, up to the first merge whose result
+        makes an equal or better pair with a neighbour. A chain waits if an equal pair before it has to wait.
+        Long chains of such merges (a run of spaces) would take a round each: when rounds get nowhere, a queue does the rest.
+        """
+        while True:
+            rank, piece = self._ranks(sym[:-1], sym[1:])
+            rank[seg[:-1] != seg[1:]] = NO_RANK
+            before = _least_before(rank, self.reach)
+            at = np.flatnonzero((rank < NO_RANK) & (rank <= before) & (rank <= _least_before(rank[::-1], self.reach)[::-1]))
+            if not len(at):
+                return sym, seg
+            place = np.arange(len(at))
+            linked = np.concatenate([[False], np.diff(at) <= self.reach])
+            head = np.maximum.accumulate(np.where(linked, 0, place))
+            new_run = np.concatenate([[True], np.diff(at) != 1])
+            run_start = np.maximum.accumulate(np.where(new_run, place, 0))
+            take = (rank[at] < before[at])[head] & ((place - run_start) % 2 == 0)
+            at, head = at[take], head[take]
+
+            padded, part_of = np.concatenate([[-1], sym, [-1]]), np.concatenate([[-1], seg, [-1]])      # moved by one place
+            follows = np.concatenate([[False], np.diff(at) == 2])
+            left = np.where(follows, np.concatenate([[-1], piece[at[:-1]]]), padded[at])
+            left = np.where(part_of[at] == seg[at], left, -1)
+            right = np.where(part_of[at + 3] == seg[at], padded[at + 3], -1)
+            stops = (self._ranks(left, piece[at])[0] <= rank[at]) | (self._ranks(piece[at], right)[0] <= rank[at])
+            stopped = np.cumsum(stops) - stops
+            at = at[stopped == stopped[np.searchsorted(head, head)]]
+
+            sym[at] = piece[at]
+            keep = np.ones(len(sym), bool)
+            keep[at + 1] = False
+            sym, seg = sym[keep], seg[keep]
+            if len(at) * PROGRESS < len(sym):
+                return self._merge_in_turn(sym, seg)
+
+    def _merge_in_turn(self, sym: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, one merge after the other: the best pair first, of equal ones the leftmost."""
+        pairs = {k: (r, p) for k, r, p in zip(self.pair_keys.tolist(), self.pair_rank.tolist(), self.pair_piece.tolist())}
+        symbols, parts, size, n = sym.tolist(), seg.tolist(), len(sym), self.n_symbols
+        after, before, queue = list(range(1, size + 1)), list(range(-1, size - 1)), []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j < size and parts[i] == parts[j] and symbols[i] >= 0 <= symbols[j]:
+                key = symbols[i] * n + symbols[j]
+                if key in pairs:
+                    heapq.heappush(queue, (pairs[key][0], i, key))
+
+        for i in range(size):
+            offer(i)
+        while queue:
+            _, i, key = heapq.heappop(queue)
+            j = after[i]
+            if j == size or symbols[i] is None or symbols[j] is None or symbols[i] * n + symbols[j] != key:
+                continue                                    # merged since
+            symbols[i], symbols[j], after[i] = pairs[key][1], None, after[j]
+            if after[j] < size:
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        left = [i for i, s in enumerate(symbols) if s is not None]
+        return np.array([symbols[i] for i in left], np.int64), seg[left]
+
     def _to_ids(self, sym: np.ndarray, seg: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Symbols to piece ids; what is no piece becomes its UTF-8 bytes."""
         odd = np.flatnonzero((sym < 0) | (sym >= self.n))

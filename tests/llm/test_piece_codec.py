@@ -40,6 +40,25 @@ def test_random_texts(both):
     agree(both, ["".join(rnd.choice(pieces) for _ in range(25)) for _ in range(1500)])
 
 
+def unbroken(size):
+    rnd, letters = random.Random(size), "abcdefghijklmnopqrstuvwxyz"
+    pick = lambda of, n: "".join(rnd.choice(of) for _ in range(n))
+    return [pick(letters, size), pick("acgt", size), pick(letters.upper() + letters + "0123456789+/", size), "the" * (size // 3), "a" * size,
+            " " * size, pick(["attention", "station", "the", "ing", "ation", "  "], size // 5), pick("语é🙂ab\u2581", size)]
+
+
+def test_long_texts_without_breaks(both, monkeypatch):
+    rnd, pieces = random.Random(5), [p.lstrip("▁") for p in both[0].pieces[259:]]
+    agree(both, unbroken(100_000))
+    agree(both, ["".join(rnd.choice(of) for _ in range(20_000)) for of in (pieces, pieces[:600])])
+    agree(both, unbroken(3_000) + unbroken(700) + ["short one"] * 3)
+    monkeypatch.setattr(P, "LONG", 4)
+    agree(both, ["".join(rnd.choice(pieces[:800]) for _ in range(rnd.randint(1, 40))) for _ in range(600)])
+    for progress in (1, 50, 1 << 40):
+        monkeypatch.setattr(P, "PROGRESS", progress)
+        agree(both, unbroken(900) + ["".join(rnd.choice(pieces) for _ in range(30)) for _ in range(300)])
+
+
 def test_decoding_any_ids(both):
     import numpy as np
     own, lib = both
