@@ -1,11 +1,12 @@
 """Removal of word passages that repeat across documents, by level-wise doubling.
 
-Level 1 looks at windows of half the length: of each full window only the one
-half-length window with the smallest hash is sent (equal windows send the same),
-and those that occur in one document alone are dropped. Level 2 extends the
-survivors: only windows of the full length around a repeated half-length window
-are looked up. A longer repeat consists of repeated windows of the full length,
-so doubling further could not remove another word; an empty level ends the work.
+The first level looks at windows of BASE words, each further level at windows of
+twice the length, the last at the full length. Of each full window only the one
+shorter window with the smallest hash is sent (equal windows send the same), and
+those that occur in one document alone are dropped: what repeats at one length
+alone is extended to the next. A level without survivors ends the work. A longer
+repeat consists of repeated windows of the full length, so doubling further
+could not remove another word.
 
 A window is removed when the same words start in a document with a smaller
 doc_id, judged on the input. Full windows are told apart by two hashes of 64
@@ -26,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from carestar.llm.blocks import blocked, column, low_and_high, pack, position, to_buckets
+from carestar.llm.store import materialize, release
 from carestar.llm.words import Words, hash_words, mix, rolling, split_words, windows
 
 WINDOW = 50
+BASE = 25                      # words of the windows of the first level
 SIGN = np.uint64(1 << 63)      # doc_ids are compared as unsigned values with the sign bit turned
 
 
@@ -63,13 +66,12 @@ class _Block:
         self.hashed = hash_words(self.words.vocab)[self.words.ids]
         self.window = window
 
-    def halves(self) -> np.ndarray:
-        """Smallest half-length hash within each full window."""
-        half = (self.window + 1) // 2
-        hashes = rolling(self.hashed, half)
+    def shorter(self, length: int) -> np.ndarray:
+        """Smallest hash of a window of ``length`` words within each full window."""
+        hashes = rolling(self.hashed, length)
         if not len(self.at):
             return np.zeros(0, np.uint64)
-        return mix(_sliding_min(hashes, self.window - half + 1)[self.at])     # minima are small: mixed, they fill all buckets
+        return mix(_sliding_min(hashes, self.window - length + 1)[self.at])     # minima are small: mixed, they fill all buckets
 
     def full(self) -> list[np.ndarray]:
         """Two independent hashes of each full window."""
@@ -78,18 +80,45 @@ class _Block:
         return [rolling(self.hashed ^ np.uint64(seed), self.window)[self.at] for seed in (0, 0xA0761D6478BD642F)]
 
 
-LEVEL1 = "bucket int, block int, hash binary, low binary, high binary"
-LEVEL2 = "bucket int, block int, hash binary, check binary, low binary, high binary"
+SHORTER = "bucket int, block int, hash binary, low binary, high binary"
+FULL = "bucket int, block int, hash binary, check binary, low binary, high binary"
 
 
-def _first_level(window: int, n: int):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        b = _Block(table, window)
-        halves = b.halves()
-        first = np.ones(len(halves), bool)
-        first[1:] = (halves[1:] != halves[:-1]) | (b.doc[1:] != b.doc[:-1])
-        (hashes,), low, high, _ = low_and_high([halves[first]], b.doc[first], b.doc[first])
-        return to_buckets(key[0].as_py(), hashes, {"low": low, "high": high}, n)
+def levels(window: int, base: int = BASE) -> list[int]:
+    """Lengths of the levels: from ``base`` by doubling, and the full length at last."""
+    lengths = [base]
+    while 2 * lengths[-1] < window:
+        lengths.append(2 * lengths[-1])
+    return [n for n in lengths if n < window] + [window]
+
+
+def _sent(key: tuple, b: _Block, length: int, keep: np.ndarray | slice, n: int) -> pa.Table:
+    """What a block sends of its kept full windows: the shorter windows that stand for them."""
+    hashes, doc = b.shorter(length)[keep], b.doc[keep]
+    first = np.ones(len(hashes), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+    (hashes,), low, high, _ = low_and_high([hashes[first]], doc[first], doc[first])
+    return to_buckets(key[0].as_py(), hashes, {"low": low, "high": high}, n)
+
+
+def _first_level(window: int, length: int, n: int):
+    def run(key: tuple, docs: pa.Table) -> pa.Table:
+        return _sent(key, _Block(docs, window), length, slice(None), n)
+    return run
+
+
+def _survivors(b: _Block, length: int, repeated: pa.Table) -> np.ndarray:
+    """Full windows whose shorter window repeats."""
+    return position(b.shorter(length), np.sort(column(repeated, "hash")))[1]
+
+
+def _next_level(window: int, known: int, length: int, n: int):
+    def run(key: tuple, docs: pa.Table, repeated: pa.Table) -> pa.Table:
+        if not repeated.num_rows or not docs.num_rows:
+            none = np.zeros(0, np.uint64)
+            return to_buckets(0, none, {"low": none, "high": none}, n)
+        b = _Block(docs, window)
+        return _sent(key, b, length, _survivors(b, known, repeated), n)
     return run
 
 
@@ -100,13 +129,13 @@ def _repeated(key: tuple, table: pa.Table) -> pa.Table:
     return _replies(table, (least < most)[at], {"hash": hashes})
 
 
-def _second_level(window: int, n: int):
+def _last_level(window: int, known: int, n: int):
     def run(key: tuple, docs: pa.Table, repeated: pa.Table) -> pa.Table:
         none = np.zeros(0, np.uint64)
         if not repeated.num_rows or not docs.num_rows:
             return to_buckets(0, none, {"check": none, "low": none, "high": none}, n)
         b = _Block(docs, window)
-        _, found = position(b.halves(), np.sort(column(repeated, "hash")))
+        found = _survivors(b, known, repeated)
         doc = b.doc[found]
         (hashes, check), low, high, _ = low_and_high([x[found] for x in b.full()], doc, doc)
         return to_buckets(key[0].as_py(), hashes, {"check": check, "low": low, "high": high}, n)
@@ -160,13 +189,22 @@ def _cut(window: int, keep_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = True, base: int = BASE) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and on demand kept_text (kept words joined by one space)."""
-    base, n = blocked(docs)
-    by_block = base.groupBy("block")
-    level1 = by_block.applyInArrow(_first_level(window, n), LEVEL1)
-    repeated = level1.groupBy("bucket").applyInArrow(_repeated, "block int, hash binary")
-    level2 = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_second_level(window, n), LEVEL2)
-    found = level2.groupBy("bucket").applyInArrow(_removable, "block int, hash binary, check binary, low binary")
+    blocks, n = blocked(docs)
+    by_block = blocks.groupBy("block")
+    *lengths, _ = levels(window, base) if window > base else [(window + 1) // 2, window]
+    sent, repeated = by_block.applyInArrow(_first_level(window, lengths[0], n), SHORTER), None
+    for at, length in enumerate(lengths):
+        before, repeated = repeated, sent.groupBy("bucket").applyInArrow(_repeated, "block int, hash binary")
+        if at < len(lengths) - 1:       # written: it decides whether there is a next level, which reads it
+            repeated = materialize(repeated, "repeated")
+            if before is not None:
+                release(before)
+            if repeated.isEmpty():
+                break
+            sent = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_next_level(window, length, lengths[at + 1], n), SHORTER)
+    full = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_last_level(window, length, n), FULL)
+    found = full.groupBy("bucket").applyInArrow(_removable, "block int, hash binary, check binary, low binary")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return by_block.cogroup(found.groupBy("block")).applyInArrow(_cut(window, keep_text), schema)
