@@ -44,14 +44,17 @@ def with_surrogate_key(df: DataFrame, natural_key: str, name: str, start: int =
 
 def sequence_within(df: DataFrame, partition_by: list[str], order_by: list[str], name: str,
                     split_on: str, split_width: int = 1 << 16, hot_rows: int = 1 << 20,
-                    size: Column | None = None) -> DataFrame:
+                    size: Column | None = None, largest: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY p ORDER BY o...)`` that never gives one task a huge group.
 
     ``size`` is the number of rows of a row's group where the caller has it at hand (it may be too
     large, not too small); otherwise groups are counted by one partially aggregated pass over the
     key columns. Groups above ``hot_rows`` are numbered in sub-groups: the ordering columns before
-    ``split_on`` (an integral ordering column) and ``split_on`` div ``split_width``.
+    ``split_on`` (an integral ordering column) and ``split_on`` div ``split_width``. ``largest``: rows of the
+    largest group (or more) where the caller knows it; if no group is huge, nothing is counted or looked for.
     """
+    if largest is not None and largest <= hot_rows:
+        return _plain_sequence(df, partition_by, order_by, name)
     if size is None:
         # at most rows / hot_rows groups; with none, adaptive execution drops the second branch
         hot = F.broadcast(df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_size"))
@@ -60,12 +63,14 @@ def sequence_within(df: DataFrame, partition_by: list[str], order_by: list[str],
     else:
         is_hot = F.coalesce(size > hot_rows, F.lit(False))
         normal, heavy = df.filter(~is_hot), df.filter(is_hot)
-    plain = normal.withColumn(name, F.row_number().over(
-        Window.partitionBy(*partition_by).orderBy(*order_by)).cast("int"))
-    return plain.select(*df.columns, name).unionByName(
+    return _plain_sequence(normal, partition_by, order_by, name).select(*df.columns, name).unionByName(
         _split_sequence(heavy, partition_by, order_by, name, split_on, split_width))
 
 
+def _plain_sequence(df: DataFrame, partition_by: list[str], order_by: list[str], name: str) -> DataFrame:
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by)).cast("int"))
+
+
 def _split_sequence(df: DataFrame, partition_by: list[str], order_by: list[str], name: str,
                     split_on: str, split_width: int) -> DataFrame:
     """Sub-groups are (p, ordering columns before ``split_on``, ``split_on`` div width): each is numbered

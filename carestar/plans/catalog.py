@@ -36,7 +36,7 @@ from carestar.plans.pipeline import run_pipeline, run_summary
 from carestar.plans.questions import monthly_specialty_revenue
 from carestar.plans.rollups import monthly_patients, refresh_months, roll_up, touched_months
 from carestar.plans.star import TEST_PARAMS, LazyTables, StarBuild
-from carestar.sources.adapter import TABLES, oltp_makers
+from carestar.sources.adapter import OF_LINES, TABLES, oltp_makers
 from carestar.sources.bucketed import bucketed_star
 from carestar.sources.quarantine import load_csv, load_declared
 from carestar.sources.ranges import read_ranges, replace_stored_range, write_ranges
@@ -74,7 +74,7 @@ def build(spark: SparkSession, sf_dir: str) -> StarBuild:
         if key in _BUILDS:
             return _BUILDS[key]
         store = os.path.join(checkpoint_dir(spark), "carestar-star", uuid.uuid4().hex)
-        oltp = LazyTables(oltp_makers(spark, sf_dir), os.path.join(store, "oltp"))
+        oltp = LazyTables(oltp_makers(spark, sf_dir), os.path.join(store, "oltp"), unwritten=OF_LINES)
         return _remember(_BUILDS, key, StarBuild(spark, oltp, P, os.path.join(store, "star")))
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carestar.operators import bridges as BR
 from carestar.operators import dims as DM
@@ -57,14 +58,18 @@ def stored(df: DataFrame, path: str | None, partition_by: list[str] | None = Non
 
 
 class LazyTables(Mapping):
-    """Tables that are derived, and written to the store if there is one, when they are first named."""
+    """Tables that are derived, and written to the store if there is one, when they are first named.
 
-    def __init__(self, makers: dict, store: str | None = None):
-        self._makers, self._store, self._made = makers, store, {}
+    ``unwritten``: tables that are selections of something stored already; a second copy would only cost its writing.
+    """
+
+    def __init__(self, makers: dict, store: str | None = None, unwritten: tuple[str, ...] = ()):
+        self._makers, self._store, self._unwritten, self._made = makers, store, unwritten, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = stored(self._makers[name](), self._store and os.path.join(self._store, name))
+            path = self._store and name not in self._unwritten and os.path.join(self._store, name)
+            self._made[name] = stored(self._makers[name](), path or None)
         return self._made[name]
 
     def __iter__(self):
@@ -151,13 +156,14 @@ class StarBuild:
 
     @cached_property
     def resolved_diagnoses(self) -> DataFrame:
-        return self._kept("resolved_diagnoses", BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup,
-                                          self.dim_diagnosis, "diagnosis_id", "diagnosis_key"))
+        # not stored, nor are the procedures: bridge and rejects need a pass each, which moves less than a copy of all links
+        return BR.resolve_links(self.oltp["encounter_diagnoses"], self.encounter_lookup, self.dim_diagnosis,
+                                "diagnosis_id", "diagnosis_key")
 
     @cached_property
     def resolved_procedures(self) -> DataFrame:
-        return self._kept("resolved_procedures", BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup,
-                                          self.dim_procedure, "procedure_id", "procedure_key"))
+        return BR.resolve_links(self.oltp["encounter_procedures"], self.encounter_lookup, self.dim_procedure,
+                                "procedure_id", "procedure_key")
 
     @cached_property
     def bridge_diagnoses(self) -> DataFrame:
@@ -165,7 +171,8 @@ class StarBuild:
 
     @cached_property
     def bridge_procedures(self) -> DataFrame:
-        return self._kept("bridge_procedures", BR.build_bridge_procedures(self.resolved_procedures))
+        largest = self.store and self.fact.agg(F.max("procedure_count")).first()[0]
+        return self._kept("bridge_procedures", BR.build_bridge_procedures(self.resolved_procedures, largest))
 
     # ---- rejects -------------------------------------------------------------
     @cached_property
