@@ -41,7 +41,7 @@ from carestar.sources.bucketed import bucketed_star
 from carestar.sources.quarantine import load_csv, load_declared
 from carestar.sources.ranges import read_ranges, replace_stored_range, write_ranges
 from carestar.sources.readers import read_csv, read_source, table_state
-from carestar.session import checkpoint_dir
+from carestar.session import checkpoint_dir, partitions_of
 from carestar.sources.sinks import append, full_refresh, read_star, replace_range, reset_source, scratch_scope, write_table
 
 P = TEST_PARAMS
@@ -61,6 +61,10 @@ def _source(spark: SparkSession, sf_dir: str) -> tuple:
     return spark.sparkContext.applicationId, sf_dir, table_state(spark, sf_dir, TABLES)
 
 
+def source_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return sum(size for size, _, _ in table_state(spark, sf_dir, TABLES))
+
+
 def _remember(kept: OrderedDict, key: tuple, value):
     kept[key] = value
     while len(kept) > _KEPT:
@@ -617,17 +621,22 @@ def schema_drift(s, d):
     return load_declared(s.read.parquet(path), schemas.PATIENTS, "patients", "patient_id")[1]
 
 
-BUCKETS = 8                            # of the bucketed encounter tables; on a cluster as many as keep a bucket in a task's memory
+BUCKETS = 8                            # of the bucketed encounter tables at least; as many as keep a bucket in a task's memory
+
+
+def _bucketed(s, d) -> dict:
+    buckets = max(BUCKETS, partitions_of(source_bytes(s, d)))
+    return bucketed_star(s, _star(s, d), _scratch(s), f"carestar_{uuid.uuid4().hex}", buckets)
 
 
 def q2_star_bucketed(s, d):
     """Co-occurrence on encounter tables that are stored in buckets of the encounter key."""
-    return Q.q2_star(bucketed_star(s, _star(s, d), _scratch(s), f"carestar_{uuid.uuid4().hex}", BUCKETS))
+    return Q.q2_star(_bucketed(s, d))
 
 
 def fact_bridge_bucketed(s, d):
     """Links per fact row and diagnosis sequence on the bucketed tables: totals by year of the encounter."""
-    star = bucketed_star(s, _star(s, d), _scratch(s), f"carestar_{uuid.uuid4().hex}", BUCKETS)
+    star = _bucketed(s, d)
     f = star["fact_encounters"].select("encounter_key", "diagnosis_count", F.floor(F.col("date_key") / 10000).cast("int").alias("year"))
     links = star["bridge_encounter_diagnoses"].groupBy("encounter_key").agg(F.count(F.lit(1)).alias("links"))
     return f.join(links, "encounter_key", "left").groupBy("year").agg(

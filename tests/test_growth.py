@@ -52,3 +52,16 @@ def test_link_rejects_in_one_pass(spark):
         (2, "MISSING_DIAGNOSIS_KEY", "Diagnosis 7 not found", "diagnosis_id", "7"),
         (4, "ORPHAN_DIAGNOSIS", None, "encounter_id", None), (5, "MISSING_DIAGNOSIS_KEY", None, "diagnosis_id", None)]
     assert "Union" not in shape(got)
+
+
+def test_partitions_follow_the_source(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        session.size_shuffles(spark, 1 << 20)
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+        session.size_shuffles(spark, 4000 << 20)
+        assert int(spark.conf.get(key)) == 1000 == session.partitions_of(4000 << 20)
+        assert spark.range(1000).repartition("id").rdd.getNumPartitions() <= 1000
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
