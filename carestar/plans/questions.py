@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from carestar.functions.dates import month_label, since
 from carestar.functions.expressions import count_when, safe_ratio
 from carestar.operators.readmission import readmission_counts
+from carestar.sources.sinks import scratch_table
 
 INPATIENT, INPATIENT_CODE, PAID = "Inpatient", "IP", "Paid"
 MONEY_SUM = "decimal(22,2)"
@@ -67,16 +68,18 @@ def q1_star(star: dict, since_year: int, n: int = 10) -> DataFrame:
 
 # ---- Q2 ---------------------------------------------------------------------
 def code_groups(dim: DataFrame, id_col: str, code: str, desc: str, prefix: str) -> tuple[DataFrame, DataFrame]:
-    """Map member ids to one integer per (code, description), on the small code table.
+    """Map member ids to one integer per (code, description), in the order of these, on the code table.
 
     Returns (id -> gid map, gid -> names). Grouping by the names merges ids that
-    share both, so the link rows are reduced per group, not per id.
+    share both, so the link rows are reduced per group, not per id, and ordered by gid as by the names.
     """
     gid = f"{prefix}_gid"
-    # the smallest member id names the group; one window over the (bounded) code table
-    m = dim.select(id_col, code, desc, F.min(id_col).over(Window.partitionBy(code, desc)).alias(gid))
-    names = m.filter(F.col(id_col) == F.col(gid)).select(gid, code, desc)
-    return m.select(id_col, gid), names
+    # ranges of the names, written once: map and names must number alike; the smallest member id names the group
+    parts = scratch_table(dim.select(id_col, code, desc).repartitionByRange(code, desc).withColumn("_part", F.spark_partition_id()), "codes")
+    place = F.dense_rank().over(Window.partitionBy("_part").orderBy(code, desc)).cast("long")
+    m = parts.select(id_col, code, desc, (F.shiftleft(F.col("_part").cast("long"), 32) + place).alias(gid),
+                     F.min(id_col).over(Window.partitionBy("_part", code, desc)).alias("_first"))
+    return m.select(id_col, gid), m.filter(F.col(id_col) == F.col("_first")).select(gid, code, desc)
 
 
 def _pairs(d_side: DataFrame, p_side: DataFrame, on: str, measure) -> DataFrame:
@@ -84,7 +87,8 @@ def _pairs(d_side: DataFrame, p_side: DataFrame, on: str, measure) -> DataFrame:
 
 
 def _q2_finish(pairs: DataFrame, d_names: DataFrame, p_names: DataFrame, measure: str, n: int) -> DataFrame:
-    named = pairs.join(d_names, "d_gid").join(p_names, "p_gid")
+    # gids are in the order of the names, so only the first n pairs need their names
+    named = top_n(pairs, [F.desc(measure), "d_gid", "p_gid"], n).join(d_names, "d_gid").join(p_names, "p_gid")
     order = [F.desc(measure), "icd10_code", "icd10_description", "cpt_code", "cpt_description"]
     return top_n(named, order, n).select("icd10_code", "icd10_description", "cpt_code", "cpt_description", measure)
 
