@@ -79,7 +79,8 @@ def build_fact(resolved: DataFrame, measures: DataFrame, loaded_at: str,
 def fact_rows(rows: DataFrame, keys: DataFrame, measures: DataFrame, loaded_at: str) -> DataFrame:
     """Fact rows of loadable encounters, given their numbered keys."""
     dated = rows.withColumn("date_key", date_key("encounter_date"))
-    return dated.join(keys, "encounter_id").join(measures, "encounter_id", "left").select(
+    # both grow with the encounters: never broadcast through the driver
+    return dated.join(keys.hint("merge"), "encounter_id").join(measures.hint("merge"), "encounter_id", "left").select(
         "encounter_key", "encounter_id", "date_key", *KEYS, "encounter_date", "discharge_date",
         zero_if_missing("diagnosis_count").cast("int").alias("diagnosis_count"),
         zero_if_missing("procedure_count").cast("int").alias("procedure_count"),

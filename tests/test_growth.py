@@ -91,3 +91,12 @@ def test_names_only_for_the_first_pairs(spark):
         got = Q.q2_oltp(oltp, n)
         assert [tuple(r) for r in got.collect()] == rows[:n]
     assert shape(got).count("TakeOrderedAndProject") >= 2
+
+
+def test_keys_and_measures_are_not_broadcast(spark):
+    b = catalog.build(spark, SF)
+    ready = FA.loadable(b.resolved_encounters)
+    keys = ready.select("encounter_id", F.col("encounter_id").alias("encounter_key"))
+    rows = FA.fact_rows(ready, keys, b.measures, "2025-01-01 02:00:00")
+    assert rows.count() == ready.count()
+    assert "Broadcast" not in shape(rows)
