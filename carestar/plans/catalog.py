@@ -220,11 +220,13 @@ def batch_equivalence(s, d):
     and loaded rows, and the rows that are not the same in both."""
     b, root = _batched(s, d)
     a, whole = B.loaded(s, root), b.fact.drop("date_year")
-    odd = a.exceptAll(whole.select(*a.columns)).select("encounter_id").union(
-        whole.select(*a.columns).exceptAll(a).select("encounter_id"))
+    both = a.select("*", F.lit(1).alias("_side")).union(whole.select(*a.columns, F.lit(-1).alias("_side")))
+    odd = both.groupBy(*a.columns).agg(F.abs(F.sum("_side")).alias("_n")).filter("_n > 0")    # rows that one load has more of
     ranges = B.marks(s, root)
-    there = ranges.join(odd, odd.encounter_id.between(F.col("range_start"), F.col("range_end")), "left")
-    return there.groupBy(*ranges.columns).agg(F.count("encounter_id").alias("differing_rows"))
+    spans = F.broadcast(ranges.select("range_no", "range_start", "range_end"))
+    found = odd.join(spans, odd.encounter_id.between(F.col("range_start"), F.col("range_end"))) \
+        .groupBy("range_no").agg(F.sum("_n").alias("differing_rows"))
+    return ranges.join(found, "range_no", "left").select(*ranges.columns, F.coalesce("differing_rows", F.lit(0)).alias("differing_rows"))
 
 
 def batch_resume(s, d):

@@ -100,3 +100,18 @@ def test_keys_and_measures_are_not_broadcast(spark):
     rows = FA.fact_rows(ready, keys, b.measures, "2025-01-01 02:00:00")
     assert rows.count() == ready.count()
     assert "Broadcast" not in shape(rows)
+
+
+def test_differing_rows_in_one_pass(spark, monkeypatch):
+    """Rows of one load only, rows of another value and rows that one load has twice, by range."""
+    df = spark.createDataFrame
+    kind = "encounter_id long, v string"
+    a = df([(1, "a"), (2, "b"), (2, "b"), (3, "c"), (11, "k"), (12, None)], kind)
+    whole = df([(1, "a", 0), (2, "b", 0), (3, "d", 0), (4, "e", 0), (12, None, 0)], kind + ", date_year int")
+    marks = df([(0, 1, 10), (1, 11, 20), (2, 21, 30)], "range_no long, range_start long, range_end long")
+    monkeypatch.setattr(catalog, "_batched", lambda s, d: (SimpleNamespace(fact=whole), "root"))
+    monkeypatch.setattr(B, "loaded", lambda s, root: a)
+    monkeypatch.setattr(B, "marks", lambda s, root: marks)
+    got = catalog.batch_equivalence(spark, SF)
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 10, 4), (1, 11, 20, 1), (2, 21, 30, 0)]
+    assert "Generate" not in shape(got) and "NestedLoopJoin BuildRight, LeftOuter" not in shape(got)
