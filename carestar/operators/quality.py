@@ -63,8 +63,9 @@ def null_fk_count(fact: DataFrame, fks: list[str] = FACT_FKS) -> DataFrame:
 
 
 def orphans(bridge: DataFrame, fact: DataFrame, key: str = "encounter_key") -> DataFrame:
-    """Bridge rows whose key is not in the fact (anti join + count)."""
-    return _count(bridge.join(fact.select(key), key, "left_anti"))
+    """Bridge rows whose key is not in the fact (anti join of the rows per key)."""
+    links = bridge.groupBy(key).agg(F.count(F.lit(1)).alias("links"))
+    return links.join(fact.select(key), key, "left_anti").agg(F.coalesce(F.sum("links"), F.lit(0)).alias("n"))
 
 
 def orphan_bridges(star: dict) -> DataFrame:

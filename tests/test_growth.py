@@ -115,3 +115,12 @@ def test_differing_rows_in_one_pass(spark, monkeypatch):
     got = catalog.batch_equivalence(spark, SF)
     assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 10, 4), (1, 11, 20, 1), (2, 21, 30, 0)]
     assert "Generate" not in shape(got) and "NestedLoopJoin BuildRight, LeftOuter" not in shape(got)
+
+
+def test_orphans_are_counted_per_key(spark):
+    df = spark.createDataFrame
+    bridge = df([(1,)] * 5 + [(2,)] * 3 + [(None,)] * 2, "encounter_key long")
+    got = QC.orphans(bridge, df([(1,), (1,), (None,)], "encounter_key long"))
+    assert got.first()["n"] == 5 and QC.orphans(bridge.limit(0), bridge).first()["n"] == 0
+    under = shape(got).split("Initial Plan")[-1].split("LeftAnti")[1]
+    assert "HashAggregate" in under
