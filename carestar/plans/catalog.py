@@ -566,19 +566,21 @@ def monthly_upkeep(s, d):
     return s.read.parquet(path)
 
 
-RANGE_WIDTH = 10_000                   # billing ids of one folder of the stored table
+RANGE_WIDTH = 10_000                   # least number of billing ids of one folder of the stored table
+RANGE_FOLDERS = 400                    # the ids of a larger table are cut into about so many folders
 
 
 def range_replace_stored(s, d):
     """The replacement of ``range_replace`` on a stored table laid out by id range, run twice."""
     path, b = _scratch(s), _oltp(s, d)["billing"]
-    write_ranges(b, path, "billing_id", RANGE_WIDTH)
     low, high = b.agg(F.min("billing_id"), F.max("billing_id")).first()
+    width = max(RANGE_WIDTH, (high - low) // RANGE_FOLDERS + 1)
+    write_ranges(b, path, "billing_id", width)
     lo, hi = low + (high - low) // 4, low + (high - low) // 2
     new = b.filter(F.col("billing_id").between(lo, hi)).withColumn(
         "allowed_amount", (F.col("claim_amount") * F.lit(Decimal("0.8"))).cast("decimal(12,2)"))
     for _ in range(2):
-        replace_stored_range(s, path, new, "billing_id", lo, hi, RANGE_WIDTH)
+        replace_stored_range(s, path, new, "billing_id", lo, hi, width)
     return read_ranges(s, path).select(*b.columns)
 
 

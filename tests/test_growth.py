@@ -124,3 +124,17 @@ def test_orphans_are_counted_per_key(spark):
     assert got.first()["n"] == 5 and QC.orphans(bridge.limit(0), bridge).first()["n"] == 0
     under = shape(got).split("Initial Plan")[-1].split("LeftAnti")[1]
     assert "HashAggregate" in under
+
+
+def test_a_wide_span_of_ids_makes_few_folders(spark, monkeypatch, tmp_path):
+    bills = spark.range(0, 1200).select((F.col("id") * 60_000 + 17).alias("billing_id"),
+                                        F.lit("10.00").cast("decimal(12,2)").alias("claim_amount"),
+                                        F.lit("9.00").cast("decimal(12,2)").alias("allowed_amount"))
+    monkeypatch.setattr(catalog, "_oltp", lambda s, d: {"billing": bills})
+    monkeypatch.setattr(catalog, "_scratch", lambda s: str(tmp_path / "table"))
+    got = catalog.range_replace_stored(spark, SF)
+    low, high = 17, 1199 * 60_000 + 17
+    lo, hi = low + (high - low) // 4, low + (high - low) // 2
+    want = {i * 60_000 + 17: "8.00" if lo <= i * 60_000 + 17 <= hi else "9.00" for i in range(1200)}
+    assert {r.billing_id: str(r.allowed_amount) for r in got.collect()} == want and got.count() == 1200
+    assert len(sinks.folder_names(spark, str(tmp_path / "table"))) <= catalog.RANGE_FOLDERS + 1
