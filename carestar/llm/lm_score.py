@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.blocks import blocked, column, pack, to_buckets
+from carestar.llm.blocks import LEAST_BLOCKS, blocked, column, pack, to_buckets, unpack
 from carestar.llm.store import materialize
 from carestar.llm.words import hash_words, rolling, split_words, windows
 
@@ -40,6 +40,8 @@ ORDER = 3
 MIN_COUNT = 2
 BACKOFF = 0.4
 MICRO = 1_000_000
+BLOCK_BYTES = 4 << 20       # a worker holds some dozen numbers for each word of a block at once
+BLOCKS_PER_BUCKET = 2
 
 
 def _tables(order: int) -> list[tuple[int, ...]]:
@@ -72,25 +74,31 @@ class _Grams:
 
     def asked(self, lengths: tuple[int, ...], rare: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """What a block asks for at a level: distinct hashes, ascending, and how often it has each."""
-        every = np.sort(np.concatenate([self.at(k, rare)[1] for k in lengths]))
+        every = np.concatenate([self.at(k, rare)[1] for k in lengths])
+        every.sort()
         starts = _starts(every)
         return every[starts], np.diff(np.append(starts, len(every))).astype(np.uint64)
 
     def answered(self, lengths: tuple[int, ...], rare: np.ndarray | None, counts: np.ndarray) -> list[np.ndarray]:
         """Per length, the count of the n-gram that starts at each word, from those of the distinct hashes."""
         grams = [self.at(k, rare) for k in lengths]
-        every = np.concatenate([h for _, h in grams])
+        ats, every = [at for at, _ in grams], np.concatenate([h for _, h in grams])
+        del grams                                              # what is not needed any more goes before the next array comes
         order = np.argsort(every)
-        starts = _starts(every[order])
+        every = every[order]
+        starts = _starts(every)
         if len(counts) != len(starts):
             raise ValueError("the answer does not cover the block's n-grams")
-        found = np.empty(len(every))
-        found[order] = np.repeat(counts, np.diff(np.append(starts, len(every))))
+        times = np.diff(np.append(starts, len(every)))
+        del every, starts
+        found = np.empty(len(order))
+        found[order] = np.repeat(counts, times)
+        del order, times
         out, begin = [], 0
-        for at, hashes in grams:
+        for at in ats:
             c = np.zeros(len(self.words.ids) + 1)              # one more, so that every word has one behind it
-            c[at] = found[begin:begin + len(hashes)]
-            begin += len(hashes)
+            c[at] = found[begin:begin + len(at)]
+            begin += len(at)
             out.append(c)
         return out
 
@@ -98,9 +106,12 @@ class _Grams:
         """Per length, the corpus count of the n-gram that starts at each word (0: too rare, or none), from the answers
         of the first ``levels`` levels."""
         of: list[np.ndarray] = []
+        at, bucket, packed = totals.column("level").to_numpy(), totals.column("bucket").to_numpy(), totals.column("n")
         for level, lengths in enumerate(_tables(self.order)[:levels]):
-            answers = totals.filter(pc.equal(totals.column("level"), level)).sort_by("bucket")
-            of += self.answered(lengths, of[-1] < min_count if level else None, column(answers, "n").astype(np.float64))
+            rows = np.flatnonzero(at == level)
+            rows = rows[np.argsort(bucket[rows])].tolist()
+            counts = np.concatenate([np.zeros(0), *[unpack(packed[i].as_buffer()).astype(np.float64) for i in rows]])
+            of += self.answered(lengths, of[-1] < min_count if level else None, counts)
         return of
 
 
@@ -124,7 +135,8 @@ def _total(key: tuple, table: pa.Table) -> pa.Table:
     totals = np.empty(len(hashes), np.uint64)
     if len(starts):
         totals[order] = np.repeat(np.add.reduceat(counts[order], starts), np.diff(np.append(starts, len(hashes))))
-    ends = np.concatenate([[0], np.cumsum([len(x) // 8 for x in table.column("hash").to_pylist()])]).astype(np.int64)
+    sizes = pc.binary_length(table.column("hash")).to_numpy().astype(np.int64) // 8
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     parts = [pack(totals[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "n": pa.array(parts, pa.binary())})
 
@@ -156,8 +168,8 @@ def _score(order: int, min_count: int, backoff: float):
 
 def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, backoff: float = BACKOFF) -> DataFrame:
     """doc_id, n_words, n_backed_off (words scored by their own frequency), score_micro (sum of log scores, millionths)."""
-    base, n = blocked(docs)
-    by_block, totals = base.groupBy("block"), None
+    base, blocks = blocked(docs, BLOCK_BYTES)
+    by_block, totals, n = base.groupBy("block"), None, max(LEAST_BLOCKS, math.ceil(blocks / BLOCKS_PER_BUCKET))
     for level in range(len(_tables(order))):
         ask, schema = _ask(order, level, min_count, n), "bucket int, block int, hash binary, n binary"
         asked = by_block.cogroup(totals.groupBy("block")).applyInArrow(ask, schema) if level else by_block.applyInArrow(ask, schema)
